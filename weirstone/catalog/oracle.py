@@ -221,7 +221,7 @@ WITH span AS (
   SELECT event_id % 3 AS part, min(event_id // 3) AS first, max(event_id // 3) + 1 AS last
   FROM events GROUP BY part),
 quota AS (
-  SELECT part, first, 100.0::DOUBLE * (last - first) / sum(last - first) OVER () AS share FROM span)
+  SELECT part, first, 100 * ((last - first) / sum(last - first) OVER ()) AS share FROM span)
 SELECT {_EVENT_KEYS} FROM events JOIN quota ON part = event_id % 3
 WHERE event_id // 3 < first + CASE WHEN share < 1 THEN ceil(share) ELSE floor(share) END""",
     "offset_gaps": """
@@ -242,6 +242,9 @@ SELECT event_id, ts, user_id, event_type FROM events ORDER BY ts DESC, event_id
     "dedup_latest": _LATEST_SCORE,
     "dedup_latest_agg": _LATEST_SCORE,
     "dedup_envelope": f"SELECT {_EVENT_KEYS} FROM events",
+    "dedup_rare_copies": f"""
+SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS key, 'lineitem' AS topic, {_position('l_orderkey')}
+FROM lineitem""",
     "merge_upsert": f"""
 WITH changes AS ({_ITEM_STATES}
   QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC,

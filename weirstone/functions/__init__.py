@@ -1,6 +1,6 @@
 """Column expressions: casts, value fix-ups and JSON parsing."""
 
-from .casts import add_ints, to_double, to_int, to_timestamp
+from .casts import add_ints, to_date, to_double, to_int, to_timestamp
 from .payload import (
     parse_json,
     parse_json_flagged,
@@ -21,6 +21,7 @@ __all__ = [
     "record_schema",
     "slice_text",
     "text_schema",
+    "to_date",
     "to_double",
     "to_int",
     "to_timestamp",

@@ -46,6 +46,11 @@ def to_timestamp(c: Column | str, timestamp_type: str = "timestamp") -> Column:
     return _col(c).try_cast(timestamp_type)
 
 
+def to_date(c: Column | str) -> Column:
+    """Text ``yyyy-MM-dd`` to DATE, null on anything else."""
+    return F.try_to_date(_col(c), "yyyy-MM-dd")
+
+
 def add_ints(*cols: Column | str) -> Column:
     """Sum of INT columns: null if any is null, null on overflow."""
     if not cols:

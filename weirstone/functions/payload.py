@@ -29,8 +29,7 @@ def prune_schema(schema: T.StructType, names: Iterable[str]) -> T.StructType:
     """Only the named fields, matched without regard to case, in schema order.
 
     The optimizer keeps the whole parse schema once more than one field is
-    read, so the parser would build every field. A record the parser rejects
-    is rejected with the pruned schema too.
+    read, so the parser would build every field.
     """
     wanted = {n.lower() for n in names}
     kept = [f for f in schema.fields if f.name.lower() in wanted]
@@ -41,12 +40,16 @@ def prune_schema(schema: T.StructType, names: Iterable[str]) -> T.StructType:
 
 
 def parse_json(value: Column | str, schema: T.StructType) -> Column:
-    """Parse JSON text; a malformed record gives null fields, the row stays."""
+    """Parse JSON text; a field that cannot be read is null, the row stays."""
     return F.from_json(value, schema, JSON_OPTIONS)
 
 
 def parse_json_flagged(value: Column | str, schema: T.StructType) -> Column:
-    """As :func:`parse_json`, with the raw text of a bad record in one more field."""
+    """As :func:`parse_json`, with the raw text of a bad record in one more field.
+
+    With a schema of text fields, a record is bad if and only if it is not
+    valid JSON, whichever of its fields the schema names.
+    """
     flagged = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     return F.from_json(
         value, flagged, {**JSON_OPTIONS, "columnNameOfCorruptRecord": CORRUPT}

@@ -2,6 +2,7 @@
 
 from .dedup import (
     dedup_envelope,
+    dedup_rare_copies,
     first_per_key,
     latest_per_key,
     latest_per_key_agg,
@@ -32,6 +33,7 @@ __all__ = [
     "counted",
     "decode_offsets",
     "dedup_envelope",
+    "dedup_rare_copies",
     "encode_offsets",
     "filter_by_keys",
     "first_per_key",

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import written
 from ..sources.envelope import POSITION
+from .keyjoin import filter_by_keys
 
 
 def sum_columns(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -75,3 +77,18 @@ def latest_per_key_agg(
 def dedup_envelope(df: DataFrame) -> DataFrame:
     """One row per ``(topic, partition, offset)``; copies are merged before the shuffle."""
     return df.dropDuplicates(list(POSITION))
+
+
+def dedup_rare_copies(df: DataFrame, **options) -> DataFrame:
+    """:func:`dedup_envelope` for a stored envelope in which few messages have copies.
+
+    The positions alone are counted first, and those with copies are written
+    to the shared folder. Messages without a copy are then passed on where
+    they are; only the copies are shuffled with their payload. Options as
+    :func:`join_right`.
+    """
+    at = list(POSITION)
+    copied = written(df.groupBy(*at).count().where("count > 1").select(*at), "copies")
+    single = filter_by_keys(df, at, copied, "left_anti", **options)
+    copies = filter_by_keys(df, at, copied, "left_semi", **options)
+    return single.unionByName(dedup_envelope(copies))

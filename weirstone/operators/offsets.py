@@ -23,8 +23,9 @@ FILTER_PARTITIONS = 64
 
 OFFSETS_JSON_TYPE = "map<string,map<string,bigint>>"
 
-# Offsets per bitmap: 4 KiB hold the presence of 2**15 of them.
-_BITS = 15
+# Offsets per presence word, and per block of words.
+_WORD_BITS = 6
+_BLOCK_BITS = 24
 
 
 def parse_offsets(offsets: Offsets | str) -> dict[str, dict[int, int]]:
@@ -120,7 +121,7 @@ def prorate(ranges: DataFrame, limit: int) -> DataFrame:
     """
     size = F.col("end") - F.col("start")
     total = F.sum(size).over(Window.partitionBy("topic"))
-    share = F.lit(limit) * size / total
+    share = F.lit(limit) * (size / total)
     quota = F.when(share < 1, F.ceil(share)).otherwise(F.floor(share)).cast("bigint")
     bounded = F.least("end", F.col("start") + quota)
     return ranges.withColumn("end", F.when(total > 0, bounded).otherwise(F.col("end")))
@@ -152,43 +153,51 @@ def bound_batch(envelope: DataFrame, limit: int) -> DataFrame:
 def offset_gaps(envelope: DataFrame) -> DataFrame:
     """Missing offsets inside each partition, as ``gap_start`` to ``gap_end``.
 
-    Presence is kept in one bitmap per 2**15 offsets, built before the
-    shuffle, so copies cost nothing and a partition that holds a third of all
-    rows is spread over its bitmaps. Only bitmaps with a hole are expanded.
+    Presence is kept as one 64-bit word per 64 offsets, combined before the
+    shuffle, so copies of a message cost nothing. Words are compared with
+    their neighbours inside blocks, and only the edges of the blocks across a
+    whole partition, so one that holds a third of all rows is spread out.
     """
     at = ["topic", "partition"]
-    seen = envelope.select(*at, "offset", F.shiftright("offset", _BITS).alias("bucket"))
-    spans = seen.groupBy(*at, "bucket").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"))
-    between = spans.withColumn(
-        "before", F.lag("hi").over(Window.partitionBy(*at).orderBy("bucket"))
-    ).select(*at, (F.col("before") + 1).alias("gap_start"), (F.col("lo") - 1).alias("gap_end"))
-
-    first = F.shiftleft("bucket", _BITS)
-    holed = (
-        seen.groupBy(*at, "bucket")
-        .agg(
-            F.bitmap_construct_agg(F.col("offset") - first).alias("present"),
-            F.min("offset").alias("lo"),
-            F.max("offset").alias("hi"),
-        )
-        .where(F.bitmap_count("present") < F.col("hi") - F.col("lo") + 1)
-    )
-
-    def is_present(o: Column) -> Column:
-        bit = o - F.shiftleft("bucket", _BITS)
-        byte = F.substring("present", F.floor(bit / 8).cast("int") + 1, F.lit(1))
-        return F.getbit(F.conv(F.hex(byte), 16, 10).cast("bigint"), (bit % 8).cast("int")) == 1
+    seen = envelope.select(*at, "offset", F.shiftright("offset", _BLOCK_BITS).alias("block"))
+    edge = [F.min("offset").alias("lo"), F.max("offset").alias("hi")]
 
+    bit = F.expr("shiftleft(1L, int(offset & 63))")
+    words = seen.groupBy(*at, "block", F.shiftright("offset", _WORD_BITS).alias("word")).agg(
+        F.bit_or(bit).alias("bits"), *edge
+    )
+    present = F.filter(
+        F.sequence("lo", "hi"), lambda o: F.getbit("bits", o.bitwiseAND(F.lit(63))) == 1
+    )
+    pairs = F.arrays_zip(
+        F.slice("present", 1, F.size("present") - 1).alias("before"),
+        F.slice("present", 2, F.size("present") - 1).alias("after"),
+    )
+    holes = F.transform(pairs, lambda p: _gap(p["before"], p["after"]))
+    full = F.bit_count("bits") == F.col("hi") - F.col("lo") + 1
+    in_block = Window.partitionBy(*at, "block").orderBy("word")
     inside = (
-        holed.select(
-            *at, "bucket", F.explode(F.filter(F.sequence("lo", "hi"), is_present)).alias("offset")
-        )
-        .withColumn("before", F.lag("offset").over(Window.partitionBy(*at, "bucket").orderBy("offset")))
-        .select(*at, (F.col("before") + 1).alias("gap_start"), (F.col("offset") - 1).alias("gap_end"))
+        words.withColumn("before", F.lag("hi").over(in_block))
+        .where(~full | (F.col("lo") - F.col("before") > 1))
+        .withColumn("present", F.when(full, F.array("lo")).otherwise(present))
+        .select(*at, F.explode(F.concat(F.array(_gap(F.col("before"), F.col("lo"))), holes)).alias("g"))
+        .select(*at, "g.*")
+    )
+    across = Window.partitionBy(*at).orderBy("block")
+    between = (
+        seen.groupBy(*at, "block")
+        .agg(*edge)
+        .select(*at, _gap(F.lag("hi").over(across), F.col("lo")).alias("g"))
+        .select(*at, "g.*")
     )
     return inside.unionByName(between).where("gap_end >= gap_start")
 
 
+def _gap(before: Column, after: Column) -> Column:
+    """What lies between two offsets; empty or null if nothing does."""
+    return F.struct((before + 1).alias("gap_start"), (after - 1).alias("gap_end"))
+
+
 def next_offsets(envelope: DataFrame, store: DataFrame | None = None) -> DataFrame:
     """Where the next read starts: ``topic, partition, offset``.
 

@@ -12,15 +12,18 @@ from ..functions import (
     add_ints,
     audit_stamp,
     parse_json,
+    parse_json_flagged,
     prune_schema,
     record_schema,
     recode,
     slice_text,
     text_schema,
+    to_date,
     to_double,
     to_int,
     to_timestamp,
 )
+from ..functions.payload import CORRUPT
 from ..sources.envelope import text_envelope
 
 
@@ -42,6 +45,8 @@ class Out:
                 made = to_int(fields[0])
             case "double":
                 made = to_double(fields[0])
+            case "date":
+                made = to_date(fields[0])
             case "timestamp":
                 made = to_timestamp(fields[0], timestamp_type)
             case "sum of ints":
@@ -73,8 +78,9 @@ class Feed:
 
     @property
     def parse_schema(self) -> T.StructType:
-        """The payload fields the result columns read."""
-        return prune_schema(self.schema, [f for out in self.columns for f in out.source])
+        """The payload fields the result columns read, as text; casts come later."""
+        read = prune_schema(self.schema, [f for out in self.columns for f in out.source])
+        return text_schema(read.names)
 
 
 # Rules of the contact feeds. The misspelling is what senders write.
@@ -149,15 +155,15 @@ LOCK_COLUMNS = (
     Out("lock_object_category", ("LockObjectCategory",)),
     Out("process_code", ("ProcessCode",)),
     Out("lock_reason", ("LockReason",)),
-    Out("valid_from", ("ValidFrom",)),
-    Out("valid_to", ("ValidTo",)),
+    Out("valid_from", ("ValidFrom",), "date"),
+    Out("valid_to", ("ValidTo",), "date"),
     Out("business_partner_number", ("BusinessPartner",)),
     Out("connection_contract_number", ("ContractAccount",)),
     Out("lock_object_category_name", ("LockObjectCategoryName",)),
     Out("process_code_name", ("ProcessCodeName",)),
     Out("lock_reason_name", ("LockReasonName",)),
     Out("changed_by", ("ChangedBy",)),
-    Out("changed_on", ("ChangedOn",)),
+    Out("changed_on", ("ChangedOn",), "date"),
     Out("changed_at", ("ChangedAt",)),
     Out("date_id", ("DateID",)),
     Out("identification", ("Identification",)),
@@ -254,16 +260,18 @@ def feed(name: str) -> Feed:
 def parse_feed(envelope: DataFrame, feed: Feed, *, full: bool = False) -> DataFrame:
     """The parsed payload as one struct column, with the message position.
 
-    Only the fields the flat result reads are parsed; ``full`` parses all.
+    Only the fields the flat result reads are parsed, as text, and a record
+    that is not valid JSON has a null struct, wherever it is broken. ``full``
+    is the plain parse of the whole schema: a field that is broken or does
+    not fit its type is null, the others stay.
     """
-    schema = feed.schema if full else feed.parse_schema
-    return text_envelope(envelope).select(
-        parse_json("value", schema).alias(feed.payload),
-        "topic",
-        "partition",
-        "offset",
-        "timestamp",
-    )
+    at = ["topic", "partition", "offset", "timestamp"]
+    text, name = text_envelope(envelope), feed.payload
+    if full:
+        return text.select(parse_json("value", feed.schema).alias(name), *at)
+    parsed = text.select(parse_json_flagged("value", feed.parse_schema).alias(name), *at)
+    valid = F.col(f"{name}.{CORRUPT}").isNull()
+    return parsed.select(F.when(valid, F.col(name)).alias(name), *at)
 
 
 def flatten(

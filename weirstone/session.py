@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # State that outgrows the heap stays on disk; adaptive plans split hot keys.
 SETTINGS = {
@@ -49,3 +49,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="weirstone-"))
         base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/weirstone/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, lineage cut."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
