@@ -6,8 +6,7 @@ fields and values that do not fit among the inputs. No row is left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import as_envelope, spread, table
 
@@ -15,118 +14,102 @@ RUN_TS = "2024-02-01 00:00:00"
 NTZ = "timestamp_ntz"
 
 
-def _text(c: str) -> Column:
-    return F.col(c).cast("string")
-
-
-def _positions(column: str) -> dict[str, Column]:
+def _positions(column: str) -> dict[str, str]:
     """Three partitions with gapless offsets from a number that has no gaps."""
-    return {
-        "key": F.col(column),
-        "partition": F.col(column) % 3,
-        "offset": F.expr(f"{column} div 3"),
-    }
-
-
-def _cut_some(json: Column, column: str) -> Column:
-    """One record in 97 breaks off, as a malformed record does."""
-    return F.when(F.col(column) % 97 == 0, F.substring(json, 1, 20)).otherwise(json)
+    return {"key": column, "partition": f"{column} % 3", "offset": f"{column} div 3"}
+
+
+def _cut_some(fields: str, column: str) -> str:
+    """The fields as JSON; one record in 97 breaks off, as a malformed record does."""
+    json = f"to_json(struct({fields}))"
+    return f"CASE WHEN {column} % 97 = 0 THEN substring({json}, 1, 20) ELSE {json} END"
+
+
+_ROUTE_CALL = """
+    CAST(event_id AS STRING) AS RecoveryKey,
+    CAST(user_id AS STRING) AS RouterCallKeyDay,
+    CAST(event_id AS STRING) AS RouterCallKey,
+    CAST(ts AS STRING) AS DateTime,
+    CAST(length(event_type) AS STRING) AS RequestType,
+    concat('555', user_id) AS ANI,
+    event_type AS CED,
+    user_id % 20 AS CallTypeID,
+    event_type AS Variable6,
+    props AS Variable7,
+    concat('0000', upper(event_type)) AS Variable8,
+    if(event_type = 'error', 'MAKEPYMENT', event_type) AS Variable9,
+    CAST(value AS STRING) AS RouterCallKeySequenceNumber,
+    concat('800', event_id) AS DialedNumberString,
+    if(event_id % 5 = 0, 'not a time', CAST(ts AS STRING)) AS DbDateTime"""
+
+_CALL_TYPE = """
+    CAST(o_orderdate AS STRING) AS DateTime,
+    CAST(o_custkey AS STRING) AS CallTypeID,
+    CAST(o_orderkey AS STRING) AS RecoveryKey,
+    CAST(o_orderkey % 7 AS STRING) AS RouterCallsAbandQ,
+    CAST(o_orderkey % 11 AS STRING) AS CallsRouted,
+    CAST(o_orderkey % 23 AS STRING) AS AnswerWaitTime,
+    CAST(nullif(o_orderkey % 13, 0) AS STRING) AS CallsHandled,
+    CAST(o_orderkey % 17 AS STRING) AS CallsOffered,
+    CAST(o_orderkey % 29 AS STRING) AS HandleTime,
+    CAST(o_orderkey % 37 AS STRING) AS ServiceLevelCalls,
+    CAST(o_orderkey % 5 AS STRING) AS OverflowOut,
+    if(o_orderkey % 19 = 0, 'n/a', CAST(o_orderkey % 19 AS STRING)) AS CallsAnswered,
+    CAST(o_orderkey % 3 AS STRING) AS TotalCallsAband,
+    CAST(o_orderkey % 31 AS STRING) AS MaxCallWaitTime"""
+
+_LOCK = """
+    '100' AS SAPClient,
+    CAST(o_orderkey AS STRING) AS LockObject,
+    '02' AS LockObjectCategory,
+    '10' AS ProcessCode,
+    o_orderstatus AS LockReason,
+    CAST(CAST(o_orderdate AS DATE) AS STRING) AS ValidFrom,
+    CAST(date_add(CAST(o_orderdate AS DATE), 14) AS STRING) AS ValidTo,
+    o_custkey AS BusinessPartner,
+    o_orderkey + 220000000000 AS ContractAccount,
+    'Line Item' AS LockObjectCategoryName,
+    o_orderpriority AS ProcessCodeName,
+    'Lock' AS LockReasonName,
+    '' AS ChangedBy,
+    '1900-01-01' AS ChangedOn,
+    '000000' AS ChangedAt,
+    '00000000' AS DateID,
+    '' AS Identification,
+    '1' AS Count,
+    '20200203175314' AS DFKKLOCKS_DF_TS,
+    'D' AS DFKKLOCKS_DF_DI"""
 
 
 def route_calls(spark: SparkSession, folder: str, topic: str = "routeCallDetail") -> DataFrame:
     """One route call message per event."""
-    events = spread(table(spark, folder, "events"))
-    payload = F.struct(
-        _text("event_id").alias("RecoveryKey"),
-        _text("user_id").alias("RouterCallKeyDay"),
-        _text("event_id").alias("RouterCallKey"),
-        _text("ts").alias("DateTime"),
-        F.length("event_type").cast("string").alias("RequestType"),
-        F.concat(F.lit("555"), _text("user_id")).alias("ANI"),
-        F.col("event_type").alias("CED"),
-        (F.col("user_id") % 20).alias("CallTypeID"),
-        F.col("event_type").alias("Variable6"),
-        F.col("props").alias("Variable7"),
-        F.concat(F.lit("0000"), F.upper("event_type")).alias("Variable8"),
-        F.when(F.col("event_type") == "error", "MAKEPYMENT")
-        .otherwise(F.col("event_type"))
-        .alias("Variable9"),
-        _text("value").alias("RouterCallKeySequenceNumber"),
-        F.concat(F.lit("800"), _text("event_id")).alias("DialedNumberString"),
-        F.when(F.col("event_id") % 5 == 0, "not a time").otherwise(_text("ts")).alias("DbDateTime"),
-    )
     return as_envelope(
-        events,
-        value=_cut_some(F.to_json(payload), "event_id"),
+        spread(table(spark, folder, "events")),
+        value=_cut_some(_ROUTE_CALL, "event_id"),
         topic=topic,
-        timestamp=F.col("ts"),
+        timestamp="ts",
         **_positions("event_id"),
     )
 
 
 def call_types(spark: SparkSession, folder: str, topic: str = "callTypeInterval") -> DataFrame:
     """One call type interval message per order."""
-    orders = spread(table(spark, folder, "orders"))
-
-    def rest(n: int) -> Column:
-        return F.col("o_orderkey") % n
-
-    payload = F.struct(
-        _text("o_orderdate").alias("DateTime"),
-        _text("o_custkey").alias("CallTypeID"),
-        _text("o_orderkey").alias("RecoveryKey"),
-        rest(7).cast("string").alias("RouterCallsAbandQ"),
-        rest(11).cast("string").alias("CallsRouted"),
-        rest(23).cast("string").alias("AnswerWaitTime"),
-        F.when(rest(13) != 0, rest(13).cast("string")).alias("CallsHandled"),
-        rest(17).cast("string").alias("CallsOffered"),
-        rest(29).cast("string").alias("HandleTime"),
-        rest(37).cast("string").alias("ServiceLevelCalls"),
-        rest(5).cast("string").alias("OverflowOut"),
-        F.when(rest(19) == 0, "n/a").otherwise(rest(19).cast("string")).alias("CallsAnswered"),
-        rest(3).cast("string").alias("TotalCallsAband"),
-        rest(31).cast("string").alias("MaxCallWaitTime"),
-    )
     return as_envelope(
-        orders,
-        value=_cut_some(F.to_json(payload), "o_orderkey"),
+        spread(table(spark, folder, "orders")),
+        value=_cut_some(_CALL_TYPE, "o_orderkey"),
         topic=topic,
-        timestamp=F.col("o_orderdate"),
+        timestamp="o_orderdate",
         **_positions("o_orderkey"),
     )
 
 
 def locks(spark: SparkSession, folder: str, topic: str = "businessLocks_v1") -> DataFrame:
     """One lock message per order."""
-    orders = spread(table(spark, folder, "orders"))
-    day = F.col("o_orderdate").cast("date")
-    payload = F.struct(
-        F.lit("100").alias("SAPClient"),
-        _text("o_orderkey").alias("LockObject"),
-        F.lit("02").alias("LockObjectCategory"),
-        F.lit("10").alias("ProcessCode"),
-        F.col("o_orderstatus").alias("LockReason"),
-        F.date_format(day, "yyyy-MM-dd").alias("ValidFrom"),
-        F.date_format(F.date_add(day, 14), "yyyy-MM-dd").alias("ValidTo"),
-        F.col("o_custkey").alias("BusinessPartner"),
-        (F.col("o_orderkey") + F.lit(220000000000)).alias("ContractAccount"),
-        F.lit("Line Item").alias("LockObjectCategoryName"),
-        F.col("o_orderpriority").alias("ProcessCodeName"),
-        F.lit("Lock").alias("LockReasonName"),
-        F.lit("").alias("ChangedBy"),
-        F.lit("1900-01-01").alias("ChangedOn"),
-        F.lit("000000").alias("ChangedAt"),
-        F.lit("00000000").alias("DateID"),
-        F.lit("").alias("Identification"),
-        F.lit("1").alias("Count"),
-        F.lit("20200203175314").alias("DFKKLOCKS_DF_TS"),
-        F.lit("D").alias("DFKKLOCKS_DF_DI"),
-    )
     return as_envelope(
-        orders,
-        value=_cut_some(F.to_json(payload), "o_orderkey"),
+        spread(table(spark, folder, "orders")),
+        value=_cut_some(_LOCK, "o_orderkey"),
         topic=topic,
-        timestamp=F.col("o_orderdate"),
+        timestamp="o_orderdate",
         **_positions("o_orderkey"),
     )
 
@@ -135,9 +118,9 @@ def event_positions(spark: SparkSession, folder: str) -> DataFrame:
     """Events as messages of topic ``events``, the value being ``props``."""
     return as_envelope(
         table(spark, folder, "events"),
-        value=F.col("props"),
+        value="props",
         topic="events",
-        timestamp=F.col("ts"),
+        timestamp="ts",
         **_positions("event_id"),
     )
 
@@ -146,9 +129,9 @@ def order_positions(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as messages of topic ``orders``, the value being the status."""
     return as_envelope(
         table(spark, folder, "orders"),
-        value=F.col("o_orderstatus"),
+        value="o_orderstatus",
         topic="orders",
-        timestamp=F.col("o_orderdate"),
+        timestamp="o_orderdate",
         **_positions("o_orderkey"),
     )
 
@@ -157,46 +140,46 @@ def item_positions(spark: SparkSession, folder: str) -> DataFrame:
     """Line items at the offset of their order: copies, and gaps where an order has none."""
     return as_envelope(
         table(spark, folder, "lineitem"),
-        value=F.col("l_returnflag"),
+        value="l_returnflag",
         topic="lineitem",
-        timestamp=F.col("l_shipdate"),
+        timestamp="l_shipdate",
         **_positions("l_orderkey"),
     )
 
 
 def order_states(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as a target table: key, status, amount, line, time."""
-    return table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("order_key"),
-        F.col("o_orderstatus").alias("status"),
-        F.col("o_totalprice").alias("amount"),
-        F.lit(0).alias("line"),
-        F.col("o_orderdate").alias("changed_at"),
+    return table(spark, folder, "orders").selectExpr(
+        "o_orderkey AS order_key",
+        "o_orderstatus AS status",
+        "o_totalprice AS amount",
+        "0 AS line",
+        "o_orderdate AS changed_at",
     )
 
 
 def item_states(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as changes of their order, several per key."""
-    return table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("order_key"),
-        F.col("l_linestatus").alias("status"),
-        F.col("l_extendedprice").alias("amount"),
-        F.col("l_linenumber").alias("line"),
-        F.col("l_shipdate").alias("changed_at"),
+    return table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey AS order_key",
+        "l_linestatus AS status",
+        "l_extendedprice AS amount",
+        "l_linenumber AS line",
+        "l_shipdate AS changed_at",
     )
 
 
 def customer_slices(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as rows of one slice per customer."""
-    return table(spark, folder, "orders").select(
-        F.col("o_custkey").alias("slice"),
-        F.col("o_orderkey").alias("item"),
-        F.col("o_totalprice").alias("amount"),
+    return table(spark, folder, "orders").selectExpr(
+        "o_custkey AS slice",
+        "o_orderkey AS item",
+        "o_totalprice AS amount",
     )
 
 
 def user_slices(spark: SparkSession, folder: str) -> DataFrame:
     """Events as new rows of some of those slices."""
-    return table(spark, folder, "events").select(
-        F.col("user_id").alias("slice"), F.col("event_id").alias("item"), F.col("value").alias("amount")
+    return table(spark, folder, "events").selectExpr(
+        "user_id AS slice", "event_id AS item", "value AS amount"
     )

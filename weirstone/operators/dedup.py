@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..session import written
 from ..sources.envelope import POSITION
-from .keyjoin import filter_by_keys
+from .keyjoin import filter_by_keys, fits_broadcast
 
 
 def sum_columns(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -89,6 +89,8 @@ def dedup_rare_copies(df: DataFrame, **options) -> DataFrame:
     """
     at = list(POSITION)
     copied = written(df.groupBy(*at).count().where("count > 1").select(*at), "copies")
+    sizes = {k: options.pop(k) for k in ("max_rows", "max_bytes") if k in options}
+    options.setdefault("broadcast", fits_broadcast(copied, **sizes))
     single = filter_by_keys(df, at, copied, "left_anti", **options)
     copies = filter_by_keys(df, at, copied, "left_semi", **options)
     return single.unionByName(dedup_envelope(copies))

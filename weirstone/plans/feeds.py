@@ -37,10 +37,10 @@ class Out:
 
     def column(self, payload: str, timestamp_type: str) -> Column:
         # Field lookup ignores case, as SQL does.
-        fields = [F.col(f"{payload}.{f}") for f in self.source]
+        fields = [f"{payload}.{f}" for f in self.source]
         match self.kind:
             case "as is":
-                made = fields[0]
+                made = F.expr(fields[0])
             case "int":
                 made = to_int(fields[0])
             case "double":
@@ -270,8 +270,7 @@ def parse_feed(envelope: DataFrame, feed: Feed, *, full: bool = False) -> DataFr
     if full:
         return text.select(parse_json("value", feed.schema).alias(name), *at)
     parsed = text.select(parse_json_flagged("value", feed.parse_schema).alias(name), *at)
-    valid = F.col(f"{name}.{CORRUPT}").isNull()
-    return parsed.select(F.when(valid, F.col(name)).alias(name), *at)
+    return parsed.selectExpr(f"CASE WHEN {name}.{CORRUPT} IS NULL THEN {name} END AS {name}", *at)
 
 
 def flatten(
@@ -286,17 +285,17 @@ def flatten(
     the source, batch or stream, without a shuffle. ``run_ts`` fixes the load
     time; ``timestamp_type`` may be ``timestamp_ntz``.
     """
-    partition, offset, timestamp = F.col("partition"), F.col("offset"), F.col("timestamp")
+    partition, offset, timestamp = "partition", "offset", "timestamp"
     if feed.typed_position:
-        partition = partition.cast("int")
-        offset = offset.cast("bigint")
-        timestamp = timestamp.cast(timestamp_type)
+        partition = "CAST(partition AS INT)"
+        offset = "CAST(offset AS BIGINT)"
+        timestamp = f"CAST(timestamp AS {timestamp_type})"
     return parse_feed(envelope, feed).select(
         *[out.column(feed.payload, timestamp_type) for out in feed.columns],
-        F.col("topic").alias("kafka_topic"),
-        partition.alias("kafka_partition"),
-        offset.alias("kafka_offset"),
-        timestamp.alias("kafka_record_timestamp"),
+        F.expr("topic AS kafka_topic"),
+        F.expr(f"{partition} AS kafka_partition"),
+        F.expr(f"{offset} AS kafka_offset"),
+        F.expr(f"{timestamp} AS kafka_record_timestamp"),
         audit_stamp(run_ts, timestamp_type).alias("last_updated"),
     )
 

@@ -7,7 +7,7 @@ and a stream are interchangeable.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ENVELOPE_TYPES = {
@@ -37,9 +37,9 @@ def require_envelope(df: DataFrame, columns: tuple[str, ...] = tuple(ENVELOPE_TY
 
 def text_envelope(df: DataFrame) -> DataFrame:
     """Key and value as text, with the topic, partition, offset and timestamp."""
-    return require_envelope(df).select(
-        F.col("key").cast("string").alias("key"),
-        F.col("value").cast("string").alias("value"),
+    return require_envelope(df).selectExpr(
+        "CAST(key AS STRING) AS key",
+        "CAST(value AS STRING) AS value",
         "topic",
         "partition",
         "offset",
@@ -49,27 +49,20 @@ def text_envelope(df: DataFrame) -> DataFrame:
 
 def key_value(df: DataFrame) -> DataFrame:
     """Key and value as text only."""
-    return require_envelope(df, ("key", "value")).select(
-        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")
+    return require_envelope(df, ("key", "value")).selectExpr(
+        "CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value"
     )
 
 
 def as_envelope(
-    df: DataFrame,
-    *,
-    key: Column,
-    value: Column,
-    topic: str,
-    partition: Column,
-    offset: Column,
-    timestamp: Column,
+    df: DataFrame, *, key: str, value: str, topic: str, partition: str, offset: str, timestamp: str
 ) -> DataFrame:
-    """Give any table the envelope shape."""
+    """Give any table the envelope shape; all but ``topic`` are SQL expressions."""
     return df.select(
-        key.cast("string").cast("binary").alias("key"),
-        value.cast("binary").alias("value"),
+        F.expr(f"CAST(CAST({key} AS STRING) AS BINARY) AS key"),
+        F.expr(f"CAST({value} AS BINARY) AS value"),
         F.lit(topic).alias("topic"),
-        partition.cast("int").alias("partition"),
-        offset.cast("bigint").alias("offset"),
-        timestamp.alias("timestamp"),
+        F.expr(f"CAST({partition} AS INT) AS partition"),
+        F.expr(f"CAST({offset} AS BIGINT) AS offset"),
+        F.expr(f"{timestamp} AS timestamp"),
     )
