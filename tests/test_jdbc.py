@@ -7,7 +7,7 @@ from test_feeds import envelope
 
 from weirstone.plans import CALL_TYPE, run_load
 from weirstone.sinks import JdbcStage, append, truncate_load, write
-from weirstone.sources import JdbcConnection, scalar, scan
+from weirstone.sources import JdbcConnection, scalar, scan, scan_split
 
 
 @pytest.fixture
@@ -62,6 +62,11 @@ def test_query_scan_and_its_splits(spark, db):
     assert split.rdd.getNumPartitions() == 3 and ids(split) == list(range(10, 40))
     by = scan(spark, db, "t", predicates=['"id" < 5', '"id" >= 35'])
     assert by.rdd.getNumPartitions() == 2 and by.count() == 10
+    own = scan_split(spark, db, "t", "id", 4)
+    assert own.rdd.getNumPartitions() == 4 and ids(own) == list(range(40))
+    truncate_load(rows(spark).limit(0), db, "t")
+    assert scan_split(spark, db, "t", "id", 4).count() == 0
+    append(rows(spark, *range(40)), db, "t")
     with pytest.raises(ValueError, match="bounds"):
         scan(spark, db, "t", column="id")
     plan = scan(spark, db, "t").where("id = 3")._jdf.queryExecution().executedPlan().toString()

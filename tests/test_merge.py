@@ -15,9 +15,11 @@ from weirstone.operators import (
     merge_upsert,
     sum_columns,
 )
+from weirstone.operators.keyjoin import hot_keys
 
 SCHEMA = "k int, g string, v bigint"
-SALTED = {"max_rows": 0}
+SHUFFLED = {"max_rows": 0}
+SALTED = {"max_rows": 0, "hot_rows": 8}
 
 
 def frame(spark, rows, parts=5):
@@ -42,7 +44,9 @@ def rows_of(seed, n, hot=None):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, SALTED], ids=["broadcast", "salted"])
+@pytest.mark.parametrize(
+    "options", [{}, SHUFFLED, SALTED], ids=["broadcast", "shuffled", "salted"]
+)
 @pytest.mark.parametrize("keys", [["k"], ["k", "g"]])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_merges_against_brute_force(spark, options, keys, seed):
@@ -90,7 +94,7 @@ def test_a_hot_key_is_spread_over_tasks(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        kept = filter_by_keys(target, ["k"], stage, "left_anti", **SALTED)
+        kept = filter_by_keys(target, ["k"], stage, "left_anti", max_rows=0, hot_rows=1000)
         plan = kept._jdf.queryExecution().executedPlan().toString()
         tasks = kept.where("k = -1").select(F.spark_partition_id().alias("p"), "v")
         assert tasks.count() == 40_000
@@ -99,7 +103,31 @@ def test_a_hot_key_is_spread_over_tasks(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert "BroadcastHashJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
+    main = next(line for line in plan.splitlines() if "LeftAnti" in line)
+    assert "SortMergeJoin" in main and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_hot_keys_and_their_salts(spark):
+    df = frame(spark, [(None, "a", 1)] * 25 + [(1, "a", 1)] * 10 + [(2, "a", 1)] * 11)
+    assert {tuple(r) for r in hot_keys(df, ["k"], 10).collect()} == {(None, 3), (2, 2)}
+
+
+def test_copies_of_one_row_are_spread(spark):
+    """A third of all rows are the same row."""
+    rows = spark.range(0, 30_000, 1, 24).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k")
+    )
+    keys = spark.range(-1, 20_000).select(F.col("id").alias("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        kept = filter_by_keys(rows, ["k"], keys, "left_semi", max_rows=0, hot_rows=500)
+        tasks = kept.where("k = -1").select(F.spark_partition_id().alias("p"))
+        assert tasks.count() == 10_000
+        assert tasks.distinct().count() >= 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_the_broadcast_bound_counts_rows_and_bytes(spark):
@@ -161,7 +189,9 @@ def test_latest_arguments(spark):
     assert df.select(sum_columns(df, ["i", "k"])).first()[0] is None
 
 
-@pytest.mark.parametrize("options", [{}, SALTED], ids=["broadcast", "salted"])
+@pytest.mark.parametrize(
+    "options", [{}, SHUFFLED, SALTED], ids=["broadcast", "shuffled", "salted"]
+)
 def test_dedup_of_copies(spark, options):
     rng = random.Random(2)
     once = [("t", p, o) for p in range(3) for o in range(300)]

@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import written
+
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+# Rows of one key a single task of a shuffled join may get.
+HOT_ROWS = 5_000_000
 
 _FIXED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
@@ -44,31 +47,75 @@ def fits_broadcast(
     return rows <= max_rows and (size or 0) <= max_bytes
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys of more than ``hot_rows`` rows, as ``__hot_<i>``, with a number of salts.
+
+    The rows are counted before the shuffle. There are no more such keys than
+    rows of ``df`` over ``hot_rows``; they are written to the shared folder,
+    and should they still exceed a broadcast, only the hotter ones are kept.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    named = [F.col(k).alias(f"__hot_{i}") for i, k in enumerate(keys)]
+    hot = written(counts.where(F.col("__rows") > hot_rows).select(*named, "__rows"), "hot-keys")
+    floor = hot_rows
+    while not fits_broadcast(hot):
+        floor *= 10
+        hot = hot.where(F.col("__rows") > floor)
+    return hot.withColumn("__salts", F.ceil(F.col("__rows") / hot_rows)).drop("__rows")
+
+
+def _all_equal(left: Sequence[str], right: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)])
+
+
 def join_right(
     df: DataFrame,
+    keys: Sequence[str],
     right: DataFrame,
-    same: Column,
+    right_keys: Sequence[str],
     how: str,
     *,
+    also: Column | None = None,
     broadcast: bool | None = None,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join ``df`` to a side that is broadcast if small and salted if not.
-
-    Column names of ``right`` must differ from those of ``df``. Beyond the
-    broadcast size, rows of a hot key go to ``salts`` tasks and the rows of
-    ``right`` are repeated once per salt. The salt is the number of the input
-    partition, which a rerun of a lost task gives again, and which also parts
-    identical rows. ``broadcast`` skips the measurement if the caller has made it.
+    """Join a large ``df`` to a side of unknown size; nulls equal nulls.
+
+    A side that is small by count is broadcast, so ``df`` is not shuffled.
+    Beyond that both are shuffled on the keys, and the rows of a key that
+    ``df`` has too often are split over one task per ``hot_rows`` of them, to
+    each of which the key's rows of ``right`` are repeated. Column names of
+    ``right`` must differ from those of ``df``. ``also`` is a further
+    condition; ``broadcast`` skips the count if the caller has made it.
     """
+    same = _all_equal(keys, right_keys)
+    if also is not None:
+        same = same & also
     if broadcast is None:
         broadcast = fits_broadcast(right, max_rows, max_bytes)
     if broadcast:
         return df.join(F.broadcast(right), same, how)
-    salted = df.withColumn("__salt", F.spark_partition_id() % salts)
-    repeated = right.withColumn("__salt_of", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hot = hot_keys(df, keys, hot_rows)
+    if hot.isEmpty():
+        return df.join(right, same, how)
+    names = [f"__hot_{i}" for i in range(len(keys))]
+    # Hashing the row parts a hot key, the input partition parts its copies,
+    # and both are the same again when a lost task is run again.
+    parts = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *parts), F.col("__salts"))
+    salted = (
+        df.join(F.broadcast(hot), _all_equal(keys, names), "left")
+        .withColumn("__salt", F.coalesce(salt, F.lit(0)))
+        .drop(*names, "__salts")
+    )
+    last = F.coalesce(F.col("__salts"), F.lit(1)) - 1
+    repeated = (
+        right.join(F.broadcast(hot), _all_equal(right_keys, names), "left")
+        .withColumn("__salt_of", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+        .drop(*names, "__salts")
+    )
     joined = salted.join(repeated, same & (F.col("__salt") == F.col("__salt_of")), how)
     return joined.drop("__salt", "__salt_of")
 
@@ -84,6 +131,6 @@ def filter_by_keys(
         raise ValueError(f"how must be left_semi or left_anti, not {how!r}")
     if not keys:
         raise ValueError("at least one key is needed")
-    right = keyset.select(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)]).distinct()
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__key_{i}")) for i, k in enumerate(keys)])
-    return join_right(df, right, same, how, **options)
+    names = [f"__key_{i}" for i in range(len(keys))]
+    right = keyset.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]).distinct()
+    return join_right(df, keys, right, names, how, **options)

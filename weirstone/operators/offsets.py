@@ -142,12 +142,14 @@ def bound_batch(envelope: DataFrame, limit: int) -> DataFrame:
         F.col("partition").alias("__partition"),
         F.col("end").alias("__end"),
     )
-    same = (
-        (F.col("topic") == F.col("__topic"))
-        & (F.col("partition") == F.col("__partition"))
-        & (F.col("offset") < F.col("__end"))
+    return join_right(
+        envelope,
+        ["topic", "partition"],
+        cuts,
+        ["__topic", "__partition"],
+        "left_semi",
+        also=F.col("offset") < F.col("__end"),
     )
-    return join_right(envelope, cuts, same, "left_semi")
 
 
 def offset_gaps(envelope: DataFrame) -> DataFrame:
