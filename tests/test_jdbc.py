@@ -5,7 +5,7 @@ import uuid
 import pytest
 from test_feeds import envelope
 
-from weirstone.plans import CALL_TYPE, run_load
+from weirstone.plans import CALL_TYPE, database_call, run_load
 from weirstone.sinks import JdbcStage, append, truncate_load, write
 from weirstone.sources import JdbcConnection, scalar, scan, scan_split
 
@@ -100,3 +100,17 @@ def test_load_into_a_database_stage(spark, db, truncate, total):
     assert scan(spark, db, "s").count() == total
     assert staged == [2, 2]
     assert {r.outflow_to_queue for r in place.read(spark, "").collect()} == {5, None}
+
+
+def test_calls_and_log_in_the_database(spark, db):
+    source, place = envelope(spark, ['{"CallsHandled":"2"}']), JdbcStage(db, "s")
+    done = database_call(db, "(SELECT COUNT(*) AS n FROM s) q")
+    assert run_load(source, CALL_TYPE, place, merges=[done]) == 1
+    fails = database_call(db, "(SELECT no_such_function() AS n FROM s) q")
+    with pytest.raises(Exception, match="(?i)no_such_function"):
+        run_load(
+            source, CALL_TYPE, place, merges=[fails], log=lambda row: append(row, db, "load_log"),
+        )
+    logged = scan(spark, db, "load_log").first()
+    assert logged.load_name == "callTypeIntervalDataIVRRefresh" and logged.status == "error"
+    assert "NO_SUCH_FUNCTION" in logged.message.upper()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from test_feeds import envelope
 
 from weirstone.operators import select_range, start_offsets_text
-from weirstone.plans import ROUTE_CALL_DETAIL, Insert, OffsetStore, Refresh, Upsert, run_load
+from weirstone.plans import ROUTE_CALL_DETAIL, Insert, OffsetStore, Refresh, Upsert, ingest, run_load
 from weirstone.plans import targets
 from weirstone.session import shared_folder
 from weirstone.sinks import ParquetStage, load_key
@@ -131,7 +131,7 @@ def test_a_failed_load_is_logged_and_raised_and_moves_no_offsets(spark, tmp_path
     with pytest.raises(RuntimeError, match="broken"):
         run_load(
             calls(spark, 3), ROUTE_CALL_DETAIL, ParquetStage(f"{base}/stage"),
-            merges=[fail], offsets=store, log_path=f"{base}/log",
+            merges=[fail], offsets=store, log=f"{base}/log",
         )
     row = spark.read.parquet(f"{base}/log").first()
     assert row.load_key.endswith("_RouteCallDetail") and row.load_key.split("_")[0].isdigit()
@@ -143,6 +143,32 @@ def test_a_failed_load_is_logged_and_raised_and_moves_no_offsets(spark, tmp_path
     assert store.read(spark).count() == 0
 
 
+def test_ingest_reads_from_the_stored_offsets(spark, tmp_path, monkeypatch):
+    from weirstone.plans import load
+
+    asked = []
+
+    def fake_topic(spark, brokers, topic, start, **options):
+        asked.append((brokers, topic, start, options))
+        new = calls(spark, 30) if start == "earliest" else select_range(calls(spark, 33), start)
+        return new
+
+    monkeypatch.setattr(load, "kafka_batch", fake_topic)
+    store, keep = OffsetStore(f"{tmp_path}/offsets"), ParquetStage(f"{tmp_path}/stage")
+
+    def run(key):
+        return ingest(
+            spark, "routeCallDetail", "b:1", keep, offsets=store, min_partitions=9, key=key
+        )
+
+    assert [run("1_x"), run("2_x"), run("3_x")] == [30, 3, 0]
+    topic = ROUTE_CALL_DETAIL.topic
+    assert asked[0] == ("b:1", topic, "earliest", {"min_partitions": 9, "fail_on_data_loss": False})
+    assert json.loads(asked[1][2]) == {topic: {"0": 10, "1": 10, "2": 10}}
+    with pytest.raises(KeyError, match="callType"):
+        ingest(spark, "no such feed", "b:1", keep)
+
+
 def test_load_key():
     assert load_key("x", 1580752394.9) == "1580752394_x"
 

@@ -307,7 +307,7 @@ def load_log(spark: SparkSession, folder: str) -> DataFrame:
             CALL_TYPE,
             ParquetStage(f"{base}/stage"),
             merges=[broken],
-            log_path=f"{base}/log",
+            log=f"{base}/log",
             run_ts=RUN_TS,
             timestamp_type=NTZ,
         )

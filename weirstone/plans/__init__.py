@@ -11,7 +11,7 @@ from .feeds import (
     parse_feed,
     preview_locks,
 )
-from .load import OffsetStore, run_load, staged_positions
+from .load import OffsetStore, database_call, ingest, run_load, staged_positions
 from .targets import Insert, Refresh, Upsert
 
 __all__ = [
@@ -24,8 +24,10 @@ __all__ = [
     "OffsetStore",
     "Refresh",
     "Upsert",
+    "database_call",
     "feed",
     "flatten",
+    "ingest",
     "parse_feed",
     "preview_locks",
     "run_load",
