@@ -158,13 +158,13 @@ def test_ingest_reads_from_the_stored_offsets(spark, tmp_path, monkeypatch):
 
     def run(key):
         return ingest(
-            spark, "routeCallDetail", "b:1", keep, offsets=store, min_partitions=9, key=key
+            spark, "routeCallDetail", "b:1", keep, offsets=store, partitions=4, min_partitions=9, key=key
         )
 
     assert [run("1_x"), run("2_x"), run("3_x")] == [30, 3, 0]
     topic = ROUTE_CALL_DETAIL.topic
     assert asked[0] == ("b:1", topic, "earliest", {"min_partitions": 9, "fail_on_data_loss": False})
-    assert json.loads(asked[1][2]) == {topic: {"0": 10, "1": 10, "2": 10}}
+    assert json.loads(asked[1][2]) == {topic: {"0": 10, "1": 10, "2": 10, "3": -2}}
     with pytest.raises(KeyError, match="callType"):
         ingest(spark, "no such feed", "b:1", keep)
 

@@ -15,7 +15,7 @@ from ..session import written
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Rows of one key a single task of a shuffled join may get.
-HOT_ROWS = 5_000_000
+HOT_ROWS = 1_000_000
 
 _FIXED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
@@ -79,7 +79,7 @@ def join_right(
     broadcast: bool | None = None,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Join a large ``df`` to a side of unknown size; nulls equal nulls.
 
@@ -88,7 +88,8 @@ def join_right(
     ``df`` has too often are split over one task per ``hot_rows`` of them, to
     each of which the key's rows of ``right`` are repeated. Column names of
     ``right`` must differ from those of ``df``. ``also`` is a further
-    condition; ``broadcast`` skips the count if the caller has made it.
+    condition; ``broadcast`` skips the count if the caller has made it, and
+    ``hot_rows=None`` the count of keys that are known to be spread evenly.
     """
     same = _all_equal(keys, right_keys)
     if also is not None:
@@ -97,8 +98,8 @@ def join_right(
         broadcast = fits_broadcast(right, max_rows, max_bytes)
     if broadcast:
         return df.join(F.broadcast(right), same, how)
-    hot = hot_keys(df, keys, hot_rows)
-    if hot.isEmpty():
+    hot = None if hot_rows is None else hot_keys(df, keys, hot_rows)
+    if hot is None or hot.isEmpty():
         return df.join(right, same, how)
     names = [f"__hot_{i}" for i in range(len(keys))]
     # Hashing the row parts a hot key, the input partition parts its copies,
