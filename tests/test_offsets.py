@@ -54,6 +54,7 @@ def brute(rows, starts, ends, unlisted):
     [
         ('{"a":{"0":4,"1":-2}}', "{}"),
         ('{"a":{"0":4,"1":0,"2":9}}', '{"a":{"0":6,"1":-1,"2":-1}}'),
+        ('{"a":{"0":4,"1":3}}', '{"a":{"0":6,"1":9}}'),
         ("{}", '{"a":{"0":6}}'),
         ("{}", "{}"),
     ],
@@ -88,6 +89,16 @@ def test_range_reaches_the_file_scan(spark, rows, tmp_path, unlisted):
     assert "GreaterThanOrEqual(offset,4)" in plan[plan.index("PushedFilters") :].split("]")[0]
 
 
+def test_many_ranges_still_bound_the_file_scan(spark, rows, tmp_path):
+    path = str(tmp_path / "landed")
+    positions(spark, rows).write.parquet(path)
+    starts = {"a": {p: 4 + p for p in range(100)}}
+    got = select_range(spark.read.parquet(path), starts, unlisted="none")
+    assert values(got) == brute(rows, starts, {}, "none")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "GreaterThanOrEqual(offset,4)" in plan
+
+
 def test_prorate_shares_the_limit(spark):
     rng = random.Random(5)
     ranges = [("t", p, s, s + rng.choice([0, 1, 7, 5000, 10**13])) for p in range(20) for s in [rng.randrange(100)]]

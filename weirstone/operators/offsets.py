@@ -107,10 +107,24 @@ def _join_ranges(envelope: DataFrame, ranges: list[tuple], unlisted: str) -> Dat
     inside = F.coalesce(F.col("offset") >= F.col("__start"), F.lit(True)) & F.coalesce(
         F.col("offset") < F.col("__end"), F.lit(True)
     )
-    joined = envelope.join(F.broadcast(rows), same, "left" if unlisted == "all" else "inner")
+    if unlisted == "all":
+        joined = envelope.join(F.broadcast(rows), same, "left")
+    else:
+        joined = _coarse(envelope, ranges).join(F.broadcast(rows), same, "inner")
     return joined.where(inside).select(*envelope.columns)
 
 
+def _coarse(envelope: DataFrame, ranges: list[tuple]) -> DataFrame:
+    """The bounds all ranges share, which a file scan can use before the join."""
+    shared = F.col("topic").isin(sorted({r[0] for r in ranges}))
+    starts, ends = [r[2] for r in ranges], [r[3] for r in ranges]
+    if starts and None not in starts:
+        shared = shared & (F.col("offset") >= min(starts))
+    if ends and None not in ends:
+        shared = shared & (F.col("offset") < max(ends))
+    return envelope.where(shared)
+
+
 def prorate(ranges: DataFrame, limit: int) -> DataFrame:
     """Ends that bound each topic to about ``limit`` offsets.
 
