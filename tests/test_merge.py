@@ -189,9 +189,7 @@ def test_latest_arguments(spark):
     assert df.select(sum_columns(df, ["i", "k"])).first()[0] is None
 
 
-@pytest.mark.parametrize(
-    "options", [{}, SHUFFLED, SALTED], ids=["broadcast", "shuffled", "salted"]
-)
+@pytest.mark.parametrize("options", [{}, SHUFFLED], ids=["broadcast", "shuffled"])
 def test_dedup_of_copies(spark, options):
     rng = random.Random(2)
     once = [("t", p, o) for p in range(3) for o in range(300)]

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..session import written
 from ..sources.envelope import POSITION
-from .keyjoin import filter_by_keys, fits_broadcast
+from .keyjoin import BROADCAST_BYTES, BROADCAST_ROWS, filter_by_keys, fits_broadcast
 
 
 def sum_columns(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -79,18 +79,20 @@ def dedup_envelope(df: DataFrame) -> DataFrame:
     return df.dropDuplicates(list(POSITION))
 
 
-def dedup_rare_copies(df: DataFrame, **options) -> DataFrame:
+def dedup_rare_copies(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """:func:`dedup_envelope` for a stored envelope in which few messages have copies.
 
     The positions alone are counted first, and those with copies are written
-    to the shared folder. Messages without a copy are then passed on where
-    they are; only the copies are shuffled with their payload. Options as
-    :func:`join_right`.
+    to the shared folder. If they fit a broadcast, messages without a copy are
+    passed on where they are, and only the copies are shuffled with their
+    payload. If they do not, copies are not rare and all messages are shuffled.
     """
     at = list(POSITION)
     copied = written(df.groupBy(*at).count().where("count > 1").select(*at), "copies")
-    sizes = {k: options.pop(k) for k in ("max_rows", "max_bytes") if k in options}
-    options.setdefault("broadcast", fits_broadcast(copied, **sizes))
-    single = filter_by_keys(df, at, copied, "left_anti", **options)
-    copies = filter_by_keys(df, at, copied, "left_semi", **options)
+    if not fits_broadcast(copied, max_rows, max_bytes):
+        return dedup_envelope(df)
+    single = filter_by_keys(df, at, copied, "left_anti", broadcast=True)
+    copies = filter_by_keys(df, at, copied, "left_semi", broadcast=True)
     return single.unionByName(dedup_envelope(copies))
