@@ -80,6 +80,16 @@ def test_refresh_and_insert_tables(spark, tmp_path):
         assert values(got) == [("a", 1, 1), ("y", 2, 2), ("z", None, 3)]
 
 
+@pytest.mark.parametrize("keys", [("g", "k"), ("k",)])
+def test_insert_into_partitions(spark, tmp_path, keys):
+    rows = Insert(str(tmp_path / "i"), keys, ("g",))
+    rows.apply(stage(spark, [("a", 1, 1), ("b", 2, 1)]))
+    rows.apply(stage(spark, [("a", 1, 9), ("a", 2, 9), ("c", 3, 9)]))
+    got = values(spark.read.schema(ROW).parquet(rows.path))
+    new = [("a", 2, 9)] if "g" in keys else []
+    assert got == sorted([("a", 1, 1), ("b", 2, 1), ("c", 3, 9), *new], key=repr)
+
+
 def calls(spark, n, first=0):
     values = [json.dumps({"CallTypeID": str(i % 4), "RouterCallKeyDay": str(i % 5), "ANI": f"n{i}"}) for i in range(first + n)]
     frame = envelope(spark, values, ROUTE_CALL_DETAIL.topic)

@@ -8,6 +8,7 @@ from weirstone.operators import (
     dedup_rare_copies,
     filter_by_keys,
     fits_broadcast,
+    join_right,
     latest_per_key,
     latest_per_key_agg,
     merge_insert,
@@ -151,6 +152,8 @@ def test_merge_arguments(spark):
         filter_by_keys(t, ["k"], t, "inner")
     with pytest.raises(ValueError, match="key"):
         filter_by_keys(t, [], t, "left_anti")
+    with pytest.raises(ValueError, match="full"):
+        join_right(t, ["k"], t, ["k"], "full")
 
 
 @pytest.mark.parametrize("latest", [latest_per_key, latest_per_key_agg])

@@ -91,6 +91,8 @@ def join_right(
     condition; ``broadcast`` skips the count if the caller has made it, and
     ``hot_rows=None`` the count of keys that are known to be spread evenly.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"a {how!r} join cannot repeat the right side")
     same = _all_equal(keys, right_keys)
     if also is not None:
         same = same & also
