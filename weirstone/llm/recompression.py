@@ -17,6 +17,8 @@ from .common import text_words
 
 WINDOW = 50
 ROUNDS = 6
+# Order of symbols by how many words they are: eight or more, five, three, fewer.
+_RANK = np.array([3, 3, 3, 2, 2, 1, 1, 1, 0], np.uint64) << np.uint64(62)
 _FAR = 1 << 40
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -44,13 +46,14 @@ def recompressed(names: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, n
     has the symbol, whatever stands around them.
     """
     lo = np.arange(len(names), dtype=np.int64)
-    hi = lo + 1
+    hi, width = lo + 1, np.ones(len(names), np.int64)
     for step in range(rounds):
         if step % 3 == 0:
             first = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
             last = np.r_[first[1:], len(names)] - 1
             size = (last - first + 1).astype(np.uint64)
             lo, hi = np.r_[-_FAR, lo][first], np.r_[hi, _FAR][last + 1]
+            width = np.add.reduceat(width, first)
             names = np.where(size > 1, _mixed(names[first] + size * _B), names[first])
         right = (_mixed(names + np.uint64(step + 1)) & np.uint64(1)).astype(bool)
         pair = np.flatnonzero(~right[:-1] & right[1:])
@@ -59,10 +62,12 @@ def recompressed(names: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, n
         new_lo[pair], new_hi[pair] = lo[pair], hi[pair + 1]
         names = names.copy()
         names[pair] = _mixed(names[pair] * _A + names[pair + 1])
+        width[pair] += width[pair + 1]
         keep = np.ones(len(names), bool)
         keep[pair + 1] = False
-        names, lo, hi = names[keep], new_lo[keep], new_hi[keep]
-    return names, lo, hi
+        names, lo, hi, width = names[keep], new_lo[keep], new_hi[keep], width[keep]
+    # Of short symbols many texts have the same, so they come last in the order of names.
+    return names >> np.uint64(2) | _RANK[np.minimum(width, len(_RANK) - 1)], lo, hi
 
 
 def window_names(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,10 +172,10 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, content, text, anchors) to one row (a, b, doc, content) for each different window with such an anchor."""
-    for part, lists in _chunks(batches, 2):
+    """(doc, text, anchors) to one row (a, b, doc) for each different window with such an anchor."""
+    for part, lists in _chunks(batches, 1):
         owner, _, anchor, hashes = _windows(lists)
-        keys = part.column(3)
+        keys = part.column(2)
         sets = [np.array(keys[n].as_py(), np.int64).view(np.uint64) for n in range(part.num_rows)]
         which = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
@@ -178,9 +183,9 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.isin(_mixed(anchor + owner.astype(np.uint64) * _A), _mixed(flat + which.astype(np.uint64) * _A))
         owner, hashes = owner[wanted], hashes[:, wanted]
         first = _distinct(owner, hashes[0], hashes[1])
-        doc, content = (part.column(n).to_numpy(zero_copy_only=False) for n in (0, 1))
-        arrays = [hashes[0][first].view(np.int64), hashes[1][first].view(np.int64), doc[owner[first]], content[owner[first]]]
-        yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["a", "b", "doc", "content"])
+        doc = part.column(0).to_numpy(zero_copy_only=False)
+        arrays = [hashes[0][first].view(np.int64), hashes[1][first].view(np.int64), doc[owner[first]]]
+        yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["a", "b", "doc"])
 
 
 def _sha(words: list[bytes]) -> str:
@@ -263,22 +268,21 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     known = join_right(known, ["content"], equal, ["__copy"], "left")
     known = known.where(F.col("first").isNull() | (F.col("first") == F.col("doc")))
     windows = written(
-        known.select("doc", "content", "text", "__anchors").mapInArrow(
-            _window_rows, "a long, b long, doc long, content long"
-        ),
+        known.select("doc", "text", "__anchors").mapInArrow(_window_rows, "a long, b long, doc long"),
         "windows",
     )
     least = windows.groupBy("a", "b").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
     least = least.where(F.col("least") < F.col("most")).select(F.col("a").alias("__a"), F.col("b").alias("__b"), "least")
     gone = windows.join(least, (F.col("a") == F.col("__a")) & (F.col("b") == F.col("__b")))
-    gone = gone.where(F.col("least") < F.col("doc")).groupBy("doc", "content")
-    gone = written(gone.agg(F.collect_set("a").alias("windows")).withColumnsRenamed({"doc": "__doc", "content": "__content"}), "gone")
+    # Texts of one doc_id may share the set: a window that goes in one of them goes in each.
+    gone = gone.where(F.col("least") < F.col("doc")).groupBy(F.col("doc").alias("__doc"))
+    gone = written(gone.agg(F.collect_set("a").alias("windows")), "gone")
     marked = join_right(rows, ["content"], equal, ["__copy"], "left")
     # Only the texts that lose words are shuffled.
-    some = gone.select("__doc", "__content")
-    without = join_right(marked, ["doc", "content"], some, ["__doc", "__content"], "left_anti")
-    losing = join_right(marked, ["doc", "content"], some, ["__doc", "__content"], "left_semi")
-    losing = join_right(losing, ["doc", "content"], gone, ["__doc", "__content"], "inner").select("doc", "text", "first", "windows")
+    some = gone.select("__doc")
+    without = join_right(marked, ["doc"], some, ["__doc"], "left_anti")
+    losing = join_right(marked, ["doc"], some, ["__doc"], "left_semi")
+    losing = join_right(losing, ["doc"], gone, ["__doc"], "inner").select("doc", "text", "first", "windows")
     none = F.lit(None).cast("array<bigint>").alias("windows")
     both = without.select("doc", "text", "first", none).unionByName(losing)
     return both.mapInArrow(_result_rows, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
