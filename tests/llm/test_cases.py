@@ -1,0 +1,251 @@
+"""Nulls, empty and very long texts, repeated rows, empty tables and columns of clashing names."""
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+import brute  # noqa: E402
+
+from weirstone.llm import (  # noqa: E402
+    char_perplexity,
+    disclosure,
+    golay_simhash,
+    pareto_mix,
+    path_ratios,
+    piece_codec,
+    recompression,
+    subword_toxicity,
+    topk_products,
+    url_rules,
+)
+from weirstone.llm.components import components  # noqa: E402
+from weirstone.llm.queries import model_path  # noqa: E402
+
+LONG = " ".join(f"w{i % 997}x{i % 31}" for i in range(30_000))
+SAME = " ".join(f"same{i}" for i in range(60))
+ROWS = [
+    (1, SAME, "en", "a"), (2, SAME, "en", "a"), (2, SAME, "en", "a"), (3, None, None, None), (4, "", "en", "b"),
+    (5, " \n\t ", "en", "b"), (6, LONG, "de", None), (7, "a b " * 400, "en", "b"), (8, SAME + " tail of other words", "fr", "c"),
+    (None, SAME, "en", "c"), (9, "x\ud7ff é 你好 mail me@x.org or +1 (555) 123-4567 or 1.2.3.4 or 4539578763621486", "en", "c"),
+]
+EXTRA = "__row string, rank int, fp string, host string, terms string, __size int"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, lang, s, len(t) if t else 0, "k", 1, "f", "h", "t", 3) for i, t, lang, s in ROWS]
+    schema = f"doc_id long, text string, lang string, source string, n_chars long, {EXTRA}"
+    return spark.createDataFrame(rows, schema).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.limit(0)
+
+
+def test_mix(docs, none):
+    rows = pareto_mix.mix_report(docs).collect()
+    assert len(rows) == len(ROWS)
+    assert all(0 <= r.taken <= 3 * r["size"] for r in rows)
+    mixed = pareto_mix.mix(docs)
+    assert mixed.columns == docs.columns
+    assert mixed.count() == sum(r.copies for r in rows)
+    assert pareto_mix.mix_report(none).count() == 0
+    assert pareto_mix.mix(none).count() == 0
+
+
+def test_near_duplicates(docs, none):
+    rows = [tuple(r) for r in golay_simhash.near_duplicates(docs).collect()]
+    key = lambda r: (r[0] is None, r)
+    assert sorted(rows, key=key) == sorted(brute.near_duplicates([r[:2] for r in ROWS]), key=key)
+    kept = golay_simhash.first_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == sorted({r[2] for r in rows if r[0]})
+    assert golay_simhash.near_duplicates(none).count() == 0
+    assert golay_simhash.first_of_each(none).count() == 0
+
+
+def test_links_of_a_large_group_are_complete(spark):
+    import random
+
+    random.seed(5)
+    base = random.getrandbits(64)
+    fps = {base}
+    while len(fps) < 600:
+        near = random.choice(list(fps)) if random.random() < 0.3 else base
+        fps.add(near ^ sum(1 << b for b in random.sample(range(64), random.randint(1, 4))))
+    signed = {f: f - (1 << 64) if f >> 63 else f for f in fps}
+    frame = spark.createDataFrame([(s,) for s in signed.values()], "fp long")
+    want = {i: c for i, _, c in _closed(signed)}
+    for group in (1 << 16, 40):
+        roots = components(golay_simhash.fingerprint_links(frame, group)).collect()
+        found = {s: s for s in signed.values()} | {r.node: r.root for r in roots}
+        assert {(a, b) for a, b in want.items()} == {(a, b) for a, b in found.items()}
+
+
+def _closed(signed):
+    parent = {f: f for f in signed}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    names = list(signed)
+    for n, a in enumerate(names):
+        for b in names[:n]:
+            if (a ^ b).bit_count() <= 3:
+                parent[root(a)] = root(b)
+    least = {}
+    for f in names:
+        least[root(f)] = min(signed[f], least.get(root(f), signed[f]))
+    return [(signed[f], None, least[root(f)]) for f in names]
+
+
+def test_url_rules(spark):
+    rules = spark.createDataFrame(
+        [("net", "/", "block"), ("net", "/", "allow"), ("x.net", "/a", "allow"), ("x.net", "/a/b/", "block"), (None, "/", "block")],
+        "host string, path string, verdict string",
+    )
+    urls = [
+        None, "", "no scheme", "http://Y.NET/", "http://Y.NET", "http://x.net/abc?q=/a/b/", "s://q.x.net/a/b/c#f",
+        "http://xnet/", "http://x.net/a/b", "http://x.net/" + "a/" * 5000, "http://x.net/abc?q=/a/b/",
+    ]
+    pages = spark.createDataFrame([(n, u, "h", "r") for n, u in enumerate(urls)], "page_id long, url string, host string, rule string")
+    got = [(r.rule, r.verdict) for r in url_rules.judge_pages(pages, rules).orderBy("page_id").collect()]
+    allow, block = ("x.net/a", "allow"), ("x.net/a/b/", "block")
+    default = (None, "allow")
+    assert got == [default, default, default, ("net/", "block"), default, allow, block, default, allow, allow, allow]
+    assert url_rules.judge_pages(pages.limit(0), rules).count() == 0
+    assert url_rules.judge_pages(pages, rules.limit(0)).where("rule IS NOT NULL").count() == 0
+
+
+def test_pieces(docs, none):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=model_path())
+    texts = {i: t or "" for i, t, _, _ in ROWS}
+    for r in piece_codec.encode(docs, model_path()).collect():
+        assert list(r.ids) == model.encode(texts[r.doc_id], add_eos=True)
+        assert r.round_trip and r.n_tokens == len(r.ids)
+    assert piece_codec.encode(none, model_path()).count() == 0
+    assert piece_codec.digests(none, model_path()).count() == 0
+
+
+def test_top_products(spark):
+    vectors = [
+        (0, [1.0, 2.0]), (100, [1.0, 2.0]), (100, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [1.0]), (3, []), (4, None),
+        (5, [None, 1.0]), (6, [float("nan"), 1.0]), (7, [float("inf"), 0.0]), (8, [-1.5, 0.25]), (None, [9.0, 9.0]),
+        (200, [float("-inf")]), *[(n, [0.5, 0.5]) for n in range(9, 40)],
+    ]
+    frame = spark.createDataFrame([(i, v, 1) for i, v in vectors], "vec_id long, embedding array<float>, score int")
+    assert sorted(map(tuple, topk_products.top_products(frame).collect())) == brute.top_products(vectors)
+    assert topk_products.top_products(frame.limit(0)).count() == 0
+
+
+def test_toxicity(docs, none, spark):
+    labels = spark.createDataFrame([(1, 0), (None, 1), (6, None)], "doc_id long, toxic int")
+    model = subword_toxicity.fit(docs, labels)
+    rows = subword_toxicity.score(docs, model).collect()
+    assert len(rows) == len(ROWS) and all(0 <= r.score <= 1 for r in rows)
+    kept = subword_toxicity.without_toxic(docs, labels)
+    assert kept.columns == docs.columns and kept.count() == len(ROWS)
+    assert subword_toxicity.score(none, model).count() == 0
+    assert subword_toxicity.without_toxic(none, labels).count() == 0
+
+
+def test_unseen_misspellings_share_subwords():
+    toxic = [(f"the plain words here blargish{e} and more", 1) for e in ("a", "o", "es", "um", "ing", "ed")] * 5
+    clean = [(f"the plain words here table{e} and more", 0) for e in ("a", "o", "es", "um", "ing", "ed")] * 5
+    model = subword_toxicity.train(toxic + clean)
+    seen, other = model.scores(["some blargishment today", "some tableware today"])
+    assert seen > 0.5 > other
+
+
+def test_personal_data(docs, none):
+    rows = {r.doc_id: r for r in disclosure.find(docs).collect()}
+    text = dict((i, t) for i, t, _, _ in ROWS)[9]
+    assert rows[9].spans == ",".join(f"{k}:{s}:{e}" for k, s, e in brute.spans(text))
+    assert rows[3].spans == "" and rows[3].n_email == 0
+    clean = disclosure.sanitise(docs)
+    assert clean.columns == docs.columns and clean.count() == len(ROWS)
+    found = clean.where("doc_id = 9").first()
+    assert "[EMAIL]" in found.text and "[PHONE]" in found.text and found.n_chars == len(found.text)
+    assert disclosure.find(none).count() == 0 and disclosure.sanitise(none).count() == 0
+
+
+def test_terms_that_give_an_entity_away(spark):
+    texts = [f"note {n} from quixotrel filler{n} at joe@x.org about thing{n} one two{n}" for n in range(4)]
+    texts += [f"common words about thing{n} one" for n in range(40)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = disclosure.find(frame).orderBy("doc_id").collect()
+    assert all("term:" in r.spans for r in rows[:4])
+    assert all(r.spans == "" for r in rows[4:])
+    start = texts[0].index("quixotrel")
+    assert f"term:{start}:{start + len('quixotrel')}" in rows[0].spans
+    assert "quixotrel" not in disclosure.sanitise(frame).where("doc_id = 0").first().text
+
+
+def test_pages(spark):
+    html = [
+        None, "", "plain text only", "<p>one<p>two &amp; three", "<div class=sidebar>x</div><main><h1>T</h1><p>Body, text.</p></main>",
+        "<body><article><p>" + "word, " * 20_000 + "</p></article><footer>f</footer>", "<script>var a='<p>no</p>'</script><p>yes</p", "< b <",
+    ]
+    pages = spark.createDataFrame([(n, "u", h, "t") for n, h in enumerate(html)], "page_id long, url string, html string, text string")
+    got = [r.text for r in path_ratios.extract(pages).orderBy("page_id").collect()]
+    assert got[:5] == ["", "", "plain text only", "one two & three", "T Body, text."]
+    assert len(got[5].split()) == 20_000 and got[6] == "yes"
+    assert path_ratios.extract(pages.limit(0)).count() == 0
+
+
+def test_repeats(docs, none):
+    got = [tuple(r)[:4] for r in recompression.remove_repeats(docs).collect()]
+    key = lambda r: (r[0] is None, r)
+    assert sorted(got, key=key) == sorted(brute.without_repeats([r[:2] for r in ROWS]), key=key)
+    assert recompression.remove_repeats(none).count() == 0
+
+
+def test_repeats_with_runs_and_periods(spark):
+    import random
+
+    random.seed(2)
+    pieces = [["a"] * 70, ["a", "b"] * 60, [f"q{i}" for i in range(75)], ["z"] * 30, list("abcabd") * 20]
+    texts = []
+    for n in range(40):
+        words = []
+        for _ in range(random.randint(1, 4)):
+            piece = random.choice(pieces)
+            at = random.randint(0, len(piece) // 2)
+            words += piece[at:] + [f"u{n}_{i}" for i in range(random.randint(0, 40))]
+        texts.append((n, " ".join(words)))
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    got = sorted(tuple(r)[:4] for r in recompression.remove_repeats(frame).collect())
+    assert got == sorted(brute.without_repeats(texts))
+
+
+def test_quality(docs, none):
+    rows = char_perplexity.judge(docs).collect()
+    assert len(rows) == len(ROWS)
+    texts = {i: t for i, t, _, _ in ROWS}
+    for r in rows:
+        assert tuple(r)[1:6] == brute.base_counts(texts[r.doc_id])
+        assert not (r.base_failed and r.kept)
+    assert char_perplexity.judge(none).count() == 0
+
+
+def test_model_probabilities_sum_to_one():
+    import numpy as np
+
+    key, n = np.unique(char_perplexity.grams("the cat sat on the mat, the rat ate the cat. " * 9), return_counts=True)
+    model = char_perplexity.KneserNey(key, n)
+    for context in (0, int(model.contexts[3][3]), 12345):
+        assert np.exp(model.log((context << 6) + np.arange(64))).sum() == pytest.approx(1)
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    links = [(n, n + 1) for n in range(300)] + [(1000, 1001 + n) for n in range(500)] + [(5, 5)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {n: 0 for n in range(301)} | {n: 1000 for n in range(1000, 1501)}

@@ -138,7 +138,8 @@ def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b) <= MAX_BITS
+    # Of a signed number numpy counts the bits of its absolute value.
+    return np.bitwise_count((a ^ b).view(np.uint64)) <= MAX_BITS
 
 
 def _links(key: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -9,10 +9,9 @@ from collections.abc import Iterator
 from operator import add
 
 import ahocorasick
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 SPACE = "▁"
 # Kinds of a piece in a model file, fixed values.
@@ -225,24 +224,31 @@ def _model(docs: DataFrame, path: str):
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
-    """Per document: doc_id, ids (with the end id) and decoded, the text of these ids.
+    """Per document: doc_id, source, ids (with the end id), n_tokens, round_trip (whether they decode to the text).
 
-    Only doc_id and text are read. A null or empty text gives the end id and
-    an empty text; long texts are encoded whole; repeated rows give repeated
+    Only doc_id, source and text are read. A null or empty text gives the end
+    id alone; long texts are encoded whole; repeated rows give repeated
     results; an empty table gives an empty result.
     """
     model = _model(docs, path)
+    types = [pa.int64(), pa.string(), pa.list_(pa.int32()), pa.int64(), pa.bool_()]
+    names = ["doc_id", "source", "ids", "n_tokens", "round_trip"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [own.encode(t.as_py())[0] for t in part.column(1)]
-                arrays = [part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([own.decode(i) for i in ids], pa.string())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "ids", "decoded"])
+            for at in range(0, batch.num_rows, 128):  # ids of a few texts at a time
+                part, rows = batch.slice(at, 128), []
+                for doc, source, value in zip(part.column(0), part.column(1), part.column(2)):
+                    text = value.as_py() or ""
+                    ids = own.encode(text)[0]
+                    array = np.array(ids, np.int32)
+                    rows.append((doc.as_py(), source.as_py(), array, len(ids), own.decode(ids) == text))
+                arrays = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    schema = "doc_id long, source string, ids array<int>, n_tokens long, round_trip boolean"
+    return docs.select("doc_id", "source", "text").mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
@@ -266,27 +272,3 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
-
-
-def encode_column(docs: DataFrame, path: str):
-    """A function of a text column to its ids with the end id, as :func:`encode`."""
-    model = _model(docs, path)
-
-    @F.pandas_udf("array<int>")
-    def ids(texts: pd.Series) -> pd.Series:
-        own = codec(model.value)
-        return pd.Series([own.encode(t)[0] for t in texts], dtype="object")
-
-    return ids
-
-
-def decode_column(docs: DataFrame, path: str):
-    """A function of a column of ids to the text they stand for; null for null."""
-    model = _model(docs, path)
-
-    @F.pandas_udf("string")
-    def text(ids: pd.Series) -> pd.Series:
-        own = codec(model.value)
-        return pd.Series([None if i is None else own.decode(list(i)) for i in ids], dtype="object")
-
-    return text

@@ -277,7 +277,8 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def toxic(texts: pd.Series) -> pd.Series:
         if not own:
             own.append(ToxicModel(*sent.value))
-        return pd.Series(own[0].scores(list(texts)), dtype="float64")
+        parts = (own[0].scores(list(texts.iloc[at : at + 256])) for at in range(0, len(texts), 256))
+        return pd.Series([s for part in parts for s in part], dtype="float64")
 
     kept = docs.select(F.struct("*").alias("__row")).where(toxic(F.col("__row.text")) < THRESHOLD)
     return kept.select("__row.*")
