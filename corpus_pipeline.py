@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from weirstone.llm import disclosure, golay_simhash, pareto_mix, piece_codec, subword_toxicity
 from weirstone.llm.queries import model_path
@@ -40,14 +39,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null text is encoded like an empty one.
     """
-    ids = piece_codec.encode_column(docs, model_path())
-    decoded = piece_codec.decode_column(docs, model_path())
-    rows = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("ids", ids("text"))
-    return rows.select(
-        "doc_id", "source", "ids", F.size("ids").cast("bigint").alias("n_tokens"),
-        (decoded("ids") == F.col("text")).alias("round_trip"),
-    )
+    return piece_codec.encode(docs, model_path())
 
 
 STAGES: list[tuple[str, Stage]] = [
