@@ -43,7 +43,9 @@ def select_range(
 ) -> DataFrame:
     """Rows from each start (inclusive) to each end (exclusive).
 
-    A start of -2 and an end of -1 leave that side open. Partitions without a
+    A start of -2 and an end of -1 leave that side open. A row without an
+    offset is outside any bound; one without a topic or partition is of no
+    listed partition. Partitions without a
     start are read whole, as new partitions of a topic must be; ``unlisted=
     "none"`` leaves them out. Up to 64 partitions become a filter that reaches
     the file scan; more are joined as a broadcast list, whose size is that of
@@ -82,7 +84,7 @@ def _filter_ranges(envelope: DataFrame, ranges: list[tuple], unlisted: str) -> D
     if unlisted == "all":
         bounds = []
         for topic, part, start, end in ranges:
-            other = (F.col("topic") != topic) | (F.col("partition") != part)
+            other = ~F.col("topic").eqNullSafe(topic) | ~F.col("partition").eqNullSafe(part)
             if start is not None:
                 bounds.append(other | (offset >= start))
             if end is not None:
@@ -104,24 +106,45 @@ def _join_ranges(envelope: DataFrame, ranges: list[tuple], unlisted: str) -> Dat
         ranges, "__topic string, __partition int, __start bigint, __end bigint"
     )
     same = (F.col("topic") == F.col("__topic")) & (F.col("partition") == F.col("__partition"))
-    inside = F.coalesce(F.col("offset") >= F.col("__start"), F.lit(True)) & F.coalesce(
-        F.col("offset") < F.col("__end"), F.lit(True)
+    inside = (F.col("__start").isNull() | (F.col("offset") >= F.col("__start"))) & (
+        F.col("__end").isNull() | (F.col("offset") < F.col("__end"))
     )
     if unlisted == "all":
-        joined = envelope.join(F.broadcast(rows), same, "left")
+        joined = _coarse_or_unlisted(envelope, ranges).join(F.broadcast(rows), same, "left")
     else:
         joined = _coarse(envelope, ranges).join(F.broadcast(rows), same, "inner")
     return joined.where(inside).select(*envelope.columns)
 
 
-def _coarse(envelope: DataFrame, ranges: list[tuple]) -> DataFrame:
-    """The bounds all ranges share, which a file scan can use before the join."""
-    shared = F.col("topic").isin(sorted({r[0] for r in ranges}))
+def _shared(ranges: list[tuple]) -> Column | None:
+    """The offsets between the lowest start and the highest end, where all ranges have one."""
     starts, ends = [r[2] for r in ranges], [r[3] for r in ranges]
+    bounds = []
     if starts and None not in starts:
-        shared = shared & (F.col("offset") >= min(starts))
+        bounds.append(F.col("offset") >= min(starts))
     if ends and None not in ends:
-        shared = shared & (F.col("offset") < max(ends))
+        bounds.append(F.col("offset") < max(ends))
+    return reduce(and_, bounds) if bounds else None
+
+
+def _coarse_or_unlisted(envelope: DataFrame, ranges: list[tuple]) -> DataFrame:
+    """Rows inside the shared bounds, or surely of no listed partition; a file scan can use it."""
+    bounds = _shared(ranges)
+    if bounds is None:
+        return envelope
+    topic, part = F.col("topic"), F.col("partition")
+    other_topic = topic.isNull() | ~topic.isin(sorted({r[0] for r in ranges}))
+    parts = [r[1] for r in ranges]
+    other_part = part.isNull() | (part < min(parts)) | (part > max(parts))
+    return envelope.where(other_topic | other_part | bounds)
+
+
+def _coarse(envelope: DataFrame, ranges: list[tuple]) -> DataFrame:
+    """The bounds all ranges share, which a file scan can use before the join."""
+    shared = F.col("topic").isin(sorted({r[0] for r in ranges}))
+    bounds = _shared(ranges)
+    if bounds is not None:
+        shared = shared & bounds
     return envelope.where(shared)
 
 

@@ -74,15 +74,20 @@ def ingest_to_stage(
 ) -> StreamingQuery:
     """Flat rows to a stage and its merges, batch by batch.
 
-    The load key is the batch number: a batch that is run again replaces what
+    The load key is the query's id and the batch number: a batch that is run again replaces what
     it staged, and the merges are the same when repeated, so the effect is
     exactly once although a batch may run twice.
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        key = f"{feed.load_name}_{number}"
+        spark = batch.sparkSession
+        if getattr(stage, "truncate", False) and batch.isEmpty():
+            return
+        # The query's id lives in its checkpoint: another query's batches have other keys.
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        key = "_".join(x for x in (feed.load_name, query, str(number)) if x)
         stage.write(batch, key)
-        staged = stage.read(batch.sparkSession, key)
+        staged = stage.read(spark, key)
         for merge in merges:
             (merge if callable(merge) else merge.apply)(staged)
 
