@@ -68,7 +68,7 @@ _LOCK = """
     CAST(date_add(CAST(o_orderdate AS DATE), 14) AS STRING) AS ValidTo,
     o_custkey AS BusinessPartner,
     o_orderkey + 220000000000 AS ContractAccount,
-    'Line Item' AS LockObjectCategoryName,
+    'Invoice Row' AS LockObjectCategoryName,
     o_orderpriority AS ProcessCodeName,
     'Lock' AS LockReasonName,
     '' AS ChangedBy,
@@ -77,7 +77,7 @@ _LOCK = """
     '00000000' AS DateID,
     '' AS Identification,
     '1' AS Count,
-    '20200203175314' AS DFKKLOCKS_DF_TS,
+    '20210504081500' AS DFKKLOCKS_DF_TS,
     'D' AS DFKKLOCKS_DF_DI"""
 
 

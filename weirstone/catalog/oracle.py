@@ -102,7 +102,7 @@ _LOCK_VALUES = [
     ("ValidTo", "valid_to", "CAST(o_orderdate AS DATE) + 14"),
     ("BusinessPartner", "business_partner_number", "CAST(o_custkey AS VARCHAR)"),
     ("ContractAccount", "connection_contract_number", "CAST(o_orderkey + 220000000000 AS VARCHAR)"),
-    ("LockObjectCategoryName", "lock_object_category_name", "'Line Item'"),
+    ("LockObjectCategoryName", "lock_object_category_name", "'Invoice Row'"),
     ("ProcessCodeName", "process_code_name", "o_orderpriority"),
     ("LockReasonName", "lock_reason_name", "'Lock'"),
     ("ChangedBy", "changed_by", "''"),
@@ -111,7 +111,7 @@ _LOCK_VALUES = [
     ("DateID", "date_id", "'00000000'"),
     ("Identification", "identification", "''"),
     ("Count", "record_count", "'1'"),
-    ("DFKKLOCKS_DF_TS", "DFKKLOCKS_DF_TS", "'20200203175314'"),
+    ("DFKKLOCKS_DF_TS", "DFKKLOCKS_DF_TS", "'20210504081500'"),
     ("DFKKLOCKS_DF_DI", "DFKKLOCKS_DF_DI", "'D'"),
 ]
 
