@@ -174,3 +174,25 @@ def test_start_offsets(spark):
     assert start_offsets(store, "a").first()["offsets"] == '{"a":{"0":7}}'
     assert json.loads(start_offsets_text(store, "a", 3)) == {"a": {"0": 7, "1": -2, "2": -2}}
     assert start_offsets_text(store, "unknown") == "earliest"
+
+
+def test_gaps_before_the_first_offset_read(spark):
+    rows = [("t", 0, o) for o in (7, 8, 10)] + [("t", 1, 3)]
+    starts = positions(spark, [("t", 0, 4), ("t", 1, 3), ("t", 2, 0)])
+    assert values(offset_gaps(positions(spark, rows), starts)) == [("t", 0, 4, 6), ("t", 0, 9, 9)]
+
+
+def test_a_bounded_batch_filters_the_scan_of_whole_rows(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    positions(spark, [("a", 0, o) for o in range(1000)] + [("b", 0, 5)]).write.parquet(path)
+    got = bound_batch(spark.read.parquet(path), 100)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(offset,100)" in plan
+    assert values(got) == sorted([("a", 0, o) for o in range(100)] + [("b", 0, 5)])
+    none = bound_batch(spark.read.parquet(path).where("offset < 0"), 100)
+    assert values(none) == []
+
+
+def test_unknown_partitions_below_the_highest_known_start_at_the_earliest(spark):
+    store = positions(spark, [("a", 0, 5), ("a", 2, 7)])
+    assert json.loads(start_offsets_text(store, "a")) == {"a": {"0": 5, "1": -2, "2": 7}}

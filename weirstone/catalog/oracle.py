@@ -227,6 +227,15 @@ WHERE event_id // 3 < first + CASE WHEN share < 1 THEN ceil(share) ELSE floor(sh
     "offset_gaps": """
 WITH seen AS (SELECT DISTINCT l_orderkey % 3 AS part, l_orderkey // 3 AS o FROM lineitem),
 pairs AS (SELECT part, o, lag(o) OVER (PARTITION BY part ORDER BY o) AS before FROM seen)
+SELECT 'lineitem' AS topic, CAST(part AS INTEGER) AS partition,
+  CAST(before + 1 AS BIGINT) AS gap_start, CAST(o - 1 AS BIGINT) AS gap_end
+FROM pairs WHERE o - before > 1""",
+    "offset_gaps_from_start": """
+WITH seen AS (SELECT DISTINCT l_orderkey % 3 AS part, l_orderkey // 3 AS o FROM lineitem),
+starts AS (SELECT o_orderkey % 3 AS part, min(o_orderkey // 3) - 2 AS start FROM orders GROUP BY 1),
+pairs AS (
+  SELECT part, o, coalesce(lag(o) OVER (PARTITION BY part ORDER BY o), start - 1) AS before
+  FROM seen LEFT JOIN starts USING (part))
 SELECT 'lineitem' AS topic, CAST(part AS INTEGER) AS partition,
   CAST(before + 1 AS BIGINT) AS gap_start, CAST(o - 1 AS BIGINT) AS gap_end
 FROM pairs WHERE o - before > 1""",

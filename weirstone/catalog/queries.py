@@ -183,6 +183,17 @@ def offset_gaps(spark: SparkSession, folder: str) -> DataFrame:
     return op.offset_gaps(inputs.item_positions(spark, folder))
 
 
+def offset_gaps_from_start(spark: SparkSession, folder: str) -> DataFrame:
+    """Gaps of a read that was to start two offsets before the first order of each partition."""
+    starts = (
+        table(spark, folder, "orders")
+        .groupBy((F.col("o_orderkey") % 3).cast("int").alias("partition"))
+        .agg((F.min(F.expr("o_orderkey div 3")) - 2).alias("offset"))
+        .select(F.lit("lineitem").alias("topic"), "partition", "offset")
+    )
+    return op.offset_gaps(inputs.item_positions(spark, folder), starts)
+
+
 def next_offsets(spark: SparkSession, folder: str) -> DataFrame:
     """Orders are stored from before, events are new."""
     store = op.next_offsets(inputs.order_positions(spark, folder))
@@ -408,7 +419,7 @@ def jdbc_query_scan(spark: SparkSession, folder: str) -> DataFrame:
         f'(SELECT "o_custkey", COUNT(*) AS "orders", MAX("o_orderkey") AS "last_order"'
         f' FROM {name} GROUP BY "o_custkey") q'
     )
-    return scan(spark, db, query, column="o_custkey", bounds=(0, 1500), num_partitions=4)
+    return scan_split(spark, db, query, "o_custkey", 4)
 
 
 def jdbc_append_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -417,7 +428,7 @@ def jdbc_append_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "events").select("event_id", "ts", "user_id", "value")
     append(rows, db, name)
     append(rows, db, name)
-    return scan(spark, db, name, options={"preferTimestampNTZ": "true"})
+    return scan_split(spark, db, name, "event_id", 4, options={"preferTimestampNTZ": "true"})
 
 
 def jdbc_write_modes(spark: SparkSession, folder: str) -> DataFrame:
@@ -429,17 +440,16 @@ def jdbc_write_modes(spark: SparkSession, folder: str) -> DataFrame:
     write(events, db, name, mode="ignore")
     kept = scan(spark, db, name).agg(F.count(F.lit(1)).alias("n")).first()["n"]
     write(events, db, name, mode="overwrite")
-    return scan(spark, db, name).select("id", F.lit(kept).cast("bigint").alias("rows_after_ignore"))
+    return scan_split(spark, db, name, "id", 4).select("id", F.lit(kept).cast("bigint").alias("rows_after_ignore"))
 
 
 def stage_truncate_load(spark: SparkSession, folder: str) -> DataFrame:
     """The stage holds the second load only."""
     db, name = _database(spark), _table_name()
-    truncate_load(flatten_call_type(spark, folder).select("recovery_key", "kafka_topic"), db, name)
-    truncate_load(
-        flatten_route_call_detail(spark, folder).select("recovery_key", "kafka_topic"), db, name
-    )
-    return scan(spark, db, name)
+    columns = ("recovery_key", "kafka_topic", "kafka_offset")
+    truncate_load(flatten_call_type(spark, folder).select(*columns), db, name)
+    truncate_load(flatten_route_call_detail(spark, folder).select(*columns), db, name)
+    return scan_split(spark, db, name, "kafka_offset", 4).drop("kafka_offset")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -468,6 +478,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         offset_range,
         bounded_batch,
         offset_gaps,
+        offset_gaps_from_start,
         next_offsets,
         offsets_json,
         offsets_rows,

@@ -14,6 +14,10 @@ from ..sources.envelope import POSITION
 from .keyjoin import BROADCAST_BYTES, BROADCAST_ROWS, filter_by_keys, fits_broadcast
 
 
+# Copies above this share of all messages are not rare; the error of its estimate is well below it.
+RARE_SHARE, RARE_ERROR = 0.1, 0.02
+
+
 def sum_columns(df: DataFrame, columns: Sequence[str]) -> Column:
     """Row-wise sum of numeric columns: null if any is null or on overflow."""
     if not columns:
@@ -80,16 +84,24 @@ def dedup_envelope(df: DataFrame) -> DataFrame:
 
 
 def dedup_rare_copies(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+    df: DataFrame,
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
+    share: float = RARE_SHARE,
 ) -> DataFrame:
     """:func:`dedup_envelope` for a stored envelope in which few messages have copies.
 
-    The positions alone are counted first, and those with copies are written
-    to the shared folder. If they fit a broadcast, messages without a copy are
+    One scan of the positions estimates the share of copies, without a
+    shuffle; above ``share`` all messages are shuffled at once. Else the
+    positions alone are counted, and those with copies are written to the
+    shared folder. If they fit a broadcast, messages without a copy are
     passed on where they are, and only the copies are shuffled with their
     payload. If they do not, copies are not rare and all messages are shuffled.
     """
     at = list(POSITION)
+    rows, messages = df.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*at), RARE_ERROR)).first()
+    if messages < (1 - share) * rows:
+        return dedup_envelope(df)
     copied = written(df.groupBy(*at).count().where("count > 1").select(*at), "copies")
     if not fits_broadcast(copied, max_rows, max_bytes):
         return dedup_envelope(df)

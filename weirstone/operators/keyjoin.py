@@ -51,16 +51,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     """Keys of more than ``hot_rows`` rows, as ``__hot_<i>``, with a number of salts.
 
     The rows are counted before the shuffle. There are no more such keys than
-    rows of ``df`` over ``hot_rows``; they are written to the shared folder,
-    and should they still exceed a broadcast, only the hotter ones are kept.
+    rows of ``df`` over ``hot_rows``; they are written to the shared folder.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     named = [F.col(k).alias(f"__hot_{i}") for i, k in enumerate(keys)]
     hot = written(counts.where(F.col("__rows") > hot_rows).select(*named, "__rows"), "hot-keys")
-    floor = hot_rows
-    while not fits_broadcast(hot):
-        floor *= 10
-        hot = hot.where(F.col("__rows") > floor)
     return hot.withColumn("__salts", F.ceil(F.col("__rows") / hot_rows)).drop("__rows")
 
 
@@ -103,19 +98,21 @@ def join_right(
     hot = None if hot_rows is None else hot_keys(df, keys, hot_rows)
     if hot is None or hot.isEmpty():
         return df.join(right, same, how)
+    # A list too long for a broadcast is joined like any other side; skewed partitions of it are split at run time.
+    hot = F.broadcast(hot) if fits_broadcast(hot) else hot
     names = [f"__hot_{i}" for i in range(len(keys))]
     # Hashing the row parts a hot key, the input partition parts its copies,
     # and both are the same again when a lost task is run again.
     parts = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
     salt = F.pmod(F.xxhash64(F.spark_partition_id(), *parts), F.col("__salts"))
     salted = (
-        df.join(F.broadcast(hot), _all_equal(keys, names), "left")
+        df.join(hot, _all_equal(keys, names), "left")
         .withColumn("__salt", F.coalesce(salt, F.lit(0)))
         .drop(*names, "__salts")
     )
     last = F.coalesce(F.col("__salts"), F.lit(1)) - 1
     repeated = (
-        right.join(F.broadcast(hot), _all_equal(right_keys, names), "left")
+        right.join(hot, _all_equal(right_keys, names), "left")
         .withColumn("__salt_of", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
         .drop(*names, "__salts")
     )

@@ -10,6 +10,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
 from .keyjoin import join_right
 
 # Fixed values of the offset format.
@@ -164,21 +165,32 @@ def prorate(ranges: DataFrame, limit: int) -> DataFrame:
     return ranges.withColumn("end", F.when(total > 0, bounded).otherwise(F.col("end")))
 
 
+def batch_ends(envelope: DataFrame, limit: int) -> DataFrame:
+    """Where a batch of about ``limit`` rows per topic ends: ``topic, partition, offset`` (exclusive)."""
+    span = envelope.groupBy("topic", "partition").agg(
+        F.min("offset").alias("start"), (F.max("offset") + 1).alias("end")
+    )
+    return prorate(span, limit).select("topic", "partition", F.col("end").alias("offset"))
+
+
 def bound_batch(envelope: DataFrame, limit: int) -> DataFrame:
     """The first offsets of every partition, about ``limit`` per topic.
 
     The cut is an offset per partition, found from the smallest and largest
     one, so no partition is sorted or gathered and the rows are not shuffled.
+    The cuts are found once, by a scan of the positions alone; the scan of the
+    whole rows gets the highest of them as a filter.
     """
-    span = (
-        envelope.groupBy("topic", "partition")
-        .agg(F.min("offset").alias("start"), (F.max("offset") + 1).alias("end"))
-    )
-    cuts = prorate(span, limit).select(
-        F.col("topic").alias("__topic"),
-        F.col("partition").alias("__partition"),
-        F.col("end").alias("__end"),
+    cuts = written(
+        batch_ends(envelope, limit).select(
+            F.col("topic").alias("__topic"),
+            F.col("partition").alias("__partition"),
+            F.col("offset").alias("__end"),
+        ),
+        "cuts",
     )
+    highest = cuts.agg(F.max("__end")).first()[0]
+    envelope = envelope.where(F.lit(False) if highest is None else F.col("offset") < highest)
     return join_right(
         envelope,
         ["topic", "partition"],
@@ -189,9 +201,13 @@ def bound_batch(envelope: DataFrame, limit: int) -> DataFrame:
     )
 
 
-def offset_gaps(envelope: DataFrame) -> DataFrame:
+def offset_gaps(envelope: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     """Missing offsets inside each partition, as ``gap_start`` to ``gap_end``.
 
+    With ``starts`` (``topic, partition, offset``, where a read began), what is
+    missing between a start and the first offset read is a gap too, which is
+    how expired messages show. A partition nothing was read of has no gap.
+
     Presence is kept as one 64-bit word per 64 offsets, combined before the
     shuffle, so copies of a message cost nothing. Words are compared with
     their neighbours inside blocks, and only the edges of the blocks across a
@@ -222,11 +238,15 @@ def offset_gaps(envelope: DataFrame) -> DataFrame:
         .select(*at, F.explode(F.concat(F.array(_gap(F.col("before"), F.col("lo"))), holes)).alias("g"))
         .select(*at, "g.*")
     )
-    across = Window.partitionBy(*at).orderBy("block")
+    across = Window.partitionBy(*at).orderBy(F.col("block").asc_nulls_first())
+    # Edges of blocks come from the same words (no word is empty), so their shuffle is used again.
+    edges = words.where("bits <> 0").groupBy(*at, "block").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    if starts is not None:
+        nothing = F.lit(None).cast("bigint")
+        before = starts.groupBy(*at).agg((F.max("offset") - 1).alias("hi"))
+        edges = edges.unionByName(before.select(*at, nothing.alias("block"), nothing.alias("lo"), "hi"))
     between = (
-        seen.groupBy(*at, "block")
-        .agg(*edge)
-        .select(*at, _gap(F.lag("hi").over(across), F.col("lo")).alias("g"))
+        edges.select(*at, _gap(F.lag("hi").over(across), F.col("lo")).alias("g"))
         .select(*at, "g.*")
     )
     return inside.unionByName(between).where("gap_end >= gap_start")
@@ -296,13 +316,15 @@ def start_offsets(store: DataFrame, topic: str) -> DataFrame:
 def start_offsets_text(store: DataFrame, topic: str, partitions: int | None = None) -> str:
     """:func:`start_offsets` as a reader option; ``earliest`` for an unknown topic.
 
-    With ``partitions``, those the store does not know yet start at the earliest.
+    A reader wants all partitions of the topic named. Partitions are numbered
+    from 0, so those below the highest known one, and with ``partitions`` all
+    up to that number, start at the earliest if the store does not know them.
     """
     text = start_offsets(store, topic).first()["offsets"]
     known = parse_offsets(text).get(topic, {})
     if not known:
         return "earliest"
-    full = {p: known.get(p, EARLIEST) for p in {*known, *range(partitions or 0)}}
+    full = {p: known.get(p, EARLIEST) for p in {*known, *range(max(partitions or 0, *known))}}
     return json.dumps(
         {topic: {str(p): full[p] for p in sorted(full)}}, separators=(",", ":")
     )
