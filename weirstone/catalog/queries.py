@@ -24,7 +24,7 @@ from ..plans import (
 from ..plans.feeds import INTENT_FIXES, INTERVAL_TYPE, STATE_SLICE
 from ..session import shared_folder
 from ..sinks import ParquetStage, append, truncate_load, write
-from ..sources import JdbcConnection, key_value, scan, table, text_envelope
+from ..sources import JdbcConnection, key_value, scan, scan_split, table, text_envelope
 from ..sources.tables import file_stream
 from ..streaming import dedup_stream, ingest_to_files, ingest_to_stage
 from . import inputs
