@@ -186,3 +186,14 @@ def test_load_key():
 def test_shared_folder_follows_the_session(spark):
     a, b = shared_folder(spark, "p"), shared_folder(spark, "p")
     assert a != b and a.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_many_touched_partitions_still_prune_the_target(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(targets, "FILTER_PARTITIONS", 1)
+    path = f"{tmp_path}/target"
+    spark.range(20).selectExpr("id AS v", "cast(id AS int) AS g").write.partitionBy("g").parquet(path)
+    stage = spark.createDataFrame([(1, 5), (2, 7), (3, 9)], "v long, g int")
+    got = targets.touched_partitions(spark.read.parquet(path), stage, ["g"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "(g#" in plan[plan.index("PartitionFilters") :].split("]")[0] and ">= 5)" in plan
+    assert sorted(r.g for r in got.collect()) == [5, 7, 9]
