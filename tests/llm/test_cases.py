@@ -189,6 +189,16 @@ def test_terms_that_give_an_entity_away(spark):
     assert "quixotrel" not in disclosure.sanitise(frame).where("doc_id = 0").first().text
 
 
+
+def test_terms_beside_an_entity_of_one_text(spark):
+    texts = ["reply to quixotrel at joe@x.org about things"] + [f"reply to words at noon about things {n}" for n in range(99)]
+    for copies in (1, 30):  # the same surroundings, once or again and again
+        frame = spark.createDataFrame(list(enumerate(texts[:1] * copies + texts[1:])), "doc_id long, text string")
+        rows = {r.doc_id: r.spans for r in disclosure.find(frame).collect()}
+        assert all(rows[n] == "email:22:31,term:9:18" for n in range(copies))
+        assert all(rows[n] == "" for n in range(copies, len(rows)))
+
+
 def test_pages(spark):
     html = [
         None, "", "plain text only", "<p>one<p>two &amp; three", "<div class=sidebar>x</div><main><h1>T</h1><p>Body, text.</p></main>",

@@ -21,9 +21,11 @@ TERM = "term"
 # Words on each side of an entity that may give it away.
 NEAR = 6
 # A term is generalised from this share of an entity's information on, and
-# removed if it gives all of it away; it must be seen with the entity in so
-# many different surroundings, or the estimate is one of a single passage.
-GENERALISE, REMOVE, SURROUNDINGS = 0.9, 1.0, 2
+# removed if each text with it holds the entity.
+GENERALISE, REMOVE = 0.9, 1.0
+# So many documents in which term and entity are independent are counted besides:
+# what few documents show counts for less, and for more the larger the corpus is.
+PRIOR = 0.5
 HELD = 400_000
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -89,8 +91,8 @@ def term_of(word: str) -> str:
     return word if len(word) >= 3 and any(c.isalpha() for c in word) else ""
 
 
-def _surroundings(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, int]]:
-    """(entity, term, surrounding) of the terms near each entity, outside all spans."""
+def _surroundings(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
+    """(entity, term) of the terms near each entity, outside all spans."""
     words = [(m.start(), m.end(), m[0]) for m in _WORD.finditer(text)]
     taken = sorted((s, e) for _, s, e in spans)
     free, n = [], 0
@@ -104,21 +106,19 @@ def _surroundings(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tupl
     for kind, start, end in spans:
         entity = _hash(f"{kind}:{''.join(c for c in text[start:end].lower() if c.isalnum() or c in '@.')}")
         first, last = max(0, bisect_right(starts, start) - 1), bisect_left(starts, end)
-        near = [t for t in free[max(0, first - NEAR) : last + NEAR] if t]
-        around = _hash(" ".join(near))
-        for term in set(near):
-            yield entity, _hash(term), around
+        for term in {t for t in free[max(0, first - NEAR) : last + NEAR] if t}:
+            yield entity, _hash(term)
 
 
 def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows: list[tuple[int, int, int, int]] = []
+        rows: list[tuple[int, int, int]] = []
         for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = value.as_py()
             if text and (spans := base_spans(text)):
                 rows += [(doc, *r) for r in set(_surroundings(text, spans))]
-        columns = list(zip(*rows)) or [()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc", "entity", "term", "around"])
+        columns = list(zip(*rows)) or [()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc", "entity", "term"])
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,37 +153,35 @@ def disclosures(docs: DataFrame) -> DataFrame:
     """content, terms: per text the terms in it that give away an entity of it, as (hash, whether to remove).
 
     With N documents, n of them with the entity, m with the term and b with
-    both, the term gives log(N b / (n m)) of the entity's log(N / n): at
-    least the share GENERALISE, in SURROUNDINGS different surroundings or
-    more. All documents are counted, whole; a text's content is its hash.
+    both, the entity's share in documents with the term is taken as
+    p = (b + PRIOR n / N) / (m + PRIOR), and the term gives log(N p / n) of
+    the entity's log(N / n): at least the share GENERALISE. Entities of one
+    document are judged like any other. All documents are counted, whole; a
+    text's content is its hash.
     """
     rows = docs.select(F.xxhash64("text").alias("content"), "text")
-    seen = written(rows.mapInArrow(_evidence, "doc long, entity long, term long, around long").distinct(), "evidence")
+    seen = written(rows.mapInArrow(_evidence, "doc long, entity long, term long").distinct(), "evidence")
     empty = seen.sparkSession.createDataFrame([], "content long, terms array<struct<term: bigint, gone: boolean>>")
     if seen.isEmpty():
         return empty
     copies = docs.groupBy(F.xxhash64("text").alias("doc")).agg(F.count(F.lit(1)).alias("rows"))
     total = docs.count()
-    weighed = seen.select("doc", "entity", "term").distinct().join(copies, "doc")
-    both = weighed.groupBy("entity", "term").agg(F.sum("rows").alias("both"))
-    around = seen.select("entity", "term", "around").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("around"))
-    pairs = both.join(around.where(F.col("around") >= SURROUNDINGS), ["entity", "term"])
-    pairs = written(pairs, "pairs")
-    if pairs.isEmpty():
-        return empty
+    weighed = seen.join(copies, "doc")
+    pairs = written(weighed.groupBy("entity", "term").agg(F.sum("rows").alias("both")), "pairs")
     entities = weighed.select("doc", "entity", "rows").distinct().groupBy("entity").agg(F.sum("rows").alias("with_entity"))
     wanted = pairs.select(F.col("term").alias("__term")).distinct()
     counts = docs.select("text").mapInArrow(_terms, "term long, n long").groupBy("term").agg(F.sum("n").alias("with_term"))
     counts = join_right(counts, ["term"], wanted, ["__term"], "left_semi", hot_rows=None)
     known = pairs.join(entities, "entity").join(counts, "term")
-    given = F.log(F.lit(float(total)) * F.col("both") / (F.col("with_entity") * F.col("with_term")))
-    share = given / F.log(F.lit(float(total)) / F.col("with_entity"))
+    rate = F.col("with_entity") / F.lit(float(total))
+    share = 1 - F.log((F.col("both") + PRIOR * rate) / (F.col("with_term") + PRIOR)) / F.log(rate)
+    plain = 1 - F.log(F.col("both") / F.col("with_term")) / F.log(rate)
     strong = known.where((F.col("with_entity") < total) & (share >= GENERALISE)).select(
-        "entity", "term", (share >= REMOVE - 1e-9).alias("gone")
+        "entity", "term", (plain >= REMOVE - 1e-9).alias("gone")
     )
     strong = written(strong, "disclosing")
     right = strong.select(F.col("entity").alias("__entity"), F.col("term").alias("__term"), "gone")
-    hits = join_right(seen.select("doc", "entity", "term").distinct(), ["entity", "term"], right, ["__entity", "__term"], "inner")
+    hits = join_right(seen, ["entity", "term"], right, ["__entity", "__term"], "inner")
     gone = hits.groupBy("doc", "term").agg(F.max("gone").alias("gone"))
     # No more than the words near the entities of one text.
     return written(gone.groupBy(F.col("doc").alias("content")).agg(F.collect_list(F.struct("term", "gone")).alias("terms")), "terms")
