@@ -199,6 +199,19 @@ def test_terms_beside_an_entity_of_one_text(spark):
         assert all(rows[n] == "" for n in range(copies, len(rows)))
 
 
+
+def test_terms_far_from_their_entity(spark):
+    far = " and so on" * 20
+    texts = [f"quixotrel wrote{far} to joe@x.org" if n % 2 else f"from joe@x.org and quixotrel{far} said quixotrel" for n in range(10)]
+    texts += [f"quite common words wrote from to said{far} thing{n}" for n in range(990)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in disclosure.find(frame).collect():
+        found = [s for s in r.spans.split(",") if s.startswith("term:")]
+        text = texts[r.doc_id]
+        assert [text[int(s.split(":")[1]) : int(s.split(":")[2])] for s in found] == ["quixotrel"] * text.count("quixotrel")
+        assert r.doc_id < 10 or not r.spans
+
+
 def test_pages(spark):
     html = [
         None, "", "plain text only", "<p>one<p>two &amp; three", "<div class=sidebar>x</div><main><h1>T</h1><p>Body, text.</p></main>",

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.keyjoin import join_right
@@ -18,10 +18,8 @@ from ..session import written
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-# Words on each side of an entity that may give it away.
-NEAR = 6
 # A term is generalised from this share of an entity's information on, and
-# removed if each text with it holds the entity.
+# removed if this share of the texts with it holds the entity.
 GENERALISE, REMOVE = 0.9, 1.0
 # So many documents in which term and entity are independent are counted besides:
 # what few documents show counts for less, and for more the larger the corpus is.
@@ -91,34 +89,30 @@ def term_of(word: str) -> str:
     return word if len(word) >= 3 and any(c.isalpha() for c in word) else ""
 
 
-def _surroundings(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
-    """(entity, term) of the terms near each entity, outside all spans."""
-    words = [(m.start(), m.end(), m[0]) for m in _WORD.finditer(text)]
-    taken = sorted((s, e) for _, s, e in spans)
-    free, n = [], 0
-    for start, end, word in words:
-        while n < len(taken) and taken[n][1] <= start:
+def _held(text: str, spans: list[tuple[str, int, int]]) -> tuple[set[int], set[int]]:
+    """The entities of a text, and the terms of its words outside all spans."""
+    entities = {_hash(f"{kind}:{''.join(c for c in text[s:e].lower() if c.isalnum() or c in '@.')}") for kind, s, e in spans}
+    taken, n, words = sorted((s, e) for _, s, e in spans), 0, set()
+    for m in _WORD.finditer(text):
+        while n < len(taken) and taken[n][1] <= m.start():
             n += 1
-        free.append("" if n < len(taken) and taken[n][0] < end else term_of(word))
-    starts = [w[0] for w in words]
-    from bisect import bisect_left, bisect_right
-
-    for kind, start, end in spans:
-        entity = _hash(f"{kind}:{''.join(c for c in text[start:end].lower() if c.isalnum() or c in '@.')}")
-        first, last = max(0, bisect_right(starts, start) - 1), bisect_left(starts, end)
-        for term in {t for t in free[max(0, first - NEAR) : last + NEAR] if t}:
-            yield entity, _hash(term)
+        if n == len(taken) or taken[n][0] >= m.end():
+            words.add(m[0])
+    terms = {term_of(word) for word in words} - {""}
+    return entities, {_hash(term) for term in terms}
 
 
 def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, key, is_term) of the entities and terms of the texts that hold an entity."""
     for batch in batches:
-        rows: list[tuple[int, int, int]] = []
         for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = value.as_py()
             if text and (spans := base_spans(text)):
-                rows += [(doc, *r) for r in set(_surroundings(text, spans))]
-        columns = list(zip(*rows)) or [()] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc", "entity", "term"])
+                entities, terms = _held(text, spans)
+                keys = [*entities, *terms]
+                arrays = [pa.array([doc] * len(keys), pa.int64()), pa.array(keys, pa.int64())]
+                flags = pa.array([False] * len(entities) + [True] * len(terms))
+                yield pa.RecordBatch.from_arrays([*arrays, flags], names=["doc", "key", "is_term"])
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,37 +147,61 @@ def disclosures(docs: DataFrame) -> DataFrame:
     """content, terms: per text the terms in it that give away an entity of it, as (hash, whether to remove).
 
     With N documents, n of them with the entity, m with the term and b with
-    both, the entity's share in documents with the term is taken as
-    p = (b + PRIOR n / N) / (m + PRIOR), and the term gives log(N p / n) of
-    the entity's log(N / n): at least the share GENERALISE. Entities of one
-    document are judged like any other. All documents are counted, whole; a
-    text's content is its hash.
+    both, wherever they stand, the entity's share in documents with the term
+    is taken as p = (b + PRIOR n / N) / (m + PRIOR), and the term gives
+    log(N p / n) of the entity's log(N / n): at least the share GENERALISE.
+    Entities of one document are judged like any other. All documents are
+    counted, whole; a text's content is its hash.
+
+    Entities of the same texts are judged as one. A pair is made only where
+    min(n, documents with an entity and the term), which b cannot exceed,
+    would be enough, so common words meet no entity.
     """
     rows = docs.select(F.xxhash64("text").alias("content"), "text")
-    seen = written(rows.mapInArrow(_evidence, "doc long, entity long, term long").distinct(), "evidence")
+    seen = written(rows.mapInArrow(_evidence, "doc long, key long, is_term boolean").distinct(), "evidence")
     empty = seen.sparkSession.createDataFrame([], "content long, terms array<struct<term: bigint, gone: boolean>>")
     if seen.isEmpty():
         return empty
-    copies = docs.groupBy(F.xxhash64("text").alias("doc")).agg(F.count(F.lit(1)).alias("rows"))
     total = docs.count()
-    weighed = seen.join(copies, "doc")
-    pairs = written(weighed.groupBy("entity", "term").agg(F.sum("rows").alias("both")), "pairs")
-    entities = weighed.select("doc", "entity", "rows").distinct().groupBy("entity").agg(F.sum("rows").alias("with_entity"))
-    wanted = pairs.select(F.col("term").alias("__term")).distinct()
+    if total < 2:  # nothing to compare with
+        return empty
+    copies = docs.groupBy(F.xxhash64("text").alias("doc")).agg(F.count(F.lit(1)).alias("rows"))
+    weighed = written(seen.join(copies, "doc"), "weighed")
+    holders = weighed.where("NOT is_term").groupBy("key").agg(
+        F.sum("rows").alias("with_entity"), *[F.bit_xor(F.xxhash64("doc", F.lit(n))).alias(f"set_{n}") for n in (1, 2)]
+    )
+    holders = holders.where(F.col("with_entity") < total)
+    holders = holders.select(F.col("key").alias("__key"), "with_entity", F.xxhash64("set_1", "set_2").alias("entity"))
+    own = join_right(weighed.where("NOT is_term").select("doc", "key", "rows"), ["key"], holders, ["__key"], "inner")
+    own = own.select("doc", "rows", "entity", "with_entity").distinct()
+
+    def share(both: Column) -> Column:
+        rate = F.col("with_entity") / F.lit(float(total))
+        return 1 - F.log((both + PRIOR * rate) / (F.col("with_term") + PRIOR)) / F.log(rate)
+
+    held = weighed.where("is_term").groupBy(F.col("key").alias("__term")).agg(F.sum("rows").alias("beside"))
+    held = written(held, "held")
     counts = docs.select("text").mapInArrow(_terms, "term long, n long").groupBy("term").agg(F.sum("n").alias("with_term"))
-    counts = join_right(counts, ["term"], wanted, ["__term"], "left_semi", hot_rows=None)
-    known = pairs.join(entities, "entity").join(counts, "term")
-    rate = F.col("with_entity") / F.lit(float(total))
-    share = 1 - F.log((F.col("both") + PRIOR * rate) / (F.col("with_term") + PRIOR)) / F.log(rate)
-    plain = 1 - F.log(F.col("both") / F.col("with_term")) / F.log(rate)
-    strong = known.where((F.col("with_entity") < total) & (share >= GENERALISE)).select(
-        "entity", "term", (plain >= REMOVE - 1e-9).alias("gone")
+    rare = join_right(counts, ["term"], held, ["__term"], "inner", hot_rows=None)
+    # The share of an entity of one document is the least strict.
+    most = F.log((F.col("beside") + PRIOR) / (F.col("with_term") + PRIOR)) / F.log(F.lit(1 / total))
+    rare = written(rare.where(1 - most >= GENERALISE).select(F.col("term").alias("__term"), "with_term", "beside"), "rare")
+    terms = weighed.where("is_term").select(F.col("doc").alias("__doc"), F.col("key").alias("term"))
+    terms = join_right(terms, ["term"], rare, ["__term"], "inner").drop("__term")
+    enough = share(F.least("with_entity", "beside")) >= GENERALISE
+    pairs = own.join(terms, (F.col("doc") == F.col("__doc")) & enough)
+    pairs = written(pairs.select("doc", "rows", "entity", "with_entity", "term", "with_term"), "pairs")
+    both = pairs.groupBy("entity", "term").agg(
+        F.sum("rows").alias("both"), F.min("with_entity").alias("with_entity"), F.min("with_term").alias("with_term")
     )
+    strong = both.where(share(F.col("both")) >= GENERALISE).select(
+        F.col("entity").alias("__entity"), F.col("term").alias("__term"),
+        (F.col("both") / F.col("with_term") >= REMOVE - 1e-9).alias("gone"),
+    )
     strong = written(strong, "disclosing")
-    right = strong.select(F.col("entity").alias("__entity"), F.col("term").alias("__term"), "gone")
-    hits = join_right(seen, ["entity", "term"], right, ["__entity", "__term"], "inner")
+    hits = join_right(pairs.select("doc", "entity", "term"), ["entity", "term"], strong, ["__entity", "__term"], "inner")
     gone = hits.groupBy("doc", "term").agg(F.max("gone").alias("gone"))
-    # No more than the words near the entities of one text.
+    # No more than the different words of one text.
     return written(gone.groupBy(F.col("doc").alias("content")).agg(F.collect_list(F.struct("term", "gone")).alias("terms")), "terms")
 
 
