@@ -224,6 +224,20 @@ def test_pages(spark):
     assert path_ratios.extract(pages.limit(0)).count() == 0
 
 
+
+def test_wrappers_do_not_hide_the_text_of_a_page():
+    body = "<h1>Title of it</h1>" + "<p>A sentence of the text, and another one. It goes on.</p>" * 5
+    want = " ".join(["Title of it"] + ["A sentence of the text, and another one. It goes on."] * 5)
+    extra = "<nav>Home</nav><div class=sidebar>Links</div><footer>Imprint</footer>"
+    for wrapper in ("div class='layout right-sidebar'", "div id='page' class='has-comments'", "div class=widget", "form action=x", "fieldset"):
+        end = wrapper.split()[0]
+        for page in (f"<article>{body}</article>{extra}", f"<div>{body}</div>{extra}"):
+            assert path_ratios.main_text(f"<body><{wrapper}>{page}</{end}></body>") == want
+    comments = "<div id=comments>" + "<article><p>A long comment, as long as the text.</p></article>" * 3 + "</div>"
+    assert path_ratios.main_text(f"<body><article>{body}</article>{comments}") == want
+    assert path_ratios.main_text(f"<body><title>{'long title ' * 90}</title><div>{body}</div>") == want
+
+
 def test_repeats(docs, none):
     got = [tuple(r)[:4] for r in recompression.remove_repeats(docs).collect()]
     key = lambda r: (r[0] is None, r)

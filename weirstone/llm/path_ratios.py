@@ -18,8 +18,9 @@ BLOCKS = frozenset(
 )
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea iframe svg object math select button".split())
-# Elements that hold no article, and words in class, id or role that say so.
-ASIDE = frozenset("nav footer aside form menu dialog head title fieldset".split())
+# Elements that never hold an article, that mostly hold none, and words in class, id or role that say so.
+NEVER = frozenset("head title".split())
+ASIDE = frozenset("nav footer aside form menu dialog fieldset".split())
 HINTS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie "
     "cookies copyright discussion disqus footer form login masthead menu modal nav navbar navigation newsletter notice "
@@ -42,30 +43,71 @@ _SIGNS = re.compile(r"[.,;:!?…。、，！？；：]")
 
 
 class _Element:
-    """An open or closed element: its path of tags, its parents, whether it is aside from the article."""
+    """An open or closed element: its path of tags, its parents, how its tag and names speak against it.
 
-    __slots__ = ("tag", "path", "parent", "depth", "aside", "main")
+    ``own`` is 3 for no page text, 2 for a tag or a whole name of the lists, 1
+    for a name with a part of the lists; ``aside`` and ``doubted`` follow from
+    it when the page is known.
+    """
+
+    __slots__ = ("tag", "path", "parent", "depth", "own", "aside", "doubted", "main", "chars")
 
     def __init__(self, tag: str, parent: _Element | None, attributes: str) -> None:
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.main = tag in MAIN or (parent is not None and parent.main)
-        words: set[str] = set()
+        self.aside = self.doubted = False
+        self.chars = 0
+        names: set[str] = set()
         if attributes:
             for values in _ATTRIBUTE.findall(attributes):
-                words.update(_WORD.findall("".join(values).lower()))
-        own = tag in ASIDE or tag in RAW
-        if tag not in MAIN and tag not in ("html", "body"):
-            own = own or not HINTS.isdisjoint(words)
-            own = own or (not self.main and (tag in HEADERS or not HEADERS.isdisjoint(words)))
-        self.aside = own or (parent is not None and parent.aside)
+                names.update("".join(values).lower().split())
+        words = {w for name in names for w in _WORD.findall(name)}
+        hints = HINTS if self.main else HINTS | HEADERS
+        self.own = 0
+        if tag in NEVER or tag in RAW:
+            self.own = 3
+        elif tag in ASIDE or (tag in HEADERS and not self.main):
+            self.own = 2
+        elif tag not in MAIN and tag not in ("html", "body"):
+            self.own = 0 if hints.isdisjoint(words) else 1 if hints.isdisjoint(names) else 2
         label = tag + "".join(f".{w}" for w in sorted(words)[:4])
         self.path = f"{parent.path}/{label}" if parent else label
 
 
+def _judge(texts: list[tuple[_Element, str]], elements: list[_Element]) -> None:
+    """Which elements are aside or doubted, from parents to children.
+
+    None is that is around the longest article or main element, nor one that
+    holds over half of the page's text, unless an article or main stands elsewhere.
+    """
+    for element, text in texts:
+        element.chars += len(text.strip())
+    never: set[int] = set()
+    for element in elements:
+        if element.own == 3 or id(element.parent) in never:
+            never.add(id(element))
+            element.chars = 0
+    for element in reversed(elements[1:]):
+        element.parent.chars += element.chars
+    total = elements[0].chars
+    longest = max((e for e in elements if e.tag in MAIN and e.chars), key=lambda e: e.chars, default=None)
+    around: set[int] = set()
+    seek = longest
+    while seek:
+        around.add(id(seek))
+        seek = seek.parent
+    for element in elements[1:]:
+        most = 2 * element.chars > total and (longest is None or element.main)
+        spared = element.own < 3 and (id(element) in around or most)
+        element.aside = element.parent.aside or (element.own >= 2 and not spared)
+        element.doubted = element.parent.doubted or (element.own == 1 and not spared)
+
+
 def _texts(page: str) -> list[tuple[_Element, str]]:
-    """Runs of text with their innermost element; a text ``\\n`` marks the edge of a block."""
+    """Runs of text with their innermost element, judged; a text ``\\n`` marks the edge of a block."""
     root = here = _Element("", None, "")
+    elements = [root]
     out: list[tuple[_Element, str]] = []
     at, raw = 0, None
     while at < len(page):
@@ -112,8 +154,10 @@ def _texts(page: str) -> list[tuple[_Element, str]]:
         if attributes.endswith("/") and tag not in BLOCKS and tag not in RAW:
             continue
         here = _Element(tag, here, attributes)
+        elements.append(here)
         if tag in RAW:
             raw = tag
+    _judge(out, elements)
     return out
 
 
@@ -141,10 +185,13 @@ def _content_paths(nodes: list[tuple[_Element, str]]) -> set[str]:
 def main_text(page: str | None) -> str:
     """The article of a page: blocks joined by a space, white space inside as one space.
 
-    Texts of menus, forms and the like are left out by their elements. Of the
-    rest, tag paths are scored by how much text and punctuation they hold for
-    each node; the content is what stands below the innermost element that
-    holds all nodes of the chosen paths, or below the article around it.
+    Texts of menus, forms and the like are left out by their elements, but not
+    where these hold the article or most of the text. Of the rest, tag paths
+    are scored by how much text and punctuation they hold for each node; the
+    content is what stands below the innermost element that holds all nodes
+    of the chosen paths, or below the article around it. In elements whose
+    names have only a part of the lists (``right-sidebar``) just the nodes of
+    chosen paths stay.
     """
     if not page:
         return ""
@@ -154,8 +201,9 @@ def main_text(page: str | None) -> str:
         return ""
     chosen = _content_paths(nodes)
     top: _Element | None = None
+    sure = any(e.path in chosen and not e.doubted for e, _ in nodes)
     for element, _ in nodes:
-        if element.path in chosen:
+        if element.path in chosen and not (sure and element.doubted):
             if top is None:
                 top = element
             while top is not element:
@@ -184,7 +232,7 @@ def main_text(page: str | None) -> str:
             element = element.parent
         return element is top
 
-    kept = "".join(t for e, t in texts if t == "\n" or (not e.aside and inside(e)))
+    kept = "".join(t for e, t in texts if t == "\n" or (not e.aside and (not e.doubted or e.path in chosen) and inside(e)))
     return " ".join(html.unescape(kept).split())
 
 
