@@ -68,6 +68,14 @@ def test_near_duplicates(docs, none):
     assert golay_simhash.first_of_each(none).count() == 0
 
 
+
+def test_an_id_in_two_components_leaves_one_of_each(spark):
+    one, two, three = (" ".join(f"{w}{n}" for n in range(40)) for w in ("one", "two", "three"))
+    rows = [(2, one), (5, one), (5, two), (7, two), (8, three), (5, three), (9, two), (5, three)]
+    kept = golay_simhash.first_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect())) == [(2, one), (5, three), (5, two)]
+
+
 def test_links_of_a_large_group_are_complete(spark):
     import random
 

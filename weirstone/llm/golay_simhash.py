@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from itertools import combinations, permutations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -259,6 +260,13 @@ def near_duplicates(docs: DataFrame, group: int = GROUP) -> DataFrame:
     doc_id never names a component unless all its ids are null; an empty table
     gives an empty result.
     """
+    return _rooted(docs, group).select(
+        F.col("doc").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def _rooted(docs: DataFrame, group: int) -> DataFrame:
+    """doc, fp, root (a fingerprint that names the component, whatever its ids) and component_id of each row."""
     rows = written(docs.select("doc_id", "text").mapInArrow(_fingerprints, "doc long, fp long"), "fingerprints")
     distinct = rows.groupBy("fp").agg(F.min("doc").alias("first"))
     roots = components(fingerprint_links(distinct.select("fp"), group))
@@ -267,31 +275,42 @@ def near_duplicates(docs: DataFrame, group: int = GROUP) -> DataFrame:
     )
     rooted = written(rooted, "rooted")
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.select("fp", "root").join(least, "root").select(F.col("fp").alias("__fp"), "component_id")
-    joined = join_right(rows, ["fp"], named, ["__fp"], "inner")
-    return joined.select(
-        F.col("doc").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    named = rooted.select("fp", "root").join(least, "root").select(F.col("fp").alias("__fp"), "root", "component_id")
+    return join_right(rows, ["fp"], named, ["__fp"], "inner").drop("__fp")
 
 
 def first_of_each(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """``docs`` without near duplicates: the row of the smallest doc_id of each component stays.
 
-    All columns are kept unchanged. Of repeated rows of that doc_id one stays;
-    of documents without an id, which no component can name, all stay.
+    All columns are kept unchanged. Of several rows with that doc_id in the
+    component the one of the least text hash stays, also where rows of that
+    id are in other components; of documents without an id, which no
+    component can name, all stay.
     """
-    marked = written(near_duplicates(docs, group), "marked")
-    rows = F.count(F.lit(1)).alias("__rows")
-    keep = marked.groupBy("doc_id").agg(F.min("component_id").alias("__least"), rows)
-    keep = keep.where(F.col("doc_id") == F.col("__least")).select(F.col("doc_id").alias("__keep"), "__rows")
+    marked = written(_rooted(docs, group), "marked")
+    keep = marked.where(F.col("doc") == F.col("component_id")).groupBy("doc", "root").agg(F.count(F.lit(1)).alias("rows"))
+    # An id is alone if all its rows are one; else its rows are told apart by fingerprint.
+    own = marked.groupBy("doc").agg(F.count(F.lit(1)).alias("__rows"))
+    keep = written(keep.join(own, "doc").select(F.col("doc").alias("__keep"), "root", "__rows"), "keep")
     packed = docs.select(F.struct("*").alias("__row"), F.col("doc_id").alias("__id"))
     once = keep.where("__rows = 1").select("__keep")
     kept = join_right(packed, ["__id"], once, ["__keep"], "left_semi").select("__row")
     kept = kept.unionByName(packed.where(F.col("__id").isNull()).select("__row"))
-    repeated = keep.where("__rows > 1").select("__keep")
+    repeated = written(keep.where("__rows > 1"), "repeated")
     if not repeated.isEmpty():  # only their rows are shuffled
-        held = join_right(packed, ["__id"], repeated, ["__keep"], "left_semi")
-        first = Window.partitionBy("__id").orderBy(F.xxhash64(F.col("__row.text")))
+        ids = repeated.select("__keep").distinct()
+        held = join_right(packed, ["__id"], ids, ["__keep"], "left_semi")
+
+        @F.pandas_udf("long")
+        def print_of(texts: pd.Series) -> pd.Series:
+            found = [fingerprint([w.lower() for w in text_words(t)]) for t in texts]
+            return pd.Series(np.array(found, np.uint64).view(np.int64))
+
+        held = held.withColumn("__fp", print_of(F.col("__row.text")))
+        roots = marked.where(F.col("doc") == F.col("component_id")).select(F.col("doc").alias("__doc"), F.col("fp").alias("__of"), "root")
+        roots = join_right(roots.distinct(), ["__doc"], ids, ["__keep"], "left_semi")
+        held = join_right(held, ["__id", "__fp"], roots, ["__doc", "__of"], "inner")
+        first = Window.partitionBy("__id", "root").orderBy(F.xxhash64(F.col("__row.text")))
         held = held.withColumn("__n", F.row_number().over(first)).where("__n = 1")
         kept = kept.unionByName(held.select("__row"))
     return kept.select("__row.*")
