@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import xxhash
@@ -140,3 +141,59 @@ def spans(text):
         if 8 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
             out.append(("phone", *m.span()))
     return out
+
+
+def prefix_trie(rows):
+    """Nodes of rows (conv_id, turn, role, text), as the query returns them."""
+    given = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            given[c].append((turn is not None, turn or 0, role or "", text or ""))
+    turns = {c: [t[2:] for t in sorted(own)] for c, own in given.items()}
+    built = {}
+    for c, own in turns.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        built[c] = turns.get(c - int(math.fmod(c, 20)), [])[:h] + own[h:]
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, own in built.items():
+        for d in range(len(own) + 1):
+            members[tuple(own[:d])].append(c)
+        ends[tuple(own)].append(c)
+    children, leaves, saved = Counter(), Counter(), Counter()
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    for node, own in members.items():
+        adds = (len(own) - 1) * len(words(node[-1][1])) if node else 0
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += node not in children
+            saved[node[:d]] += adds
+    return [
+        (min(own), len(node), min(members[node[:-1]]) if node else None, len(own), children[node], leaves[node], saved[node],
+         sha(",".join(map(str, sorted(ends[node])))))
+        for node, own in members.items()
+    ]
+
+
+def cosine_groups(rows, least):
+    """(vec_id, n_links, component_id, kept) of rows (vec_id, vector) with ids of their own."""
+    sound = {
+        i: v for i, v in rows if v and None not in v and all(map(math.isfinite, v)) and any(v)
+    }
+    parent, links = {i: i for i, _ in rows}, Counter()
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sound)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            x, y = sound[a], sound[b]
+            if len(x) == len(y) and math.sumprod(x, y) / math.sqrt(math.sumprod(x, x) * math.sumprod(y, y)) >= least:
+                links[a] += 1
+                links[b] += 1
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
+    return [(i, links[i], root(i), root(i) == i) for i, _ in rows]

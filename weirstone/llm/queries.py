@@ -1,4 +1,4 @@
-"""The ten operators as queries over the given tables, with their results in SQL where SQL has them."""
+"""The operators as queries over the given tables, with their results in SQL where SQL has them."""
 
 from __future__ import annotations
 
@@ -14,10 +14,12 @@ from . import (
     pareto_mix,
     path_ratios,
     piece_codec,
+    prefix_trie,
     recompression,
     subword_toxicity,
     topk_products,
     url_rules,
+    whitening,
 )
 
 # Fixed values of the contract.
@@ -79,6 +81,14 @@ def op10_char_perplexity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -92,6 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_path_ratios,
         op9_recompression,
         op10_char_perplexity,
+        op12_prefix_trie,
+        op13_whitening,
     )
 }
 
@@ -132,4 +144,43 @@ SELECT query_id, rank, vec_id, score FROM (
 ) WHERE rank <= 10
 """
 
-ORACLE: dict[str, str] = {"op3_url_rules": _OP3, "op5_topk_products": _OP5}
+# crc32 bit by bit, then prefixes as lists of turns; a node's subtree is found through its own conversation's prefixes.
+_OP12 = r"""
+WITH given AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+      lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::BIGINT) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM given)
+), turns AS (
+  SELECT c.conv_id, g.place, 0 AS late, g.role, g.text FROM convs c JOIN given g ON g.conv_id = c.base AND g.place <= c.h
+  UNION ALL
+  SELECT c.conv_id, g.place, 1, g.role, g.text FROM convs c JOIN given g ON g.conv_id = c.conv_id AND g.place > c.h
+), built AS (
+  SELECT c.conv_id, coalesce(list({'r': t.role, 't': t.text} ORDER BY t.late, t.place) FILTER (t.place IS NOT NULL), []) AS path
+  FROM convs c LEFT JOIN turns t USING (conv_id) GROUP BY c.conv_id
+), prefixes AS (
+  SELECT conv_id, depth, path[1:depth] AS node, depth = len(path) AS last FROM built, unnest(range(len(path) + 1)) AS d(depth)
+), nodes AS (
+  SELECT node, min(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    CASE WHEN min(depth) = 0 THEN 0 ELSE len(regexp_extract_all(node[-1].t, '[^\x20\x09-\x0D]+')) END AS words,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM prefixes GROUP BY node
+), children AS (
+  SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), trie AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children, p.conv_id AS parent_conv_id
+  FROM nodes n LEFT JOIN children c ON c.node = n.node LEFT JOIN nodes p ON n.depth > 0 AND p.node = n.node[1:n.depth - 1]
+), sums AS (
+  SELECT p.node, sum((t.n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum((t.n_convs - 1) * t.words)::BIGINT AS saved_tokens
+  FROM trie t JOIN prefixes p ON p.conv_id = t.conv_id AND p.depth <= t.depth GROUP BY p.node
+)
+SELECT t.conv_id, t.depth, t.parent_conv_id, t.n_convs, t.n_children, s.n_leaves, s.saved_tokens, t.ends_sha256
+FROM trie t JOIN sums s USING (node)
+"""
+
+ORACLE: dict[str, str] = {"op3_url_rules": _OP3, "op5_topk_products": _OP5, "op12_prefix_trie": _OP12}
