@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources import table
 from . import (
     char_perplexity,
+    cover_tree,
     disclosure,
     golay_simhash,
     pareto_mix,
@@ -81,6 +82,10 @@ def op10_char_perplexity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_cover_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return cover_tree.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
 
@@ -102,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_path_ratios,
         op9_recompression,
         op10_char_perplexity,
+        op11_cover_tree,
         op12_prefix_trie,
         op13_whitening,
     )
@@ -144,6 +150,22 @@ SELECT query_id, rank, vec_id, score FROM (
 ) WHERE rank <= 10
 """
 
+# For tables whose vec_ids are their own, as the given ones.
+_OP11 = r"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS size FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) / (a.size * b.size) >= 0.95
+), reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other
+), counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT r.vec_id, coalesce(any_value(c.n), 0) AS n_links, min(r.other) AS component_id, min(r.other) = r.vec_id AS kept
+FROM reach r LEFT JOIN counts c USING (vec_id) GROUP BY r.vec_id
+"""
+
 # crc32 bit by bit, then prefixes as lists of turns; a node's subtree is found through its own conversation's prefixes.
 _OP12 = r"""
 WITH given AS (
@@ -183,4 +205,9 @@ SELECT t.conv_id, t.depth, t.parent_conv_id, t.n_convs, t.n_children, s.n_leaves
 FROM trie t JOIN sums s USING (node)
 """
 
-ORACLE: dict[str, str] = {"op3_url_rules": _OP3, "op5_topk_products": _OP5, "op12_prefix_trie": _OP12}
+ORACLE: dict[str, str] = {
+    "op3_url_rules": _OP3,
+    "op5_topk_products": _OP5,
+    "op11_cover_tree": _OP11,
+    "op12_prefix_trie": _OP12,
+}
