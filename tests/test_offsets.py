@@ -27,6 +27,17 @@ def positions(spark, rows):
     return spark.createDataFrame(rows, AT)
 
 
+def plan_of(spark, df):
+    """The physical plan with its filters spelled out."""
+    for name in ("spark.sql.maxMetadataStringLength", "spark.sql.debug.maxToStringFields"):
+        spark.conf.set(name, "1000000")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in ("spark.sql.maxMetadataStringLength", "spark.sql.debug.maxToStringFields"):
+            spark.conf.unset(name)
+
+
 def values(df):
     return sorted(tuple(r) for r in df.collect())
 
@@ -94,8 +105,8 @@ def test_many_ranges_still_bound_the_file_scan(spark, rows, tmp_path):
     positions(spark, rows).write.parquet(path)
     starts = {"a": {p: 4 + p for p in range(100)}}
     got = select_range(spark.read.parquet(path), starts, unlisted="none")
+    plan = plan_of(spark, got)
     assert values(got) == brute(rows, starts, {}, "none")
-    plan = got._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "GreaterThanOrEqual(offset,4)" in plan
 
 
@@ -196,3 +207,62 @@ def test_a_bounded_batch_filters_the_scan_of_whole_rows(spark, tmp_path):
 def test_unknown_partitions_below_the_highest_known_start_at_the_earliest(spark):
     store = positions(spark, [("a", 0, 5), ("a", 2, 7)])
     assert json.loads(start_offsets_text(store, "a")) == {"a": {"0": 5, "1": -2, "2": 7}}
+
+
+def many(partitions, skip=()):
+    return {"a": {p: 3 + p % 40 for p in range(partitions) if p not in skip}, "b": {p: 7 for p in range(27) if p != 20}}
+
+
+@pytest.mark.parametrize("limit", [64, 0])
+@pytest.mark.parametrize("unlisted", ["all", "none"])
+def test_many_ranges_lose_nothing(spark, monkeypatch, limit, unlisted):
+    """Partitions between listed ones, messages without an offset, partition or topic, whatever the number of ranges."""
+    monkeypatch.setattr(module, "FILTER_PARTITIONS", limit)
+    pick = random.Random(limit)
+    given = [(pick.choice("abc"), pick.randrange(-2, 110), pick.randrange(50)) for _ in range(3000)]
+    given += [("b", 20, 5), ("b", 26, 5), ("a", 50, 1), ("a", 50, 7)]
+    without = [("a", 50, None), ("a", 51, None), ("b", 20, None), ("c", 1, None), ("a", None, 3), (None, 3, 3), (None, None, None)]
+    for starts, ends in ((many(50), {}), (many(100, {50}), {"a": {p: 30 for p in range(0, 90, 7) if p != 50}}), ({}, many(100))):
+        got = select_range(positions(spark, given + without), starts, ends, unlisted=unlisted)
+        read = [r for r in values(got.na.drop())]
+        assert read == brute(given, starts, ends, unlisted)
+        listed = {(t, p) for m in (starts, ends) for t, parts in m.items() for p in parts}
+        kept = sorted((r for r in without if r[:2] not in listed), key=str) if unlisted == "all" else []
+        found = [tuple(r) for r in got.where("topic IS NULL OR partition IS NULL OR offset IS NULL").collect()]
+        assert sorted(found, key=str) == kept
+
+
+@pytest.mark.parametrize("most", [1, 5, 64])
+def test_clusters_hold_every_range(most):
+    pick = random.Random(most)
+    ranges = [
+        (pick.choice("abc"), p, pick.choice([None, pick.randrange(10**6)]), pick.choice([None, 10**6 + pick.randrange(10**6)]))
+        for p in range(700)
+    ]
+    clusters = module.cluster_ranges(ranges, most)
+    assert len(clusters) == most
+    for topic, part, start, end in ranges:
+        own = [c for c in clusters if part in c[0].get(topic, ())]
+        assert len(own) == 1
+        assert own[0][1] is None or (start is not None and own[0][1] <= start)
+        assert own[0][2] is None or (end is not None and own[0][2] >= end)
+
+
+def test_clusters_part_far_ranges():
+    """Two groups of bounds far apart: no cluster reads from the one to the other."""
+    ranges = [("t", p, base + p, base + 100 + p) for base, parts in ((0, range(50)), (10**9, range(50, 100))) for p in parts]
+    clusters = module.cluster_ranges(ranges, 2)
+    assert sorted((c[1], c[2]) for c in clusters) == [(0, 149), (10**9 + 50, 10**9 + 199)]
+
+
+def test_many_ranges_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    positions(spark, [("t", p, o) for p in range(100) for o in range(5)]).write.parquet(path)
+    far = {"t": {p: (p % 2) * 1_000_000 for p in range(100) if p != 7}}
+    for unlisted in ("all", "none"):
+        got = select_range(spark.read.parquet(path), far, unlisted=unlisted)
+        plan = plan_of(spark, got)
+        pushed = plan[plan.index("PushedFilters") :].split("ReadSchema")[0]
+        assert "GreaterThanOrEqual(offset,1000000)" in pushed and "In(partition" in pushed
+        assert "Exchange hash" not in plan
+        assert got.count() == 50 * 5 + (5 if unlisted == "all" else 0)

@@ -7,6 +7,7 @@ fields and values that do not fit among the inputs. No row is left out.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources import as_envelope, spread, table
 
@@ -125,6 +126,19 @@ def event_positions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def event_positions_many(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as messages of two topics of 100 partitions each."""
+    return as_envelope(
+        table(spark, folder, "events").withColumn("topic", F.expr("if(event_id % 2 = 0, 'many_a', 'many_b')")),
+        value="props",
+        topic=F.col("topic"),
+        timestamp="ts",
+        key="event_id",
+        partition="event_id div 2 % 100",
+        offset="event_id div 200",
+    )
+
+
 def order_positions(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as messages of topic ``orders``, the value being the status."""
     return as_envelope(

@@ -216,6 +216,15 @@ SELECT {_event("'555' || user_id")} AS ani, {_event(_STATE)} AS state, {_EVENT_A
     "offset_range": f"""
 SELECT {_EVENT_KEYS} FROM events
 WHERE event_id // 3 >= CASE event_id % 3 WHEN 0 THEN 1000 WHEN 1 THEN 3000 ELSE 0 END""",
+    "offset_range_many": """
+WITH placed AS (
+  SELECT CAST(event_id AS VARCHAR) AS key, event_id % 2 = 0 AS in_a, event_id // 2 % 100 AS part, event_id // 200 AS spot FROM events)
+SELECT key, CASE WHEN in_a THEN 'many_a' ELSE 'many_b' END AS topic, CAST(part AS INTEGER) AS partition, CAST(spot AS BIGINT) AS "offset"
+FROM placed
+WHERE CASE WHEN in_a AND part % 7 = 3 THEN TRUE
+  WHEN in_a THEN spot >= part % 5 AND (part % 3 <> 0 OR spot < 30 + part % 9)
+  WHEN part < 90 THEN spot >= 20 + part % 11
+  ELSE TRUE END""",
     "bounded_batch": f"""
 WITH span AS (
   SELECT event_id % 3 AS part, min(event_id // 3) AS first, max(event_id // 3) + 1 AS last

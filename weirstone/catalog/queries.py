@@ -36,6 +36,13 @@ POSITION = ["topic", "partition", "offset"]
 BATCH_LIMIT = 100
 RANGE_STARTS = '{"events":{"0":1000,"1":3000,"2":0}}'
 
+# Ranges over two topics of 100 partitions each; some partitions are not listed.
+MANY_STARTS = {
+    "many_a": {p: p % 5 for p in range(100) if p % 7 != 3},
+    "many_b": {p: 20 + p % 11 for p in range(90)},
+}
+MANY_ENDS = {"many_a": {p: 30 + p % 9 for p in range(0, 100, 3) if p % 7 != 3}}
+
 LATEST_CALL_KEYS = ("call_type_id", "router_call_keyday")
 LATEST_CALL_ORDER = ("kafka_record_timestamp", "kafka_partition", "kafka_offset")
 
@@ -171,6 +178,11 @@ def offset_range(spark: SparkSession, folder: str) -> DataFrame:
     return key_position(op.select_range(inputs.event_positions(spark, folder), RANGE_STARTS))
 
 
+def offset_range_many(spark: SparkSession, folder: str) -> DataFrame:
+    messages = inputs.event_positions_many(spark, folder)
+    return key_position(op.select_range(messages, MANY_STARTS, MANY_ENDS))
+
+
 def key_position(envelope: DataFrame) -> DataFrame:
     return envelope.select(F.col("key").cast("string").alias("key"), *POSITION)
 
@@ -476,6 +488,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         sql_view,
         source_count,
         offset_range,
+        offset_range_many,
         bounded_batch,
         offset_gaps,
         offset_gaps_from_start,

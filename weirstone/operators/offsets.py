@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 from functools import reduce
+from heapq import heapify, heappop, heappush
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,8 +20,10 @@ EARLIEST = -2
 
 Offsets = Mapping[str, Mapping[int | str, int]]
 
-# Above this many topic partitions a range is joined, not spelled out in the filter.
+# Above this many topic partitions a range is joined; the scan then gets ranges of
+# near bounds in so many clusters.
 FILTER_PARTITIONS = 64
+CLUSTERS = 64
 
 OFFSETS_JSON_TYPE = "map<string,map<string,bigint>>"
 
@@ -49,8 +52,9 @@ def select_range(
     listed partition. Partitions without a
     start are read whole, as new partitions of a topic must be; ``unlisted=
     "none"`` leaves them out. Up to 64 partitions become a filter that reaches
-    the file scan; more are joined as a broadcast list, whose size is that of
-    the map the caller holds.
+    the file scan. Of more, those of near bounds make up to 64 clusters, each
+    with its own bounds in the filter, and every row is then held against its
+    own range in a broadcast list, whose size is that of the map the caller holds.
     """
     if unlisted not in ("all", "none"):
         raise ValueError(f"unlisted must be 'all' or 'none', not {unlisted!r}")
@@ -110,43 +114,88 @@ def _join_ranges(envelope: DataFrame, ranges: list[tuple], unlisted: str) -> Dat
     inside = (F.col("__start").isNull() | (F.col("offset") >= F.col("__start"))) & (
         F.col("__end").isNull() | (F.col("offset") < F.col("__end"))
     )
+    # A file scan can use this; the join then holds each row against its own range.
+    near = reduce(or_, [_within(c) for c in cluster_ranges(ranges, CLUSTERS)], F.lit(False))
     if unlisted == "all":
-        joined = _coarse_or_unlisted(envelope, ranges).join(F.broadcast(rows), same, "left")
+        joined = envelope.where(near | _unlisted(ranges)).join(F.broadcast(rows), same, "left")
     else:
-        joined = _coarse(envelope, ranges).join(F.broadcast(rows), same, "inner")
+        joined = envelope.where(near).join(F.broadcast(rows), same, "inner")
     return joined.where(inside).select(*envelope.columns)
 
 
-def _shared(ranges: list[tuple]) -> Column | None:
-    """The offsets between the lowest start and the highest end, where all ranges have one."""
-    starts, ends = [r[2] for r in ranges], [r[3] for r in ranges]
-    bounds = []
-    if starts and None not in starts:
-        bounds.append(F.col("offset") >= min(starts))
-    if ends and None not in ends:
-        bounds.append(F.col("offset") < max(ends))
-    return reduce(and_, bounds) if bounds else None
+def cluster_ranges(ranges: list[tuple], most: int) -> list[tuple]:
+    """Ranges of near bounds together: ``(topics and their partitions, start, end)``, at most ``most``.
 
-
-def _coarse_or_unlisted(envelope: DataFrame, ranges: list[tuple]) -> DataFrame:
-    """Rows inside the shared bounds, or surely of no listed partition; a file scan can use it."""
-    bounds = _shared(ranges)
-    if bounds is None:
-        return envelope
+    A range is ``(topic, partition, start, end)``, a bound that is null is
+    open. Neighbours in the order of their bounds are joined, always those
+    that add the fewest offsets to what is read, first inside a topic. An open
+    bound and a closed one come together only where ``most`` asks for it.
+    """
+    clusters = sorted(
+        ([{t: [p]}, s, e] for t, p, s, e in ranges),
+        key=lambda c: (c[1] is not None, c[2] is not None, *c[0], c[1] or 0, c[2] or 0),
+    )
+    after = [*range(1, len(clusters)), None]
+    before = [None, *range(len(clusters) - 1)]
+    version = [0] * len(clusters)
+
+    def members(c: list) -> int:
+        return sum(map(len, c[0].values()))
+
+    def cost(x: list, y: list) -> tuple:
+        """How unlike the bounds are in kind, whether topics differ, offsets read besides."""
+        kinds = ((x[1] is None) != (y[1] is None)) + ((x[2] is None) != (y[2] is None))
+        more = 0
+        for at, widest in ((1, min), (2, max)):
+            if x[at] is not None and y[at] is not None:
+                edge = widest(x[at], y[at])
+                more += abs(edge - x[at]) * members(x) + abs(edge - y[at]) * members(y)
+        return kinds, x[0].keys() != y[0].keys(), more
+
+    heap = [(cost(clusters[i], clusters[i + 1]), i, 0, i + 1, 0) for i in range(len(clusters) - 1)]
+    heapify(heap)
+    left = len(clusters)
+    while left > most and heap:
+        _, i, seen, j, seen_too = heappop(heap)
+        if version[i] != seen or version[j] != seen_too:  # one of the two has changed since
+            continue
+        x, y = clusters[i], clusters[j]
+        for topic, parts in y[0].items():
+            x[0].setdefault(topic, []).extend(parts)
+        x[1] = None if x[1] is None or y[1] is None else min(x[1], y[1])
+        x[2] = None if x[2] is None or y[2] is None else max(x[2], y[2])
+        clusters[j], left = None, left - 1
+        version[i] += 1
+        version[j] += 1
+        after[i] = after[j]
+        if after[j] is not None:
+            before[after[j]] = i
+            heappush(heap, (cost(x, clusters[after[j]]), i, version[i], after[j], version[after[j]]))
+        if before[i] is not None:
+            heappush(heap, (cost(clusters[before[i]], x), before[i], version[before[i]], i, version[i]))
+    return [(c[0], c[1], c[2]) for c in clusters if c is not None]
+
+
+def _within(cluster: tuple) -> Column:
+    """Rows of a cluster's partitions inside its bounds, as a filter a scan takes."""
+    parts, start, end = cluster
+    here = reduce(or_, [(F.col("topic") == t) & F.col("partition").isin(sorted(p)) for t, p in sorted(parts.items())])
+    if start is not None:
+        here = here & (F.col("offset") >= start)
+    if end is not None:
+        here = here & (F.col("offset") < end)
+    return here
+
+
+def _unlisted(ranges: list[tuple]) -> Column:
+    """Rows of no listed partition: of another topic, of another partition of a listed topic, or without either."""
+    listed: dict[str, list[int]] = {}
+    for topic, part, _, _ in ranges:
+        listed.setdefault(topic, []).append(part)
     topic, part = F.col("topic"), F.col("partition")
-    other_topic = topic.isNull() | ~topic.isin(sorted({r[0] for r in ranges}))
-    parts = [r[1] for r in ranges]
-    other_part = part.isNull() | (part < min(parts)) | (part > max(parts))
-    return envelope.where(other_topic | other_part | bounds)
-
-
-def _coarse(envelope: DataFrame, ranges: list[tuple]) -> DataFrame:
-    """The bounds all ranges share, which a file scan can use before the join."""
-    shared = F.col("topic").isin(sorted({r[0] for r in ranges}))
-    bounds = _shared(ranges)
-    if bounds is not None:
-        shared = shared & bounds
-    return envelope.where(shared)
+    other = [topic.isNull() | part.isNull() | ~topic.isin(sorted(listed))]
+    other += [(topic == t) & ~part.isin(sorted(parts)) for t, parts in sorted(listed.items())]
+    return reduce(or_, other)
 
 
 def prorate(ranges: DataFrame, limit: int) -> DataFrame:
