@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import ctypes
+import gc
+from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,3 +44,40 @@ def ranked(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     inside = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
     joined = dealt.join(starts, "__range")
     return joined.withColumn(name, F.col("__start") + inside).drop("__range", "__start")
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for ``mapInArrow`` with its memory given back when a task ends.
+
+    Workers live on for other tasks, of other stages too: what one of them had
+    at its height would else stay beside the next ones' memory.
+    """
+
+    @wraps(run)
+    def through(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return through
+
+
+def slices(batch: pa.RecordBatch, column: int, rows: int, size: int) -> Batches:
+    """Parts of a batch of at most so many rows, and of about so many bytes of one text column unless a text is longer."""
+    ends = pc.cumulative_sum(pc.cast(pc.fill_null(pc.binary_length(batch.column(column)), 0), pa.int64())).to_pylist()
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        end = start + 1
+        while end < batch.num_rows and end - start < rows and ends[end] - before <= size:
+            end += 1
+        yield batch.slice(start, end - start)
+        start = end

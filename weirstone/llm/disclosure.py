@@ -7,7 +7,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.keyjoin import join_right
 from ..session import written
+from .common import Batches, slices, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -24,7 +24,7 @@ GENERALISE, REMOVE = 0.9, 1.0
 # So many documents in which term and entity are independent are counted besides:
 # what few documents show counts for less, and for more the larger the corpus is.
 PRIOR = 0.5
-HELD = 400_000
+HELD = 200_000
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -102,7 +102,8 @@ def _held(text: str, spans: list[tuple[str, int, int]]) -> tuple[set[int], set[i
     return entities, {_hash(term) for term in terms}
 
 
-def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+@tidy
+def _evidence(batches: Batches) -> Batches:
     """(doc, key, is_term) of the entities and terms of the texts that hold an entity."""
     for batch in batches:
         for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -115,7 +116,8 @@ def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([*arrays, flags], names=["doc", "key", "is_term"])
 
 
-def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+@tidy
+def _terms(batches: Batches) -> Batches:
     """(term, n): in how many of the task's texts a term is, as partial counts of a bounded table."""
     counts: Counter = Counter()
     hashes: dict[str, str] = {}
@@ -249,7 +251,8 @@ def find(docs: DataFrame) -> DataFrame:
     count each; an empty table gives an empty result.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @tidy
+    def run(batches: Batches) -> Batches:
         for batch in batches:
             rows = []
             for doc, value, terms in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
@@ -289,19 +292,26 @@ def sanitise(docs: DataFrame) -> DataFrame:
 
     Cases as :func:`find`.
     """
-    @F.pandas_udf("string")
-    def clean(texts: pd.Series, terms: pd.Series) -> pd.Series:
-        own = ({t["term"]: t["gone"] for t in ts} if ts is not None else {} for ts in terms)
-        return pd.Series([cleaned(t, k) for t, k in zip(texts, own)], dtype="object")
-
-    rows = _with_terms(docs).select("__row", clean(F.col("__row.text"), "terms").alias("__clean"))
-
-    def column(name: str):
-        if name == "text":
-            return F.col("__clean").alias(name)
-        if name == "n_chars":
-            kind = docs.schema[name].dataType
-            return F.when(F.col("__clean").isNull(), F.col("__row")[name]).otherwise(F.length("__clean").cast(kind)).alias(name)
-        return F.col("__row")[name].alias(name)
-
-    return rows.select(*[column(c) for c in docs.columns])
+    names = docs.columns
+    column, counted = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+
+    @tidy
+    def clean(batches: Batches) -> Batches:
+        for batch in batches:
+            for part in slices(batch, column, 256, 1 << 22):
+                given, texts, sizes = part.column(len(names)).to_pylist(), [], []
+                for value, terms in zip(part.column(column), given):
+                    text = value.as_py()
+                    texts.append(cleaned(text, {t["term"]: t["gone"] for t in terms or ()}))
+                arrays = [part.column(i) for i in range(len(names))]
+                arrays[column] = pa.array(texts, pa.string())
+                if counted is not None:
+                    sizes = zip(texts, arrays[counted].to_pylist())
+                    arrays[counted] = pa.array([n if t is None else len(t) for t, n in sizes], arrays[counted].type)
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    last = "terms"
+    while last in names:
+        last += "_"
+    rows = _with_terms(docs).select(*[F.col("__row")[n].alias(n) for n in names], F.col("terms").alias(last))
+    return rows.mapInArrow(clean, docs.schema)

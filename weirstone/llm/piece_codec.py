@@ -6,6 +6,7 @@ import codecs
 import hashlib
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 from operator import add
 
 import ahocorasick
@@ -13,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import Batches, slices, tidy
+
 SPACE = "▁"
 # Kinds of a piece in a model file, fixed values.
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
@@ -113,6 +116,12 @@ class PieceCodec:
         self.chunks: dict[str, tuple[list[int], str]] = {}
         self.older: dict[str, tuple[list[int], str]] = {}
 
+    def forget(self) -> None:
+        """Drop what was remembered of the texts met so far."""
+        self.chunks, self.older, self.pairs = {}, {}, 0
+        for _, _, after in self.automaton.values():
+            after.clear()
+
     def merged(self, text: str) -> list[str]:
         """Tokens of a short text by its merges: best score first, then leftmost."""
         parts = list(text)
@@ -217,6 +226,16 @@ def codec(model: bytes) -> PieceCodec:
     return _CODECS[model]
 
 
+@contextmanager
+def for_a_task(model: bytes) -> Iterator[PieceCodec]:
+    """The codec, which forgets the task's texts at its end: the worker lives on, also for other stages."""
+    own = codec(model)
+    try:
+        yield own
+    finally:
+        own.forget()
+
+
 def _model(docs: DataFrame, path: str):
     """The model file's bytes for all tasks; a file of a vocabulary, not of data."""
     with open(path, "rb") as f:
@@ -234,18 +253,19 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     types = [pa.int64(), pa.string(), pa.list_(pa.int32()), pa.int64(), pa.bool_()]
     names = ["doc_id", "source", "ids", "n_tokens", "round_trip"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(model.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):  # ids of a few texts at a time
-                part, rows = batch.slice(at, 128), []
-                for doc, source, value in zip(part.column(0), part.column(1), part.column(2)):
-                    text = value.as_py() or ""
-                    ids = own.encode(text)[0]
-                    array = np.array(ids, np.int32)
-                    rows.append((doc.as_py(), source.as_py(), array, len(ids), own.decode(ids) == text))
-                arrays = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+    @tidy
+    def run(batches: Batches) -> Batches:
+        with for_a_task(model.value) as own:
+            for batch in batches:
+                for part in slices(batch, 2, 128, 1 << 22):  # ids of a few texts at a time
+                    rows = []
+                    for doc, source, value in zip(part.column(0), part.column(1), part.column(2)):
+                        text = value.as_py() or ""
+                        ids = own.encode(text)[0]
+                        array = np.array(ids, np.int32)
+                        rows.append((doc.as_py(), source.as_py(), array, len(ids), own.decode(ids) == text))
+                    arrays = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     schema = "doc_id long, source string, ids array<int>, n_tokens long, round_trip boolean"
     return docs.select("doc_id", "source", "text").mapInArrow(run, schema)
@@ -258,17 +278,18 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     def sha(text: str) -> str:
         return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(model.value)
-        for batch in batches:
-            counts, hashed, decoded = [], [], []
-            for value in batch.column(1):
-                ids, text = own.encode(value.as_py())
-                counts.append(len(ids))
-                hashed.append(sha(text))
-                decoded.append(sha(own.decode(ids)))
-            arrays = [batch.column(0), pa.array(counts, pa.int64()), pa.array(hashed, pa.string()), pa.array(decoded, pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    @tidy
+    def run(batches: Batches) -> Batches:
+        with for_a_task(model.value) as own:
+            for batch in batches:
+                counts, hashed, decoded = [], [], []
+                for value in batch.column(1):
+                    ids, text = own.encode(value.as_py())
+                    counts.append(len(ids))
+                    hashed.append(sha(text))
+                    decoded.append(sha(own.decode(ids)))
+                arrays = [batch.column(0), pa.array(counts, pa.int64()), pa.array(hashed, pa.string()), pa.array(decoded, pa.string())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select("doc_id", "text").mapInArrow(run, schema)

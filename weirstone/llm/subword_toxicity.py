@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import Batches, slices, tidy
+
 # The labelled rows a model is fitted on: so many of each label at most, of so
 # many characters each, the smallest hashes of their ids.
 TOXIC_ROWS, CLEAN_ROWS, ROW_CHARS = 1200, 2000, 4000
@@ -19,7 +20,9 @@ ROUNDS, RATE, DECAY, SHARPNESS, RIDGE = 20, 0.1, 1e-6, 30.0, 0.01
 REFITS, HARD = 4, (6, 2)
 BUCKETS = 1 << BUCKET_BITS
 THRESHOLD = 0.3
-REMEMBERED = 300_000
+REMEMBERED = 100_000
+# Texts scored together, and their bytes.
+PART_ROWS, PART_BYTES = 256, 1 << 22
 # Words per window: a document scores as its window of the highest mean.
 WINDOW = 2
 # Signs that end a word, as white space does.
@@ -241,6 +244,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel:
     return train([(t, y) for _, t, y in sorted(sampled, key=lambda r: r[0])])
 
 
+def _scored(own: ToxicModel, batches: Batches, column: int) -> Iterator[tuple[pa.RecordBatch, list[float]]]:
+    """Parts of batches, few and bounded in bytes, with the scores of a text column."""
+    for batch in batches:
+        for part in slices(batch, column, PART_ROWS, PART_BYTES):
+            yield part, own.scores(part.column(column).to_pylist())
+
+
 def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted.
 
@@ -251,13 +261,10 @@ def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
     """
     sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = ToxicModel(*sent.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                scores = pa.array(own.scores([t.as_py() for t in part.column(1)]), pa.float64())
-                yield pa.RecordBatch.from_arrays([part.column(0), scores], names=["doc_id", "score"])
+    @tidy
+    def run(batches: Batches) -> Batches:
+        for part, scores in _scored(ToxicModel(*sent.value), batches, 1):
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     scored = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
     predicted = (F.col("score") >= THRESHOLD).cast("int")
@@ -267,18 +274,17 @@ def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose text is not predicted toxic, all columns unchanged; cases as :func:`score`.
 
-    The text is scored where it lies, in one pass, next to its row.
+    Rows are scored where they lie, in one pass, a few at a time.
     """
     model = fit(docs, labels)
     sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
-    own: list[ToxicModel] = []
+    column = docs.columns.index("text")
 
-    @F.pandas_udf("double")
-    def toxic(texts: pd.Series) -> pd.Series:
-        if not own:
-            own.append(ToxicModel(*sent.value))
-        parts = (own[0].scores(list(texts.iloc[at : at + 256])) for at in range(0, len(texts), 256))
-        return pd.Series([s for part in parts for s in part], dtype="float64")
+    @tidy
+    def run(batches: Batches) -> Batches:
+        for part, scores in _scored(ToxicModel(*sent.value), batches, column):
+            kept = part.filter(pa.array([s < THRESHOLD for s in scores], pa.bool_()))
+            if kept.num_rows:
+                yield kept
 
-    kept = docs.select(F.struct("*").alias("__row")).where(toxic(F.col("__row.text")) < THRESHOLD)
-    return kept.select("__row.*")
+    return docs.mapInArrow(run, docs.schema)
