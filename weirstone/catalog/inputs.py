@@ -14,6 +14,9 @@ from ..sources import as_envelope, spread, table
 RUN_TS = "2024-02-01 00:00:00"
 NTZ = "timestamp_ntz"
 
+# Where a part of the events ends and the next one starts.
+PART_ENDS = ("2024-01-08", "2024-01-16", "2024-01-23")
+
 
 def _positions(column: str) -> dict[str, str]:
     """Three partitions with gapless offsets from a number that has no gaps."""
@@ -161,6 +164,31 @@ def item_positions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def item_loads(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """The messages of line items as three loads, with copies inside a load and across loads."""
+    items = table(spark, folder, "lineitem")
+    return [
+        as_envelope(
+            items.where(F.col("l_linenumber") % 3 == n),
+            value="l_returnflag",
+            topic="lineitem",
+            timestamp="l_shipdate",
+            **_positions("l_orderkey"),
+        )
+        for n in range(3)
+    ]
+
+
+def in_parts(envelope: DataFrame) -> list[DataFrame]:
+    """Messages as four parts by time, each later than the one before."""
+    at = F.col("timestamp").cast(NTZ)
+    ends = [F.lit(day).cast(NTZ) for day in PART_ENDS]
+    return [
+        envelope.where(((at >= low) if low is not None else F.lit(True)) & ((at < high) if high is not None else F.lit(True)))
+        for low, high in zip([None, *ends], [*ends, None])
+    ]
+
+
 def order_states(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as a target table: key, status, amount, line, time."""
     return table(spark, folder, "orders").selectExpr(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..plans.feeds import ROUTE_CALL_FIELDS
+from ..plans.feeds import ROUTE_CALL_DETAIL, ROUTE_CALL_FIELDS
 
 _STAMP = "TIMESTAMP '2024-02-01 00:00:00'"
 
@@ -216,6 +216,55 @@ SELECT {_event("'555' || user_id")} AS ani, {_event(_STATE)} AS state, {_EVENT_A
     "offset_range": f"""
 SELECT {_EVENT_KEYS} FROM events
 WHERE event_id // 3 >= CASE event_id % 3 WHEN 0 THEN 1000 WHEN 1 THEN 3000 ELSE 0 END""",
+    "load_offsets_snapshots": """
+SELECT 'events' AS topic, CAST(event_id % 3 AS INTEGER) AS partition, CAST(max(event_id // 3) + 1 AS BIGINT) AS "offset", 1 AS files
+FROM events GROUP BY event_id % 3""",
+    "load_gaps": """
+WITH placed AS (SELECT CAST(o_orderkey % 3 AS INTEGER) AS part, CAST(o_orderkey // 3 AS BIGINT) AS spot FROM orders),
+cut AS (SELECT max(spot) // 3 AS third FROM placed),
+loads AS (
+  SELECT 1 AS load, part, spot FROM placed, cut WHERE spot < third
+  UNION ALL SELECT 2, part, spot FROM placed, cut WHERE spot >= third + 50 AND spot % 10 <> 7),
+spans AS (SELECT load, part, min(spot) AS first, max(spot) + 1 AS next, count(*) AS n FROM loads GROUP BY load, part),
+found AS (
+  SELECT part, first, next, n, max(next) FILTER (load = 1) OVER (PARTITION BY part) AS stored, load FROM spans)
+SELECT 'callTypeInterval' AS topic, part AS partition, CASE WHEN load = 2 THEN stored END AS start, first, next,
+  CASE WHEN load = 2 THEN greatest(first - stored, 0) ELSE 0 END AS lost_before, next - first - n AS lost_inside
+FROM found WHERE next - first > n OR (load = 2 AND first > stored)""",
+    "limited_load": f"""
+SELECT {_event('CAST(event_id AS DOUBLE)')} AS recovery_key, {_position('event_id', 'kafka_')},
+  (ts >= TIMESTAMP '2024-01-08')::INTEGER + (ts >= TIMESTAMP '2024-01-16')::INTEGER + (ts >= TIMESTAMP '2024-01-23')::INTEGER AS batch,
+  CAST(max(event_id // 3) OVER (PARTITION BY event_id % 3) + 1 AS BIGINT) AS stored_offset
+FROM events""",
+    "dedup_against_history": f"""
+SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS key, 'lineitem' AS topic, {_position('l_orderkey')} FROM lineitem""",
+    "stream_log": """
+SELECT '%s' AS load_name, CAST(batch AS BIGINT) AS batch, CASE WHEN batch < 2 THEN n END AS rows,
+  CASE WHEN batch < 2 THEN 'done' ELSE 'error' END AS status, CASE WHEN batch = 2 THEN TRUE END AS has_message
+FROM (
+  SELECT (ts >= TIMESTAMP '2024-01-08')::INTEGER + (ts >= TIMESTAMP '2024-01-16')::INTEGER + (ts >= TIMESTAMP '2024-01-23')::INTEGER AS batch,
+    count(*) AS n
+  FROM events GROUP BY batch)
+WHERE batch <= 2""" % ROUTE_CALL_DETAIL.load_name,
+    "stream_refresh": f"""
+WITH calls AS (
+  SELECT {_event('CAST(user_id AS INTEGER)')} AS router_call_keyday, {_event('CAST(event_id AS INTEGER)')} AS router_call_key,
+    {_event('ts')} AS date_time, {_position('event_id', 'kafka_')}, ts FROM events),
+starts AS (
+  SELECT *, ts - lag(ts) OVER (PARTITION BY router_call_keyday ORDER BY ts) < INTERVAL 12 HOUR AS goes_on FROM calls),
+runs AS (
+  SELECT *, sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (PARTITION BY router_call_keyday ORDER BY ts) AS run FROM starts),
+ends AS (SELECT router_call_keyday, run, max(ts) + INTERVAL 12 HOUR AS until FROM runs GROUP BY ALL),
+closed AS (
+  SELECT router_call_keyday, max(run) AS run FROM ends
+  WHERE until <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY router_call_keyday)
+SELECT r.router_call_keyday, router_call_key, date_time, kafka_partition, kafka_offset
+FROM runs r JOIN closed c ON r.router_call_keyday IS NOT DISTINCT FROM c.router_call_keyday AND r.run = c.run""",
+    "load_append_stage": f"""
+WITH third AS (SELECT max(o_orderkey // 3) // 3 + 1 AS size FROM orders)
+SELECT CAST(o_orderkey // 3 // size AS INTEGER) AS load, {_position('o_orderkey', 'kafka_')},
+  {_order('CAST(o_orderkey AS DOUBLE)')} AS recovery_key
+FROM orders, third""",
     "offset_range_many": """
 WITH placed AS (
   SELECT CAST(event_id AS VARCHAR) AS key, event_id % 2 = 0 AS in_a, event_id // 2 % 100 AS part, event_id // 200 AS spot FROM events)

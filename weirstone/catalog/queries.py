@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,18 +16,21 @@ from ..plans import (
     CALL_TYPE,
     ROUTE_CALL_DETAIL,
     OffsetStore,
+    PresenceStore,
+    Refresh,
     Upsert,
     flatten,
+    load_in_batches,
     parse_feed,
     preview_locks,
     run_load,
 )
 from ..plans.feeds import INTENT_FIXES, INTERVAL_TYPE, STATE_SLICE
 from ..session import shared_folder
-from ..sinks import ParquetStage, append, truncate_load, write
+from ..sinks import JdbcStage, ParquetStage, append, truncate_load, write
 from ..sources import JdbcConnection, key_value, scan, scan_split, table, text_envelope
 from ..sources.tables import file_stream
-from ..streaming import dedup_stream, ingest_to_files, ingest_to_stage
+from ..streaming import StreamLog, dedup_stream, ingest_to_files, ingest_to_stage, refresh_closed
 from . import inputs
 from .inputs import NTZ, RUN_TS
 
@@ -36,6 +40,9 @@ POSITION = ["topic", "partition", "offset"]
 BATCH_LIMIT = 100
 RANGE_STARTS = '{"events":{"0":1000,"1":3000,"2":0}}'
 
+# Loads whose offsets are stored.
+SNAPSHOT_LOADS = 50
+
 # Ranges over two topics of 100 partitions each; some partitions are not listed.
 MANY_STARTS = {
     "many_a": {p: p % 5 for p in range(100) if p % 7 != 3},
@@ -320,6 +327,46 @@ def load_offsets(spark: SparkSession, folder: str) -> DataFrame:
     return store.read(spark).select(*POSITION)
 
 
+def load_offsets_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """Fifty loads' offsets moved on one after the other, in the order of their positions; how many files a read opens."""
+    store = OffsetStore(f"{shared_folder(spark, 'load')}/offsets")
+    events = inputs.event_positions(spark, folder)
+    for n in range(SNAPSHOT_LOADS):
+        store.advance(op.next_offsets(events.where(F.col("offset") % SNAPSHOT_LOADS == n)), f"load {n}")
+    rows = store.read(spark)
+    return rows.select(*POSITION, F.lit(len(rows.inputFiles())).alias("files"))
+
+
+def load_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads between which messages expired, and inside the second some are missing: the ledger."""
+    base = shared_folder(spark, "load")
+    calls, offset = inputs.call_types(spark, folder), F.col("offset")
+    third = calls.agg(F.max("offset")).first()[0] // 3
+    for rows in (offset < third, (offset >= third + 50) & (offset % 10 != 7)):
+        run_load(
+            calls.where(rows),
+            CALL_TYPE,
+            ParquetStage(f"{base}/stage"),
+            offsets=OffsetStore(f"{base}/offsets"),
+            ledger=f"{base}/ledger",
+            run_ts=RUN_TS,
+            timestamp_type=NTZ,
+        )
+    return spark.read.parquet(f"{base}/ledger").select(
+        "topic", "partition", "start", "first", "next", "lost_before", "lost_inside"
+    )
+
+
+def dedup_against_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Three loads, each without the messages of the ones before; all that was kept."""
+    base = shared_folder(spark, "load")
+    history = PresenceStore(f"{base}/history")
+    for n, load in enumerate(inputs.item_loads(spark, folder)):
+        key_position(history.unseen(load)).write.parquet(f"{base}/kept/load={n}")
+        history.record(spark.read.parquet(f"{base}/kept/load={n}"))
+    return spark.read.parquet(f"{base}/kept").drop("load")
+
+
 def load_log(spark: SparkSession, folder: str) -> DataFrame:
     """A load whose merge fails after the whole feed is staged; the log it leaves."""
     base = shared_folder(spark, "load")
@@ -369,6 +416,81 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{out}/rows")
 
 
+def _landed_parts(spark: SparkSession, envelope: DataFrame) -> DataFrame:
+    """The four parts of an envelope, a file each, as a stream that takes one file at a time."""
+    path = shared_folder(spark, "landed")
+    for part in inputs.in_parts(envelope):
+        part.coalesce(1).write.mode("append").parquet(path)
+    return file_stream(spark, path, envelope.schema, max_files_per_trigger=1)
+
+
+def limited_load(spark: SparkSession, folder: str) -> DataFrame:
+    """A load bounded to a file at a time: the batch each message was staged in."""
+    base = shared_folder(spark, "load")
+    load_in_batches(
+        _landed_parts(spark, inputs.route_calls(spark, folder)),
+        ROUTE_CALL_DETAIL,
+        ParquetStage(f"{base}/stage"),
+        f"{base}/checkpoint",
+        offsets=OffsetStore(f"{base}/offsets"),
+        run_ts=RUN_TS,
+        timestamp_type=NTZ,
+    )
+    store = OffsetStore(f"{base}/offsets").read(spark).select(F.col("partition").alias("kafka_partition"), F.col("offset").alias("stored_offset"))
+    staged = spark.read.parquet(f"{base}/stage").join(F.broadcast(store), "kafka_partition")
+    batch = F.regexp_extract("load_key", r"_(\d+)$", 1).cast("int")
+    return staged.select("recovery_key", "kafka_partition", "kafka_offset", batch.alias("batch"), "stored_offset")
+
+
+def stream_log(spark: SparkSession, folder: str) -> DataFrame:
+    """A streamed load whose third batch fails: the log of it."""
+    base = shared_folder(spark, "stream")
+    batches: list[int] = []
+
+    def third_fails(staged: DataFrame) -> None:
+        batches.append(len(batches))
+        if len(batches) == 3:
+            raise ValueError("the third batch fails")
+
+    with StreamLog(spark, f"{base}/log", ROUTE_CALL_DETAIL.load_name) as log:
+        query = ingest_to_stage(
+            _landed_parts(spark, inputs.route_calls(spark, folder)),
+            ROUTE_CALL_DETAIL,
+            ParquetStage(f"{base}/stage"),
+            f"{base}/checkpoint",
+            merges=[third_fails],
+            run_ts=RUN_TS,
+            timestamp_type=NTZ,
+        )
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            pass
+    return spark.read.parquet(log.path).select(
+        "load_name", "batch", "rows", "status", F.contains("message", F.lit("the third batch fails")).alias("has_message")
+    )
+
+
+def stream_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """Callers as slices, each a run of calls with less than twelve hours between them, over four batches."""
+    base = shared_folder(spark, "stream")
+    stage = ParquetStage(f"{base}/stage")
+    calls = Refresh(f"{base}/calls", ("router_call_keyday",))
+    ingest_to_stage(
+        _landed_parts(spark, inputs.route_calls(spark, folder)),
+        ROUTE_CALL_DETAIL,
+        stage,
+        f"{base}/staged",
+        run_ts=RUN_TS,
+        timestamp_type=NTZ,
+    ).awaitTermination()
+    schema = flatten_route_call_detail(spark, folder).schema
+    refresh_closed(
+        spark, stage, schema, calls, f"{base}/closed", time="kafka_record_timestamp", gap="12 hours", delay="1 hour", max_files_per_trigger=1
+    ).awaitTermination()
+    return spark.read.parquet(calls.path).select("router_call_keyday", "router_call_key", "date_time", "kafka_partition", "kafka_offset")
+
+
 def stream_merge(spark: SparkSession, folder: str) -> DataFrame:
     out = shared_folder(spark, "stream")
     latest = Upsert(f"{out}/latest", LATEST_CALL_KEYS, LATEST_CALL_ORDER, ("call_type_id",))
@@ -455,6 +577,28 @@ def jdbc_write_modes(spark: SparkSession, folder: str) -> DataFrame:
     return scan_split(spark, db, name, "id", 4).select("id", F.lit(kept).cast("bigint").alias("rows_after_ignore"))
 
 
+def load_append_stage(spark: SparkSession, folder: str) -> DataFrame:
+    """Three loads into a table that only grows: the rows each of them read back."""
+    base, calls = shared_folder(spark, "load"), inputs.call_types(spark, folder)
+    stage = JdbcStage(_database(spark), _table_name(), truncate=False, num_partitions=4)
+    third = calls.agg(F.max("offset")).first()[0] // 3 + 1
+    for n in range(3):
+
+        def own(staged: DataFrame, n: int = n) -> None:
+            rows = staged.select(F.lit(n).alias("load"), "kafka_partition", "kafka_offset", "recovery_key")
+            rows.write.mode("append").parquet(f"{base}/seen")
+
+        run_load(
+            calls.where(F.floor(F.col("offset") / third) == n),
+            CALL_TYPE,
+            stage,
+            merges=[own],
+            run_ts=RUN_TS,
+            timestamp_type=NTZ,
+        )
+    return spark.read.parquet(f"{base}/seen")
+
+
 def stage_truncate_load(spark: SparkSession, folder: str) -> DataFrame:
     """The stage holds the second load only."""
     db, name = _database(spark), _table_name()
@@ -508,13 +652,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         map_add_string,
         load_merge,
         load_offsets,
+        load_offsets_snapshots,
+        load_gaps,
         load_log,
+        limited_load,
+        dedup_against_history,
         stream_ingest,
         stream_merge,
         stream_dedup,
+        stream_log,
+        stream_refresh,
         jdbc_query_scan,
         jdbc_append_roundtrip,
         jdbc_write_modes,
         stage_truncate_load,
+        load_append_stage,
     )
 }

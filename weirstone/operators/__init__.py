@@ -24,6 +24,7 @@ from .offsets import (
     start_offsets,
     start_offsets_text,
 )
+from .presence import drop_present, merge_words, presence_words
 from .rows import counted, mark_malformed, preview, row_count, split_malformed
 
 __all__ = [
@@ -34,6 +35,7 @@ __all__ = [
     "decode_offsets",
     "dedup_envelope",
     "dedup_rare_copies",
+    "drop_present",
     "encode_offsets",
     "filter_by_keys",
     "first_per_key",
@@ -45,10 +47,12 @@ __all__ = [
     "merge_insert",
     "merge_refresh",
     "merge_upsert",
+    "merge_words",
     "new_rows",
     "next_offsets",
     "offset_gaps",
     "parse_offsets",
+    "presence_words",
     "preview",
     "prorate",
     "row_count",

@@ -11,7 +11,17 @@ from .feeds import (
     parse_feed,
     preview_locks,
 )
-from .load import OffsetStore, database_call, ingest, run_load, staged_positions
+from .load import (
+    OffsetStore,
+    database_call,
+    ingest,
+    load_in_batches,
+    losses,
+    run_load,
+    staged_positions,
+    staged_spans,
+)
+from .presence import PresenceStore
 from .targets import Insert, Refresh, Upsert
 
 __all__ = [
@@ -22,14 +32,18 @@ __all__ = [
     "Feed",
     "Insert",
     "OffsetStore",
+    "PresenceStore",
     "Refresh",
     "Upsert",
     "database_call",
     "feed",
     "flatten",
     "ingest",
+    "load_in_batches",
+    "losses",
     "parse_feed",
     "preview_locks",
     "run_load",
     "staged_positions",
+    "staged_spans",
 ]

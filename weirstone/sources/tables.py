@@ -31,9 +31,15 @@ def file_stream(
     path: str,
     schema: T.StructType,
     max_files_per_trigger: int | None = None,
+    ignore_missing: bool = False,
 ) -> DataFrame:
-    """Stream a folder of parquet files, bounded per trigger if asked."""
+    """Stream a folder of parquet files, bounded per trigger if asked.
+
+    With ``ignore_missing`` a file that went away after it was listed is passed over.
+    """
     reader = spark.readStream.schema(schema)
+    if ignore_missing:
+        reader = reader.option("ignoreMissingFiles", "true")
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path)

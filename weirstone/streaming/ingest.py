@@ -14,11 +14,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.feeds import Feed, flatten
+from ..plans.load import whole_slices_only
 from ..plans.targets import Merge
+from ..session import written
 from ..sinks.stages import JdbcStage, ParquetStage
 from ..sources.envelope import POSITION
 
 
+# The metric that counts the rows of a batch while they are written.
+LOADED = "loaded"
+
+
+def observed(flat: DataFrame) -> DataFrame:
+    """``flat`` with its rows counted into the progress of the stream."""
+    return flat.observe(LOADED, F.count(F.lit(1)).alias("rows"))
+
+
 def _trigger(interval: str | None) -> dict:
     return {"availableNow": True} if interval is None else {"processingTime": interval}
 
@@ -52,7 +63,7 @@ def ingest_to_files(
     Takes what is there and stops, unless ``interval`` keeps it running.
     """
     return (
-        flatten(stream, feed, run_ts, timestamp_type)
+        observed(flatten(stream, feed, run_ts, timestamp_type))
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
@@ -76,13 +87,17 @@ def ingest_to_stage(
 
     The load key is the query's id and the batch number: a batch that is run again replaces what
     it staged, and the merges are the same when repeated, so the effect is
-    exactly once although a batch may run twice.
+    exactly once although a batch may run twice. A batch is no whole slice, so
+    a ``Refresh`` is refused here: ``refresh_closed`` does it once a slice is complete.
     """
+    whole_slices_only(merges)
 
     def load(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        if getattr(stage, "truncate", False) and batch.isEmpty():
-            return
+        if getattr(stage, "truncate", False):
+            batch = written(batch, "batch")  # looked at, then staged: the batch itself is computed once
+            if batch.isEmpty():
+                return
         # The query's id lives in its checkpoint: another query's batches have other keys.
         query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         key = "_".join(x for x in (feed.load_name, query, str(number)) if x)
@@ -92,7 +107,7 @@ def ingest_to_stage(
             (merge if callable(merge) else merge.apply)(staged)
 
     return (
-        flatten(stream, feed, run_ts, timestamp_type)
+        observed(flatten(stream, feed, run_ts, timestamp_type))
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(interval))
