@@ -63,26 +63,26 @@ _CALL_TYPE = """
     CAST(o_orderkey % 31 AS STRING) AS MaxCallWaitTime"""
 
 _LOCK = """
-    '100' AS SAPClient,
+    'c7' AS SAPClient,
     CAST(o_orderkey AS STRING) AS LockObject,
-    '02' AS LockObjectCategory,
-    '10' AS ProcessCode,
+    'meter' AS LockObjectCategory,
+    'p3' AS ProcessCode,
     o_orderstatus AS LockReason,
     CAST(CAST(o_orderdate AS DATE) AS STRING) AS ValidFrom,
     CAST(date_add(CAST(o_orderdate AS DATE), 14) AS STRING) AS ValidTo,
     o_custkey AS BusinessPartner,
-    o_orderkey + 220000000000 AS ContractAccount,
-    'Invoice Row' AS LockObjectCategoryName,
+    o_orderkey + 730000000000 AS ContractAccount,
+    'Meter point' AS LockObjectCategoryName,
     o_orderpriority AS ProcessCodeName,
-    'Lock' AS LockReasonName,
+    'On hold' AS LockReasonName,
     '' AS ChangedBy,
-    '1900-01-01' AS ChangedOn,
-    '000000' AS ChangedAt,
-    '00000000' AS DateID,
+    '2019-11-05' AS ChangedOn,
+    '114500' AS ChangedAt,
+    'd19' AS DateID,
     '' AS Identification,
-    '1' AS Count,
-    '20210504081500' AS DFKKLOCKS_DF_TS,
-    'D' AS DFKKLOCKS_DF_DI"""
+    '3' AS Count,
+    '20191105114500' AS DFKKLOCKS_DF_TS,
+    'U' AS DFKKLOCKS_DF_DI"""
 
 
 def route_calls(spark: SparkSession, folder: str, topic: str = "routeCallDetail") -> DataFrame:

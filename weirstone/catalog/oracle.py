@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..plans.feeds import ROUTE_CALL_DETAIL, ROUTE_CALL_FIELDS
+from ..plans.feeds import CALL_TYPE_FIELDS, ROUTE_CALL_DETAIL, ROUTE_CALL_FIELDS
 
 _STAMP = "TIMESTAMP '2024-02-01 00:00:00'"
 
@@ -93,26 +93,26 @@ FROM orders"""
 
 # Payload field, result column, value.
 _LOCK_VALUES = [
-    ("SAPClient", "sap_client", "'100'"),
+    ("SAPClient", "sap_client", "'c7'"),
     ("LockObject", "lock_object", "CAST(o_orderkey AS VARCHAR)"),
-    ("LockObjectCategory", "lock_object_category", "'02'"),
-    ("ProcessCode", "process_code", "'10'"),
+    ("LockObjectCategory", "lock_object_category", "'meter'"),
+    ("ProcessCode", "process_code", "'p3'"),
     ("LockReason", "lock_reason", "o_orderstatus"),
     ("ValidFrom", "valid_from", "CAST(o_orderdate AS DATE)"),
     ("ValidTo", "valid_to", "CAST(o_orderdate AS DATE) + 14"),
     ("BusinessPartner", "business_partner_number", "CAST(o_custkey AS VARCHAR)"),
-    ("ContractAccount", "connection_contract_number", "CAST(o_orderkey + 220000000000 AS VARCHAR)"),
-    ("LockObjectCategoryName", "lock_object_category_name", "'Invoice Row'"),
+    ("ContractAccount", "connection_contract_number", "CAST(o_orderkey + 730000000000 AS VARCHAR)"),
+    ("LockObjectCategoryName", "lock_object_category_name", "'Meter point'"),
     ("ProcessCodeName", "process_code_name", "o_orderpriority"),
-    ("LockReasonName", "lock_reason_name", "'Lock'"),
+    ("LockReasonName", "lock_reason_name", "'On hold'"),
     ("ChangedBy", "changed_by", "''"),
-    ("ChangedOn", "changed_on", "DATE '1900-01-01'"),
-    ("ChangedAt", "changed_at", "'000000'"),
-    ("DateID", "date_id", "'00000000'"),
+    ("ChangedOn", "changed_on", "DATE '2019-11-05'"),
+    ("ChangedAt", "changed_at", "'114500'"),
+    ("DateID", "date_id", "'d19'"),
     ("Identification", "identification", "''"),
-    ("Count", "record_count", "'1'"),
-    ("DFKKLOCKS_DF_TS", "DFKKLOCKS_DF_TS", "'20210504081500'"),
-    ("DFKKLOCKS_DF_DI", "DFKKLOCKS_DF_DI", "'D'"),
+    ("Count", "record_count", "'3'"),
+    ("DFKKLOCKS_DF_TS", "DFKKLOCKS_DF_TS", "'20191105114500'"),
+    ("DFKKLOCKS_DF_DI", "DFKKLOCKS_DF_DI", "'U'"),
 ]
 
 _LOCKS = f"""
@@ -163,6 +163,28 @@ _ORDER_STATES = """SELECT o_orderkey AS order_key, o_orderstatus AS status, o_to
 _ITEM_STATES = """SELECT l_orderkey AS order_key, l_linestatus AS status, l_extendedprice AS amount,
   l_linenumber AS line, l_shipdate AS changed_at FROM lineitem"""
 
+# What is written into the interval messages: texts, most of them remainders of the key.
+_INTERVAL_VALUES = {
+    "DateTime": "CAST(o_orderdate AS VARCHAR)",
+    "CallTypeID": "CAST(o_custkey AS VARCHAR)",
+    "RecoveryKey": "CAST(o_orderkey AS VARCHAR)",
+    "CallsHandled": "CAST(nullif(o_orderkey % 13, 0) AS VARCHAR)",
+    "CallsAnswered": "CASE WHEN o_orderkey % 19 = 0 THEN 'n/a' ELSE CAST(o_orderkey % 19 AS VARCHAR) END",
+} | {
+    field: f"CAST(o_orderkey % {n} AS VARCHAR)"
+    for field, n in (
+        ("RouterCallsAbandQ", 7),
+        ("CallsRouted", 11),
+        ("AnswerWaitTime", 23),
+        ("CallsOffered", 17),
+        ("HandleTime", 29),
+        ("ServiceLevelCalls", 37),
+        ("OverflowOut", 5),
+        ("TotalCallsAband", 3),
+        ("MaxCallWaitTime", 31),
+    )
+}
+
 ORACLE: dict[str, str] = {
     "flatten_business_locks": _LOCKS,
     "flatten_call_type": _CALL_TYPES,
@@ -182,16 +204,22 @@ FROM orders""",
         for f in ROUTE_CALL_FIELDS
     )
     + f", {_EVENT_AT} FROM events",
+    "parse_reflected_call_type": "SELECT "
+    + ", ".join(
+        f"{_order(_INTERVAL_VALUES[f])} AS {f}" if f in _INTERVAL_VALUES else f"CAST(NULL AS VARCHAR) AS {f}"
+        for f in CALL_TYPE_FIELDS
+    )
+    + f", {_CALL_TYPE_AT} FROM orders",
     "json_dates": f"""
 SELECT {_order('CAST(o_orderdate AS DATE)')} AS valid_from,
   {_order('CAST(o_orderdate AS DATE) + 14')} AS valid_to,
-  {_order("DATE '1900-01-01'")} AS changed_on, {_LOCK_AT} FROM orders""",
+  {_order("DATE '2019-11-05'")} AS changed_on, {_LOCK_AT} FROM orders""",
     "nested_case_insensitive": f"""
 SELECT {_event('CAST(event_id AS VARCHAR)')} AS recovery_key, {_event("'555' || user_id")} AS ani,
   {_event("'800' || event_id")} AS dialed_number_string, {_EVENT_AT} FROM events""",
     "nested_subset": f"""
-SELECT {_order("'100'")} AS SAPClient, {_order('CAST(o_custkey AS VARCHAR)')} AS BusinessPartner,
-  {_order('CAST(o_orderkey + 220000000000 AS VARCHAR)')} AS ContractAccount FROM orders""",
+SELECT {_order("'c7'")} AS SAPClient, {_order('CAST(o_custkey AS VARCHAR)')} AS BusinessPartner,
+  {_order('CAST(o_orderkey + 730000000000 AS VARCHAR)')} AS ContractAccount FROM orders""",
     "cast_int": f"""
 SELECT {_event('CAST(event_id AS INTEGER)')} AS router_call_key,
   {_event('CAST(user_id % 20 AS INTEGER)')} AS call_type_id,
@@ -260,6 +288,17 @@ closed AS (
   WHERE until <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY router_call_keyday)
 SELECT r.router_call_keyday, router_call_key, date_time, kafka_partition, kafka_offset
 FROM runs r JOIN closed c ON r.router_call_keyday IS NOT DISTINCT FROM c.router_call_keyday AND r.run = c.run""",
+    "jdbc_quantile_scan": """
+SELECT o_orderkey AS id, o_orderkey * o_orderkey AS skewed, TRUE AS even FROM orders""",
+    "merge_upsert_bucketed": f"""
+WITH latest AS ({_ITEM_STATES}
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_extendedprice DESC, l_linestatus DESC) = 1)
+SELECT order_key, CASE WHEN old THEN o.status ELSE l.status END AS status, CASE WHEN old THEN o.amount ELSE l.amount END AS amount,
+  CASE WHEN old THEN o.line ELSE l.line END AS line, CASE WHEN old THEN o.changed_at ELSE l.changed_at END AS changed_at
+FROM (
+  SELECT order_key, o, l, l.order_key IS NULL
+    OR (o.order_key IS NOT NULL AND row(o.changed_at, o.line, o.amount, o.status) > row(l.changed_at, l.line, l.amount, l.status)) AS old
+  FROM ({_ORDER_STATES}) o FULL JOIN latest l USING (order_key))""",
     "load_append_stage": f"""
 WITH third AS (SELECT max(o_orderkey // 3) // 3 + 1 AS size FROM orders)
 SELECT CAST(o_orderkey // 3 // size AS INTEGER) AS load, {_position('o_orderkey', 'kafka_')},

@@ -15,6 +15,7 @@ from ..plans import (
     BUSINESS_LOCKS,
     CALL_TYPE,
     ROUTE_CALL_DETAIL,
+    BucketedTable,
     OffsetStore,
     PresenceStore,
     Refresh,
@@ -28,7 +29,7 @@ from ..plans import (
 from ..plans.feeds import INTENT_FIXES, INTERVAL_TYPE, STATE_SLICE
 from ..session import shared_folder
 from ..sinks import JdbcStage, ParquetStage, append, truncate_load, write
-from ..sources import JdbcConnection, key_value, scan, scan_split, table, text_envelope
+from ..sources import JdbcConnection, key_value, scan, scan_quantiles, scan_split, table, text_envelope
 from ..sources.tables import file_stream
 from ..streaming import StreamLog, dedup_stream, ingest_to_files, ingest_to_stage, refresh_closed
 from . import inputs
@@ -86,6 +87,10 @@ def parse_reflected_schema(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def parse_reflected_call_type(spark: SparkSession, folder: str) -> DataFrame:
+    return parse_feed(inputs.call_types(spark, folder), CALL_TYPE, full=True).select("cti.*", *POSITION)
+
+
 def json_dates(spark: SparkSession, folder: str) -> DataFrame:
     return parse_feed(inputs.locks(spark, folder), BUSINESS_LOCKS, full=True).select(
         F.col("businessLock.ValidFrom").alias("valid_from"),
@@ -267,6 +272,14 @@ def merge_upsert(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def merge_upsert_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as a table in buckets of their key, upserted by line items."""
+    target = BucketedTable(f"{shared_folder(spark, 'bucketed')}/orders", ("order_key",), 8)
+    target.create(inputs.order_states(spark, folder))
+    target.upsert(inputs.item_states(spark, folder), ("changed_at", "line", "amount", "status"))
+    return target.read(spark)
+
+
 def merge_refresh(spark: SparkSession, folder: str) -> DataFrame:
     return op.merge_refresh(
         inputs.customer_slices(spark, folder), inputs.user_slices(spark, folder), ["slice"]
@@ -556,6 +569,17 @@ def jdbc_query_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_split(spark, db, query, "o_custkey", 4)
 
 
+def jdbc_quantile_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """A column whose values lie ever further apart, read in splits of about equally many rows."""
+    db, name = _database(spark), _table_name()
+    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("id"))
+    append(orders.withColumn("skewed", F.col("id") * F.col("id")), db, name)
+    rows = scan_quantiles(spark, db, name, "skewed", 16)
+    sizes = rows.groupBy(F.spark_partition_id()).count()
+    largest, total, splits = sizes.agg(F.max("count"), F.sum("count"), F.count(F.lit(1))).first()
+    return rows.withColumn("even", F.lit(splits > 8 and largest * splits <= 2 * total))
+
+
 def jdbc_append_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Two appends, one of them after the other: both are there."""
     db, name = _database(spark), _table_name()
@@ -618,6 +642,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         envelope_key_value,
         parse_explicit_schema,
         parse_reflected_schema,
+        parse_reflected_call_type,
         json_dates,
         nested_case_insensitive,
         nested_subset,
@@ -646,6 +671,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dedup_envelope,
         dedup_rare_copies,
         merge_upsert,
+        merge_upsert_bucketed,
         merge_refresh,
         merge_insert,
         malformed_split,
@@ -663,6 +689,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_log,
         stream_refresh,
         jdbc_query_scan,
+        jdbc_quantile_scan,
         jdbc_append_roundtrip,
         jdbc_write_modes,
         stage_truncate_load,

@@ -1,5 +1,6 @@
 """Feeds, and loads of them into stages and targets."""
 
+from .buckets import BucketedTable
 from .feeds import (
     BUSINESS_LOCKS,
     CALL_TYPE,
@@ -27,6 +28,7 @@ from .targets import Insert, Refresh, Upsert
 __all__ = [
     "BUSINESS_LOCKS",
     "CALL_TYPE",
+    "BucketedTable",
     "FEEDS",
     "ROUTE_CALL_DETAIL",
     "Feed",

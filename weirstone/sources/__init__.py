@@ -7,7 +7,7 @@ from .envelope import (
     require_envelope,
     text_envelope,
 )
-from .jdbc import JdbcConnection, scalar, scan, scan_split
+from .jdbc import JdbcConnection, scalar, scan, scan_quantiles, scan_split
 from .kafka import batch_options, kafka_batch, kafka_stream, stream_options
 from .tables import file_stream, sequence, spread, table
 
@@ -23,6 +23,7 @@ __all__ = [
     "require_envelope",
     "scalar",
     "scan",
+    "scan_quantiles",
     "scan_split",
     "sequence",
     "spread",
