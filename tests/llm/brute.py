@@ -197,3 +197,44 @@ def cosine_groups(rows, least):
                 low, high = sorted((root(a), root(b)))
                 parent[high] = low
     return [(i, links[i], root(i), root(i) == i) for i, _ in rows]
+
+
+class KneserNey:
+    """Interpolated modified Kneser-Ney over the characters of some texts, from dictionaries."""
+
+    def __init__(self, texts, order):
+        self.order = order
+        top = Counter()
+        for text in texts:
+            text = "\n" * (order - 1) + text.replace("\0", "\1")
+            top.update(text[i : i + order] for i in range(len(text) - order + 1))
+        self.levels = [top]
+        for _ in range(order - 1):
+            self.levels.insert(0, Counter(g[1:] for g in self.levels[0]))
+        self.cuts, self.contexts = [], []
+        for level in self.levels:
+            n = {i: 1 + sum(c == i for c in level.values()) for i in range(1, 5)}
+            y = n[1] / (n[1] + 2 * n[2])
+            cuts = [0.0] + [max(0.0, i - (i + 1) * y * n[i + 1] / n[i]) for i in (1, 2, 3)]
+            contexts = defaultdict(lambda: [0, 0.0])
+            for gram, c in level.items():
+                contexts[gram[:-1]][0] += c
+                contexts[gram[:-1]][1] += min(c, cuts[min(c, 3)])
+            self.cuts.append(cuts)
+            self.contexts.append(dict(contexts))
+
+    def probability(self, gram):
+        """Of the last character after those before it."""
+        if not gram:
+            return 1 / (len(self.levels[0]) + 1)
+        level, cuts, contexts = (x[len(gram) - 1] for x in (self.levels, self.cuts, self.contexts))
+        lower = self.probability(gram[1:])
+        if gram[:-1] not in contexts:
+            return lower
+        total, left = contexts[gram[:-1]]
+        c = level.get(gram, 0)
+        return (c - min(c, cuts[min(c, 3)]) + left * lower) / total
+
+    def surprise(self, text):
+        text = "\n" * (self.order - 1) + text.replace("\0", "\1")
+        return -sum(math.log(self.probability(text[i : i + self.order])) for i in range(len(text) - self.order + 1))

@@ -281,15 +281,6 @@ def test_quality(docs, none):
     assert char_perplexity.judge(none).count() == 0
 
 
-def test_model_probabilities_sum_to_one():
-    import numpy as np
-
-    key, n = np.unique(char_perplexity.grams("the cat sat on the mat, the rat ate the cat. " * 9), return_counts=True)
-    model = char_perplexity.KneserNey(key, n)
-    for context in (0, int(model.contexts[3][3]), 12345):
-        assert np.exp(model.log((context << 6) + np.arange(64))).sum() == pytest.approx(1)
-
-
 def test_components_of_a_chain_and_a_star(spark):
     links = [(n, n + 1) for n in range(300)] + [(1000, 1001 + n) for n in range(500)] + [(5, 5)]
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -2,150 +2,152 @@
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.keyjoin import join_right
 from ..session import written
-from .common import text_words
-
-# The model is over bytes in 64 classes, so a language has at most 2**24
-# n-grams of four, whatever the corpus: that bounds what is sent to tasks.
-BITS, ORDER = 6, 4
-CLASSES = 1 << BITS
-MODEL_BYTES = 256 << 20
-# Half widths of a language's band in robust standard deviations, and what a
-# text of n classes may stray by chance besides.
-BELOW, ABOVE, CHANCE = 5.0, 50.0, 2.0
+from .common import Batches, slices, tidy
+
+ORDER = 5
+# Half width of a language's band in robust standard deviations, and what the
+# mean of n words may stray by chance besides, in units of 1 / sqrt(n).
+BAND, CHANCE = 5.0, 6.0
 SYMBOLS = b"#*$%&|<>"
+# Characters counted together, and bytes of a part of the model that is sent to tasks at a time.
 PIECE = 1 << 20
+MODEL_BYTES = 64 << 20
+ROW_BYTES = 16
+_PRIME, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
+# A line end stands before a text so often; a code point 0 counts as 1.
+_START = "\n" * (ORDER - 1)
 
 
-def _classes() -> np.ndarray:
-    """Class of each byte: letters each their own, digits and white space one each, signs and other bytes a few."""
-    table = np.zeros(256, np.uint8)
-    for group, members in enumerate([b" \t\r\x0b\x0c", b"\n", b"0123456789", b".,", b";:!?", b"'\"()-", SYMBOLS], 1):
-        for byte in members:
-            table[byte] = group
-    for n, first in enumerate((b"a", b"A")):
-        table[first[0] : first[0] + 26] = np.arange(8 + 26 * n, 34 + 26 * n)
-    table[128:] = 60 + np.arange(128) % 4
-    return table
+def codes(text: str) -> np.ndarray:
+    """Code points of a text after the line ends that start it."""
+    code = np.frombuffer((_START + text).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.maximum(code, 1)
 
 
-_TABLE = _classes()
+def seed(lang: str | None) -> np.uint64:
+    """A number of its own for each language, null too."""
+    value = 14695981039346656037
+    for byte in b"" if lang is None else b"=" + lang.encode("utf-8", "surrogatepass"):
+        value = (value ^ byte) * 0x100000001B3 % (1 << 64)
+    return np.uint64(value)
 
 
-def grams(text: str) -> np.ndarray:
-    """Keys of all n-grams of four of a text that a line end starts three times."""
-    code = _TABLE[np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)].astype(np.uint32)
-    code = np.r_[np.full(ORDER - 1, _TABLE[10], np.uint32), code]
-    key = np.zeros(len(code) - ORDER + 1, np.uint32)
+def grams(code: np.ndarray, start: np.uint64) -> np.ndarray:
+    """64-bit names of the n-grams of a language that start at each code point but the last ones."""
+    key = np.full(max(0, len(code) - ORDER + 1), start, np.uint64)
     for i in range(ORDER):
-        key = key << BITS | code[i : len(code) - ORDER + 1 + i]
-    return key
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of n-grams by language, one row for each that a piece of the task's texts has."""
-    schema = pa.schema([("lang", pa.string()), ("key", pa.int32()), ("n", pa.int64())])
-    held: dict[str | None, list[np.ndarray]] = {}
-    sizes: Counter = Counter()
-    sums: dict[str | None, tuple[np.ndarray, np.ndarray]] = {}
-
-    def fold(lang: str | None) -> None:
-        keys, counts = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
-        sizes[lang] = 0
-        if lang in sums:
-            old_keys, old = sums[lang]
-            both, where = np.unique(np.r_[old_keys, keys], return_inverse=True)
-            keys, counts = both, np.bincount(where, weights=np.r_[old, counts]).astype(np.int64)
-        sums[lang] = keys, counts
+        key = (key ^ code[i : len(code) - ORDER + 1 + i]) * _PRIME
+        key ^= key >> np.uint64(29)
+    return (key * _MIX).view(np.int64)
+
+
+class _Counts:
+    """Counts of the n-grams of one language in a task: names, how often, and the code points."""
+
+    def __init__(self, lang: str | None) -> None:
+        self.start = seed(lang)
+        self.waiting: list[np.ndarray] = []
+        self.size = 0
+        self.names, self.often = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.windows = np.zeros((0, ORDER), np.uint32)
+
+    def add(self, text: str) -> None:
+        code = codes(text)
+        for at in range(0, len(code) - ORDER + 1, PIECE):
+            part = code[at : at + PIECE + ORDER - 1]
+            self.waiting.append(part)
+            self.size += len(part)
+            if self.size > PIECE:
+                self.fold()
+
+    def fold(self) -> None:
+        if not self.waiting:
+            return
+        names = np.concatenate([grams(c, self.start) for c in self.waiting])
+        windows = np.concatenate([np.lib.stride_tricks.sliding_window_view(c, ORDER) for c in self.waiting])
+        new, first, often = np.unique(names, return_index=True, return_counts=True)
+        names, where = np.unique(np.r_[self.names, new], return_inverse=True)
+        counts = np.zeros(len(names), np.int64)
+        np.add.at(counts, where, np.r_[self.often, often])
+        kept = np.zeros((len(names), ORDER), np.uint32)
+        kept[where] = np.concatenate([self.windows, windows[first]])
+        self.names, self.often, self.windows = names, counts, kept
+        self.waiting, self.size = [], 0
+
+
+@tidy
+def _count(batches: Batches) -> Batches:
+    """lang, gram, key, n of the task's texts; a bounded table is sent on and begun anew."""
+    schema = pa.schema([("lang", pa.string()), ("gram", pa.string()), ("key", pa.int64()), ("n", pa.int64())])
+    held: dict[str | None, _Counts] = {}
+
+    def out() -> Batches:
+        for lang, counts in held.items():
+            counts.fold()
+            texts = np.ascontiguousarray(counts.windows).view(f"<U{ORDER}").ravel().tolist()
+            arrays = [pa.array([lang] * len(texts), pa.string()), pa.array(texts, pa.string()), pa.array(counts.names), pa.array(counts.often)]
+            yield from pa.Table.from_arrays(arrays, schema=schema).to_batches(1 << 16)
+        held.clear()
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             if value := text.as_py():
-                key = grams(value)
-                held.setdefault(lang, []).append(key)
-                sizes[lang] += len(key)
-                if sizes[lang] > PIECE:
-                    fold(lang)
-    for lang in list(held):
-        fold(lang)
-    for lang, (keys, counts) in sums.items():
-        names = pa.array([lang] * len(keys), pa.string())
-        yield pa.RecordBatch.from_arrays([names, pa.array(keys.astype(np.int32)), pa.array(counts)], schema=schema)
+                held.setdefault(lang, _Counts(lang)).add(value)
+                if sum(len(c.names) for c in held.values()) > 4 * PIECE:
+                    yield from out()
+    yield from out()
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
-    """lang, key, n: how often each n-gram of four occurs in all texts of a language."""
-    counted = docs.select("lang", "text").mapInArrow(_count, "lang string, key int, n long")
-    return counted.groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    """lang, gram, key, n: how often each n-gram of ORDER characters occurs in all texts of a language."""
+    counted = docs.select("lang", "text").mapInArrow(_count, "lang string, gram string, key long, n long")
+    return counted.groupBy("lang", "gram").agg(F.first("key").alias("key"), F.sum("n").alias("n"))
 
 
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """Discounts of counts 0, 1, 2 and more, by how many n-grams have counts 1 to 4."""
-    n = [np.count_nonzero(counts == i) for i in range(1, 5)]
-    if not all(n):
-        return np.array([0, 0.5, 0.75, 0.9])
-    y = n[0] / (n[0] + 2 * n[1])
-    return np.array([0, *(max(0.0, i + 1 - (i + 2) * y * n[i + 1] / n[i]) for i in range(3))])
+def _discounts(level: DataFrame) -> DataFrame:
+    """lang, d1, d2, d3 of one order: by how many n-grams have counts 1 to 4, each taken as one more."""
+    n = {i: F.count_if(F.col("n") == i) + 1 for i in range(1, 5)}
+    share = n[1] / (n[1] + 2 * n[2])
+    cut = [F.greatest(F.lit(0.0), i - (i + 1) * share * n[i + 1] / n[i]).alias(f"d{i}") for i in range(1, 4)]
+    return level.groupBy("lang").agg(*cut)
 
 
-class KneserNey:
-    """Interpolated modified Kneser-Ney of order four, in arrays sorted by key.
+def kneser_ney(counts: DataFrame) -> DataFrame:
+    """lang, key, log: log probabilities of the last character of each n-gram after the others.
 
-    The highest order has counts, the lower ones numbers of different n-grams
-    they end. Each order keeps the sorted keys with their log probabilities and
-    the sorted contexts with the weight of the order below.
+    Interpolated modified Kneser-Ney, order by order as joins of tables of
+    n-grams: the highest order has counts, the lower ones numbers of different
+    n-grams they end. Nothing of it passes the driver.
     """
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        self.keys: list[np.ndarray] = []
-        self.logs: list[np.ndarray] = []
-        self.contexts: list[np.ndarray] = []
-        self.weights: list[np.ndarray] = []
-        levels = [(keys.astype(np.int64), counts.astype(np.float64))]
-        for order in range(ORDER - 1, 0, -1):
-            ends, types = np.unique(levels[0][0] & ((1 << BITS * order) - 1), return_counts=True)
-            levels.insert(0, (ends, types.astype(np.float64)))
-        below: np.ndarray | None = None
-        for order, (key, count) in enumerate(levels, 1):
-            context, where = np.unique(key >> BITS, return_inverse=True)
-            total = np.bincount(where, weights=count)
-            discount = _discounts(count)
-            cut = discount[np.minimum(count, 3).astype(np.int64)]
-            cut = np.minimum(cut, count)
-            weight = np.bincount(where, weights=cut) / total
-            lower = np.full(len(key), 1 / CLASSES) if below is None else self._probability(order - 1, key & ((1 << BITS * (order - 1)) - 1))
-            probability = (count - cut) / total[where] + weight[where] * lower
-            self.keys.append(key)
-            self.logs.append(np.log(probability))
-            self.contexts.append(context)
-            self.weights.append(np.log(np.maximum(weight, 1e-12)))
-            below = probability
-
-    def _probability(self, order: int, key: np.ndarray) -> np.ndarray:
-        return np.exp(self.log(key, order))
-
-    def log(self, key: np.ndarray, order: int = ORDER) -> np.ndarray:
-        """Log probabilities of the last class of each key after those before it."""
-        keys = self.keys[order - 1]
-        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        found = keys[at] == key
-        out = self.logs[order - 1][at]
-        if not found.all():
-            missing = key[~found]
-            shorter = self.log(missing & ((1 << BITS * (order - 1)) - 1), order - 1) if order > 1 else np.full(len(missing), -np.log(CLASSES))
-            contexts = self.contexts[order - 1]
-            at = np.minimum(np.searchsorted(contexts, missing >> BITS), len(contexts) - 1)
-            known = contexts[at] == missing >> BITS
-            out[~found] = shorter + np.where(known, self.weights[order - 1][at], 0.0)
-        return out
+    known = F.coalesce(F.concat(F.lit("="), "lang"), F.lit(""))  # a null language is one of its own
+    levels = [counts.select(known.alias("lang"), "gram", "key", "n")]
+    for size in range(ORDER - 1, 0, -1):
+        ends = levels[0].select("lang", F.substring("gram", 2, size).alias("gram"))
+        levels.insert(0, written(ends.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n")), "ends"))
+    letters = levels[0].groupBy("lang").agg((1 / (F.count(F.lit(1)) + 1)).alias("lower"))
+    below = None
+    for size, level in enumerate(levels, 1):
+        cuts = _discounts(level)
+        cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+        rows = level.join(cuts, "lang").withColumn("cut", F.least(cut, F.col("n"))).withColumn("context", F.substring("gram", 1, size - 1))
+        contexts = rows.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.sum("cut").alias("left"))
+        rows = rows.join(contexts, ["lang", "context"])
+        if below is None:
+            rows = rows.join(letters, "lang")
+        else:
+            lower = below.select("lang", F.col("gram").alias("shorter"), F.col("p").alias("lower"))
+            rows = rows.withColumn("shorter", F.substring("gram", 2, size - 1)).join(lower, ["lang", "shorter"])
+        p = (F.col("n") - F.col("cut") + F.col("left") * F.col("lower")) / F.col("total")
+        last = [F.col("key")] if size == ORDER else []
+        below = written(rows.select("lang", "gram", *last, p.alias("p")), "probabilities")
+    return below.select("lang", "key", F.log("p").alias("log"))
 
 
 def n_repeat_words(words: list[bytes]) -> int:
@@ -186,114 +188,155 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
     return len(words), chars, symbols, len(lines) - len(set(lines)), n_repeat_words(words)
 
 
-def _facts(models: dict[str | None, KneserNey]):
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("lang", pa.string())]
-        + [(n, pa.int64()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_classes")]
-        + [("log_perplexity", pa.float64())]
-    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+# Signs: neither letter nor digit nor white space; bytes of longer characters are letters.
+_SIGNS = bytes(i for i in range(128) if not chr(i).isalnum() and not chr(i).isspace())
+
+
+def spoken(text: str | None) -> int:
+    """Words that have a letter or digit: rows of signs and table bars count for no word."""
+    return len(text.encode("utf-8", "surrogatepass").translate(None, _SIGNS).split()) if text else 0
+
+
+class Part:
+    """A part of the model: names of n-grams in order, and their log probabilities."""
+
+    def __init__(self, names: np.ndarray, logs: np.ndarray) -> None:
+        self.names, self.logs, self.seeds = names, logs, {}
+
+    def surprise(self, lang: str | None, text: str | None) -> float:
+        """Sum of the negative logs of those n-grams of a text that are in this part."""
+        if not text or not len(self.names):
+            return 0.0
+        if lang not in self.seeds:
+            self.seeds[lang] = seed(lang)
+        used, often = np.unique(grams(codes(text), self.seeds[lang]), return_counts=True)
+        at = np.minimum(np.searchsorted(self.names, used), len(self.names) - 1)
+        return float(-(self.logs[at] * often)[self.names[at] == used].sum())
+
+
+_COUNTED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_spoken")
+
+
+def _facts(sent):
+    """Rows (doc_id, lang, text, k1, k2) to doc_id, lang, counts, the surprise of one part, k1, k2."""
+
+    @tidy
+    def run(batches: Batches) -> Batches:
+        part = Part(*sent.value)
+        names = ["doc_id", "lang", *_COUNTED, "surprise", "k1", "k2"]
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for few in slices(batch, 2, 256, 1 << 22):
                 rows = []
-                for doc, lang, value in zip(*(part.column(i).to_pylist() for i in (0, 1, 2))):
-                    key = grams(value) if value else np.zeros(0, np.uint32)
-                    mean = None
-                    if len(key):
-                        used, often = np.unique(key, return_counts=True)
-                        mean = float(-(models[lang].log(used.astype(np.int64)) * often).sum() / len(key))
-                    rows.append((doc, lang, *base_counts(value), len(key), mean))
-                columns = zip(*rows) if rows else [[] for _ in schema]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
-
-    text = ", ".join(f"{f.name} {'string' if f.name == 'lang' else 'double' if f.name == 'log_perplexity' else 'long'}" for f in schema)
-    return run, text
-
-
-def _models(counts: DataFrame, langs: list[str | None]) -> dict[str | None, tuple[np.ndarray, np.ndarray]]:
-    wanted = F.coalesce(F.col("lang").isin([x for x in langs if x is not None]), F.lit(None in langs))
-    table = counts.where(wanted).toArrow().combine_chunks()
-    names, key, n = table.column(0).to_numpy(zero_copy_only=False), table.column(1).to_numpy(), table.column(2).to_numpy()
-    order = np.argsort(key, kind="stable")
-    out = {}
-    for lang in langs:
-        own = order[np.array([x is lang if lang is None else x == lang for x in names[order]], bool)]
-        out[lang] = key[own], n[own]
-    return out
+                for lang, value in zip(few.column(1).to_pylist(), few.column(2)):
+                    text = value.as_py()
+                    rows.append((*base_counts(text), spoken(text), part.surprise(lang, text)))
+                counted = [pa.array(c, pa.int64()) for c in list(zip(*rows))[:-1]]
+                surprise = pa.array([r[-1] for r in rows], pa.float64())
+                arrays = [few.column(0), few.column(1), *counted, surprise, few.column(3), few.column(4)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return run
+
+
+def _surprises(sent):
+    """Rows (lang, text, k1, k2) to k1, k2 and the surprise of one part."""
+
+    @tidy
+    def run(batches: Batches) -> Batches:
+        part = Part(*sent.value)
+        for batch in batches:
+            for few in slices(batch, 1, 256, 1 << 22):
+                found = [part.surprise(lang, v.as_py()) for lang, v in zip(few.column(0).to_pylist(), few.column(1))]
+                arrays = [few.column(2), few.column(3), pa.array(found, pa.float64())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["k1", "k2", "more"])
+
+    return run
+
+
+def _send(spark: SparkSession, rows: DataFrame):
+    """A part of the model to all tasks, in the order of its names."""
+    table = rows.select("key", "log").toArrow()
+    keys, logs = table.column(0).to_numpy(), table.column(1).to_numpy()
+    order = np.argsort(keys, kind="stable")
+    return spark.sparkContext.broadcast((keys[order], logs[order]))
 
 
 def document_facts(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, lang, the base counts, n_classes and log_perplexity (null for an empty text).
+    """Per document: doc_id, lang, the base counts, n_spoken and surprise (negative log probability of the text).
 
-    Counts of all texts of a language make its model. Models are sent to the
-    tasks for as many languages at a time as MODEL_BYTES has room for; a
-    corpus of more languages is read in several passes, each over the
-    documents of its languages.
+    The model is made of all texts, so it has every n-gram of a document, and
+    a document's surprise is a sum over its n-grams. It is sent to the tasks
+    in parts of about MODEL_BYTES, by ranges of the hashed names: as many as it
+    takes, each met by all documents in a pass of its own, and what the parts
+    give is added up by text.
     """
-    counts = written(count_grams(docs), "grams")
-    sizes = counts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # one row for each language
-    groups: list[list[str | None]] = [[]]
-    room = MODEL_BYTES
-    for row in sorted(sizes, key=lambda r: (r["lang"] is None, r["lang"] or "")):
-        need = 40 * row["n"]
-        if need > room and groups[-1]:
-            groups.append([])
-            room = MODEL_BYTES
-        groups[-1].append(row["lang"])
-        room -= need
-    spark, out = docs.sparkSession, None
-    texts = docs.select("doc_id", "lang", "text")
-    for langs in groups:
-        sent = spark.sparkContext.broadcast(_models(counts, langs))
-
-        def score(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            models = {lang: KneserNey(*arrays) for lang, arrays in sent.value.items()}
-            yield from _facts(models)[0](batches)
-
-        own = F.coalesce(F.col("lang").isin([x for x in langs if x is not None]), F.lit(None in langs))
-        if len(groups) == 1:
-            own = F.lit(True)
-        part = texts.where(own).mapInArrow(score, _facts({})[1])
-        out = part if out is None else out.unionByName(part)
-    if len(groups) > 1:  # languages of empty texts only have no model and need none
-        known = [x for g in groups for x in g]
-        rest = ~F.coalesce(F.col("lang").isin([x for x in known if x is not None]), F.lit(None in known))
-        out = out.unionByName(texts.where(rest).mapInArrow(_facts({})[0], _facts({})[1]))
-    return out
-
-
-def judge(docs: DataFrame, below: float = BELOW, above: float = ABOVE) -> DataFrame:
-    """Per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, log_perplexity.
+    spark = docs.sparkSession
+    model = written(kneser_ney(written(count_grams(docs), "grams")), "model")
+    parts = max(1, -(-model.count() * ROW_BYTES // MODEL_BYTES))
+    at = F.floor((F.shiftright("key", 32) + (1 << 31)) * parts / float(1 << 32))
+    lang = F.coalesce(F.concat(F.lit("="), "lang"), F.lit(""))
+    content = [F.xxhash64(F.lit(n), lang, "text").alias(f"k{n}") for n in (1, 2)]
+    texts = docs.select("doc_id", "lang", "text", *content)
+    counted = ", ".join(f"{c} long" for c in _COUNTED)
+    first = _send(spark, model.where(at == 0))
+    facts = texts.mapInArrow(_facts(first), f"doc_id long, lang string, {counted}, surprise double, k1 long, k2 long")
+    if parts == 1:
+        return facts.drop("k1", "k2")
+    rest = None
+    for n in range(1, parts):
+        sent = _send(spark, model.where(at == n))
+        found = texts.select("lang", "text", "k1", "k2").mapInArrow(_surprises(sent), "k1 long, k2 long, more double")
+        found = found.groupBy("k1", "k2").agg(F.max("more").alias("more"))  # copies of a text agree
+        rest = found if rest is None else rest.unionByName(found)
+        rest = written(rest.groupBy("k1", "k2").agg(F.sum("more").alias("more")), "surprises")
+        sent.destroy()
+    rest = rest.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "more")
+    facts = join_right(facts, ["k1", "k2"], rest, ["__k1", "__k2"], "left")
+    return facts.withColumn("surprise", F.col("surprise") + F.coalesce("more", F.lit(0.0))).select(
+        "doc_id", "lang", *_COUNTED, "surprise"
+    )
+
+
+def _limits(passed: DataFrame) -> DataFrame:
+    """__of, __median, __mad: the middle and the median distance from it of each language's own documents."""
+    middle = passed.groupBy("lang").agg(F.percentile_approx("bits", 0.5, 10000).alias("__median"))
+    middle = written(middle.withColumnRenamed("lang", "__of"), "medians")
+    joined = join_right(passed, ["lang"], middle, ["__of"], "inner")
+    far = F.abs(F.col("bits") - F.col("__median"))
+    return written(joined.groupBy("__of", "__median").agg(F.percentile_approx(far, 0.5, 10000).alias("__mad")), "bands")
+
+
+def judge(docs: DataFrame, band: float = BAND, chance: float = CHANCE) -> DataFrame:
+    """Per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, bits.
 
     A document fails the base rules with under ten words or with over a fifth
     of its words in repeated windows. Of the others those are kept whose
-    perplexity lies in the band of their language: its median over documents
-    that pass the base rules, so many robust deviations (1.4826 times the
-    median distance) up and down, plus what a short text strays by chance.
-
-    Only doc_id, lang and text are read. Null and empty texts count no words
-    and fail; a null language is one of its own; repeated rows give repeated
-    results; an empty table gives an empty result.
+    perplexity lies in the band of their language, up and down alike. It is
+    taken per word that has a letter or digit, as ``bits``, its logarithm to
+    base two: so bars and rows of signs, each easy to foresee, raise it. The
+    band is the median of the language's documents that pass the base rules,
+    ``band`` robust deviations (1.4826 times the median distance) wide to both
+    sides, and wider by ``chance`` over the root of the number of words.
+
+    Only doc_id, lang and text are read, texts whole, however long. Null and
+    empty texts count no words and fail; a null language is one of its own;
+    repeated rows give repeated results and count each; languages of few
+    documents have bands of their own all the same; equal distances are
+    inside; an empty table gives an empty result.
     """
     facts = written(document_facts(docs), "facts")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    facts = facts.withColumn("base_failed", failed)
-    passed = facts.where(~F.col("base_failed") & F.col("log_perplexity").isNotNull())
-    middle = passed.groupBy("lang").agg(F.percentile_approx("log_perplexity", 0.5, 10000).alias("__median"))
-    middle = middle.withColumnRenamed("lang", "__of")
-    joined = passed.join(F.broadcast(middle), F.col("lang").eqNullSafe(F.col("__of")))
-    spread = joined.groupBy("__of", "__median").agg(
-        F.percentile_approx(F.abs(F.col("log_perplexity") - F.col("__median")), 0.5, 10000).alias("__mad")
-    )
-    # One row for each language, as few as the models that were sent.
-    judged = facts.join(F.broadcast(written(spread, "bands")), F.col("lang").eqNullSafe(F.col("__of")), "left")
-    chance = CHANCE / F.sqrt(F.greatest(F.col("n_classes"), F.lit(1)))
-    far = F.col("log_perplexity") - F.col("__median")
-    inside = (far >= -(below * 1.4826 * F.col("__mad") + chance)) & (far <= above * 1.4826 * F.col("__mad") + chance)
+    words = F.greatest(F.col("n_spoken"), F.lit(1))
+    bits = F.when(F.col("n_words") > 0, F.col("surprise") / (words * float(np.log(2))))
+    facts = facts.withColumn("base_failed", failed).withColumn("bits", bits)
+    passed = facts.where(~F.col("base_failed")).select("lang", "bits")
+    judged = join_right(facts, ["lang"], _limits(passed), ["__of"], "left")
+    wide = band * 1.4826 * F.col("__mad") + chance / F.sqrt(words)
+    inside = F.abs(F.col("bits") - F.col("__median")) <= wide
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        kept.alias("kept"), "log_perplexity",
+        kept.alias("kept"), "bits",
     )
