@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import Batches, slices, tidy
+
 # Elements that end a block of text, that have no content, whose content is no page text.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -28,6 +30,14 @@ HINTS = frozenset(
     "sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget alert complementary contentinfo "
     "dialog".split()
 )
+# Words that say so also as a part of a name (comment-list, CommentThread), inside the article too.
+STRONG = frozenset(
+    "advert advertisement breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus footer login "
+    "masthead menu nav navbar navigation newsletter pagination popup promo recommended related replies reply respond "
+    "responses share sharing sidebar signup sponsor sponsored subscribe".split()
+)
+# An element that holds more of the page's text than this is no aside, whatever it is called.
+MOST = 0.8
 # A header is the page's, unless it stands in the article.
 HEADERS = frozenset(("header",))
 MAIN = frozenset(("article", "main"))
@@ -38,48 +48,53 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _TAG = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*")
-_WORD = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _SIGNS = re.compile(r"[.,;:!?…。、，！？；：]")
 
 
 class _Element:
-    """An open or closed element: its path of tags, its parents, how its tag and names speak against it.
+    """An open or closed element: the number of its path, its parents, how its tag and names speak against it.
 
-    ``own`` is 3 for no page text, 2 for a tag or a whole name of the lists, 1
-    for a name with a part of the lists; ``aside`` and ``doubted`` follow from
-    it when the page is known.
+    ``own`` is 3 for no page text, 2 for a tag or a name of the lists, 1 for a
+    name with a part of the lists that may mean something else; ``aside`` and
+    ``doubted`` follow from it when the page is known. ``block`` is the
+    innermost block it is in, itself included.
     """
 
-    __slots__ = ("tag", "path", "parent", "depth", "own", "aside", "doubted", "main", "chars")
+    __slots__ = ("tag", "path", "parent", "depth", "own", "aside", "doubted", "main", "chars", "block")
 
-    def __init__(self, tag: str, parent: _Element | None, attributes: str) -> None:
+    def __init__(self, tag: str, parent: _Element | None, attributes: str, paths: dict[tuple[int, str], int]) -> None:
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.main = tag in MAIN or (parent is not None and parent.main)
         self.aside = self.doubted = False
         self.chars = 0
+        self.block = self if parent is None or tag in BLOCKS else parent.block
         names: set[str] = set()
         if attributes:
             for values in _ATTRIBUTE.findall(attributes):
-                names.update("".join(values).lower().split())
-        words = {w for name in names for w in _WORD.findall(name)}
+                names.update("".join(values).split())
+        words = {w.lower() for name in names for w in _WORD.findall(name)}
         hints = HINTS if self.main else HINTS | HEADERS
         self.own = 0
         if tag in NEVER or tag in RAW:
             self.own = 3
         elif tag in ASIDE or (tag in HEADERS and not self.main):
             self.own = 2
-        elif tag not in MAIN and tag not in ("html", "body"):
-            self.own = 0 if hints.isdisjoint(words) else 1 if hints.isdisjoint(names) else 2
-        label = tag + "".join(f".{w}" for w in sorted(words)[:4])
-        self.path = f"{parent.path}/{label}" if parent else label
+        elif words and tag not in MAIN and tag not in ("html", "body"):
+            if not STRONG.isdisjoint(words) or not hints.isdisjoint(n.lower() for n in names):
+                self.own = 2
+            elif not hints.isdisjoint(words):
+                self.own = 1
+        label = ".".join((tag, *sorted(words))) if words else tag
+        self.path = paths.setdefault((parent.path if parent else -1, label), len(paths))
 
 
 def _judge(texts: list[tuple[_Element, str]], elements: list[_Element]) -> None:
     """Which elements are aside or doubted, from parents to children.
 
     None is that is around the longest article or main element, nor one that
-    holds over half of the page's text, unless an article or main stands elsewhere.
+    holds over MOST of the page's text, unless an article or main stands elsewhere.
     """
     for element, text in texts:
         element.chars += len(text.strip())
@@ -98,21 +113,29 @@ def _judge(texts: list[tuple[_Element, str]], elements: list[_Element]) -> None:
         around.add(id(seek))
         seek = seek.parent
     for element in elements[1:]:
-        most = 2 * element.chars > total and (longest is None or element.main)
+        most = element.chars > MOST * total and (longest is None or element.main)
         spared = element.own < 3 and (id(element) in around or most)
         element.aside = element.parent.aside or (element.own >= 2 and not spared)
         element.doubted = element.parent.doubted or (element.own == 1 and not spared)
 
 
-def _texts(page: str) -> list[tuple[_Element, str]]:
-    """Runs of text with their innermost element, judged; a text ``\\n`` marks the edge of a block."""
-    root = here = _Element("", None, "")
+def _texts(page: str) -> tuple[list[tuple[_Element, str]], list[_Element]]:
+    """Runs of text with their innermost element, judged, and all elements, parents first.
+
+    A text of a line end alone marks the edge of a block. Every element is
+    opened and closed once and every path is a number, so time and memory grow
+    with the page only, however deep it is.
+    """
+    paths: dict[tuple[int, str], int] = {}
+    root = here = _Element("", None, "", paths)
     elements = [root]
+    open_tags: Counter = Counter()
     out: list[tuple[_Element, str]] = []
     at, raw = 0, None
     while at < len(page):
         if raw:  # up to the end tag, whatever looks like one of another kind
             end = re.compile(rf"</{raw}\s*>?", re.I).search(page, at)
+            open_tags[here.tag] -= 1
             at, raw, here = (end.end() if end else len(page)), None, here.parent
             continue
         token = _TOKEN.match(page, at)
@@ -137,33 +160,35 @@ def _texts(page: str) -> list[tuple[_Element, str]]:
         if tag in BLOCKS:
             out.append((here, "\n"))
         if closing:
-            seek = here
-            while seek is not root and seek.tag != tag:
-                seek = seek.parent
-            if seek is not root:
-                here = seek.parent
+            if open_tags[tag]:  # else it closes nothing
+                while here.tag != tag:
+                    open_tags[here.tag] -= 1
+                    here = here.parent
+                open_tags[tag] -= 1
+                here = here.parent
             continue
         if tag in EMPTY:
             continue
         if tag in BLOCKS:  # a block ends an open paragraph, an item the item before it
-            seek = here
-            while seek is not root and seek.tag not in ("p", tag) and seek.tag not in BLOCKS:
-                seek = seek.parent
+            seek = here.block
             if seek is not root and (seek.tag == "p" or (seek.tag == tag and tag in ("li", "dt", "dd", "tr", "td", "th", "option"))):
-                here = seek.parent
+                while here is not seek.parent:
+                    open_tags[here.tag] -= 1
+                    here = here.parent
         if attributes.endswith("/") and tag not in BLOCKS and tag not in RAW:
             continue
-        here = _Element(tag, here, attributes)
+        here = _Element(tag, here, attributes, paths)
+        open_tags[tag] += 1
         elements.append(here)
         if tag in RAW:
             raw = tag
     _judge(out, elements)
-    return out
+    return out, elements
 
 
-def _content_paths(nodes: list[tuple[_Element, str]]) -> set[str]:
+def _content_paths(nodes: list[tuple[_Element, str]]) -> set[int]:
     """Paths whose smoothed ratio of text and punctuation to nodes stands out on the page."""
-    order: dict[str, int] = {}
+    order: dict[int, int] = {}
     for element, _ in nodes:
         order.setdefault(element.path, len(order))
     count, chars, signs = (np.zeros(len(order)) for _ in range(3))
@@ -195,22 +220,17 @@ def main_text(page: str | None) -> str:
     """
     if not page:
         return ""
-    texts = _texts(page)
+    texts, elements = _texts(page)
     nodes = [(e, t) for e, t in texts if not e.aside and t.strip()]
     if not nodes:
         return ""
     chosen = _content_paths(nodes)
-    top: _Element | None = None
     sure = any(e.path in chosen and not e.doubted for e, _ in nodes)
-    for element, _ in nodes:
-        if element.path in chosen and not (sure and element.doubted):
-            if top is None:
-                top = element
-            while top is not element:
-                if top.depth >= element.depth:
-                    top = top.parent
-                else:
-                    element = element.parent
+    holds = Counter(id(e) for e, _ in nodes if e.path in chosen and not (sure and e.doubted))
+    total = sum(holds.values())
+    for element in reversed(elements[1:]):
+        holds[id(element.parent)] += holds[id(element)]
+    top = max((e for e in elements if holds[id(e)] == total), key=lambda e: e.depth)
     while top.parent and (top.tag in LEAVES or top.tag not in BLOCKS):
         top = top.parent
     around = top
@@ -218,21 +238,11 @@ def main_text(page: str | None) -> str:
         around = around.parent
     if around.tag in MAIN:
         top = around
-    below: dict[int, bool] = {}
-
-    def inside(element: _Element) -> bool:
-        known = below.get(id(element))
-        if known is None:
-            known = element is top or (element.depth > top.depth and inside_parent(element))
-            below[id(element)] = known
-        return known
-
-    def inside_parent(element: _Element) -> bool:
-        while element.depth > top.depth:
-            element = element.parent
-        return element is top
-
-    kept = "".join(t for e, t in texts if t == "\n" or (not e.aside and (not e.doubted or e.path in chosen) and inside(e)))
+    inside: set[int] = set()
+    for element in elements:
+        if element is top or id(element.parent) in inside:
+            inside.add(id(element))
+    kept = "".join(t for e, t in texts if t == "\n" or (not e.aside and (not e.doubted or e.path in chosen) and id(e) in inside))
     return " ".join(html.unescape(kept).split())
 
 
@@ -244,10 +254,10 @@ def extract(pages: DataFrame) -> DataFrame:
     repeated results; an empty table gives an empty result.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @tidy
+    def run(batches: Batches) -> Batches:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in slices(batch, 2, 256, 1 << 22):
                 texts = [main_text(h.as_py()) for h in part.column(2)]
                 lengths = pa.array([len(t) for t in texts], pa.int64())
                 arrays = [part.column(0), part.column(1), pa.array(texts, pa.string()), lengths]
