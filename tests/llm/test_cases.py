@@ -285,3 +285,37 @@ def test_components_of_a_chain_and_a_star(spark):
     links = [(n, n + 1) for n in range(300)] + [(1000, 1001 + n) for n in range(500)] + [(5, 5)]
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {n: 0 for n in range(301)} | {n: 1000 for n in range(1000, 1501)}
+
+
+def plain_verdict(url, rules, default="allow"):
+    """Rule and verdict of a url by all rules, one after the other."""
+    rest = url.partition("://")[2] if url and "://" in url else ""
+    rest = rest.split("?")[0].split("#")[0]
+    host, slash, path = rest.partition("/")
+    host, path = host.lower(), slash + path
+    fit = [
+        (len(h + p), len(h), v == "block", h + p, v)
+        for h, p, v in rules
+        if (host == h or host.endswith("." + h)) and path.startswith(p)
+    ]
+    return max(fit)[3:] if fit else (None, default)
+
+
+def test_many_rules_of_all_shapes(spark):
+    import random
+
+    pick = random.Random(8)
+    names, steps = ["a", "bb", "c", "org", "net"], ["x", "yy", "zzz", "w/"]
+    hosts = [".".join(pick.choices(names, k=pick.randint(1, 5))) for _ in range(300)]
+    rules = sorted({(h, "/" + "/".join(pick.choices(steps, k=pick.randint(0, 4)))[: pick.randint(0, 12)], pick.choice(["allow", "block"])) for h in hosts})
+    urls = [f"http://{pick.choice(hosts)}/{'/'.join(pick.choices(steps, k=pick.randint(0, 5)))}?q=/x" for _ in range(400)]
+    urls += [None, "", "no scheme", "http://", "http://A.bb.C/x", "http://" + "a." * 300 + "net/" + "x/" * 2000, "http://net"]
+    got = url_rules.judge_urls(
+        spark.createDataFrame([(u,) for u in urls], "url string"), spark.createDataFrame(rules, "host string, path string, verdict string")
+    )
+    found = {r.url: (r.rule, r.verdict) for r in got.collect()}
+    assert found == {u: plain_verdict(u, rules) for u in urls}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    more = spark.createDataFrame(rules * 3 + [("zz.yy", "/" + "k" * n, "block") for n in range(60)], "host string, path string, verdict string")
+    larger = url_rules.judge_urls(spark.createDataFrame([(u,) for u in urls], "url string"), more)
+    assert len(larger._jdf.queryExecution().optimizedPlan().toString()) < 1.2 * len(plan)  # the plan does not grow with the rules

@@ -26,10 +26,6 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return F.translate(host, upper, lower), path
 
 
-def _slashes(text: Column) -> Column:
-    return F.length(text) - F.length(F.translate(text, "/", ""))
-
-
 def _digest(host: Column, path: Column) -> Column:
     return F.sha2(F.concat(host, F.lit("\x00"), path), 256)
 
@@ -42,37 +38,32 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = "allow") -> Dat
     rule wins, then the longer host, then ``block``. Without a rule the verdict
     is ``default`` and the rule null.
 
-    A url is expanded only to the shapes that rules have: how many labels of
-    the host, how many slashes of the path and how many characters after the
-    last. That list (fetched, one row per shape) grows with the variety of the
-    rules, not with their number or the urls. Any rule path is matched exactly,
-    ended by a slash or not. Null urls are judged like empty ones; rules with a
-    null are ignored; equal urls are judged once.
+    A url is expanded to its host suffixes and, for each, to the path prefixes
+    of those lengths that rules of as many labels have: a small table of
+    lengths by labels is joined, so the plan is the same for any number of
+    rules, and no url gives more expressions than its labels times its path's
+    length. Null urls are judged like empty ones; rules with a null are
+    ignored; equal urls are judged once; long urls are judged whole.
     """
     clean = rules.select("host", "path", "verdict").dropna()
     lowered = clean.withColumn("host", url_parts(F.concat(F.lit("://"), F.col("host")))[0])
-    tail = F.length(F.substring_index("path", "/", -1))
-    shapes = lowered.select(
-        F.size(F.split("host", r"\.")).alias("labels"), _slashes(F.col("path")).alias("depth"), tail.alias("tail")
-    ).distinct()
+    labels = F.size(F.split("host", r"\."))
+    lengths = lowered.groupBy(labels.alias("__labels")).agg(F.collect_set(F.length("path")).alias("__lengths"))
     host, path = url_parts(F.col("url"))
     parts = urls.select("url").distinct().select("url", host.alias("host"), path.alias("path"))
 
-    def expression(labels: int, depth: int, tail: int) -> Column:
-        suffix = F.when(
-            F.size(F.split("host", r"\.")) >= labels, F.substring_index("host", ".", -labels)
-        )
-        upto = F.concat(F.substring_index("path", "/", depth), F.lit("/")) if depth else F.lit("")
-        upto = F.when(_slashes(F.col("path")) >= depth, upto)
-        more = F.substring(F.col("path"), F.length(upto) + 1, F.lit(tail)) if tail else F.lit("")
-        whole = F.when(F.length(more) == tail, F.concat(upto, more))
-        return _digest(suffix, whole)  # null if the url has no such expression
-
-    found = [expression(*s) for s in shapes.collect()]
-    if not found:
-        return parts.select("url", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
-    digests = F.filter(F.array(*found), lambda d: d.isNotNull())
-    exploded = parts.select("url", F.explode(digests).alias("__digest"))
+    most = lengths.agg(F.max("__labels")).first()[0] or 0
+    names, n = F.split("host", r"\."), F.col("n")
+    suffix = F.transform(
+        F.sequence(F.lit(1), F.least(n, F.lit(most))),
+        lambda k: F.struct(k.alias("labels"), F.array_join(F.slice(names, n - k + 1, k), ".").alias("suffix")),
+    )
+    expanded = parts.where(F.lit(most > 0)).withColumn("n", labels).select("url", "path", F.inline(suffix))
+    expanded = join_right(expanded, ["labels"], lengths, ["__labels"], "inner", hot_rows=None)
+    fitting = F.filter("__lengths", lambda size: size <= F.length("path"))
+    expanded = expanded.select("url", "path", "suffix", F.explode(fitting).alias("size"))
+    digest = _digest(F.col("suffix"), F.substring(F.col("path"), F.lit(1), F.col("size")))
+    exploded = expanded.select("url", digest.alias("__digest"))
     exploded = exploded.withColumn("__prefix", F.substring("__digest", 1, PREFIX))
     known = lowered.select(
         _digest(F.col("host"), F.col("path")).alias("__full"),
