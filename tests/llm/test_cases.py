@@ -319,3 +319,57 @@ def test_many_rules_of_all_shapes(spark):
     more = spark.createDataFrame(rules * 3 + [("zz.yy", "/" + "k" * n, "block") for n in range(60)], "host string, path string, verdict string")
     larger = url_rules.judge_urls(spark.createDataFrame([(u,) for u in urls], "url string"), more)
     assert len(larger._jdf.queryExecution().optimizedPlan().toString()) < 1.2 * len(plan)  # the plan does not grow with the rules
+
+
+@pytest.mark.parametrize("group", [8, 40, 65_536])
+def test_dense_fingerprints_in_blocks(spark, monkeypatch, group):
+    """Many fingerprints that share their keys at every level, over bounds of any size."""
+    import random
+
+    pick = random.Random(2)
+    monkeypatch.setattr(golay_simhash, "EXPANDED", 64)
+    base = [pick.getrandbits(64) for _ in range(3)]
+    fps = {b ^ sum(1 << pick.choice(range(0, 64, 9)) for _ in range(pick.randint(0, 4))) for b in base for _ in range(90)}
+    fps |= {base[0] ^ (1 << i | 1 << j) for i in range(20, 26) for j in range(i)}
+    fps = sorted(f % (1 << 64) for f in fps)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    frame = spark.createDataFrame([(f,) for f in signed], "fp long")
+    links = [(r.a, r.b) for r in golay_simhash.fingerprint_links(frame, group).collect()]
+    parent = {f: f for f in signed}
+
+    def root(x, parent):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    plain = dict(parent)
+    for a, b in links:
+        parent[root(a, parent)] = root(b, parent)
+    for n, a in enumerate(signed):
+        for b in signed[n + 1 :]:
+            if bin((a ^ b) & (1 << 64) - 1).count("1") <= 3:
+                plain[root(a, plain)] = root(b, plain)
+    groups = [sorted(sorted(f for f in signed if root(f, p) == r) for r in {root(f, p) for f in signed}) for p in (parent, plain)]
+    assert groups[0] == groups[1]
+
+
+def test_products_beyond_a_long_are_refused(spark):
+    rows = [(0, [1e9, 1e9]), (1, [1e9, 2e9]), (2, [1.0, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk_products.top_products(frame).collect()
+    small = spark.createDataFrame([(i, [c / 4 for c in v]) for i, v in [(0, [4e6, 4e5]), (1, [4e4, 8e6]), (2, [1.0, 2.0])]], frame.schema)
+    found = [tuple(r) for r in topk_products.top_products(small).collect()]
+    assert sorted(found) == brute.top_products([(r.vec_id, r.embedding) for r in small.collect()])  # past the exact range of doubles
+
+
+def test_queries_of_all_needs_over_many_blocks(spark, monkeypatch):
+    import random
+
+    pick = random.Random(6)
+    for name, size in (("BLOCK", 16), ("QUERIES", 3), ("STEP", 4)):
+        monkeypatch.setattr(topk_products, name, size)
+    rows = [(n, [pick.gauss(0, 1) * 4 ** pick.randint(-2, 2) for _ in range(4)]) for n in range(260)] + [(300, [0.0] * 4), (400, [-9.0] * 4)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted(map(tuple, topk_products.top_products(frame, every=20, k=5).collect()))
+    assert found == brute.top_products(rows, 20, 5)

@@ -26,6 +26,8 @@ LENGTH, CHECK, GENERATOR = 23, 11, 0xC75
 PARTS = ((0, 23), (23, 23), (46, 18))
 # Members of a key one task compares at a time; a larger key is dealt anew by more bits.
 GROUP = 1 << 16
+# Fingerprints whose keys one task makes.
+EXPANDED = 32_768
 SMALL = 32
 
 
@@ -231,22 +233,45 @@ def _finer(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_arrays([pa.array(mixed.view(np.int64)), pa.array(fp)], names=["key", "fp"])
 
 
+def _blocks(later: DataFrame, group: int) -> DataFrame:
+    """Members (a) of keys (b) that stay too large, under a key for each pair of blocks of ``group`` of them.
+
+    Any two members meet in the pair of their blocks, and no pair has more
+    than about twice ``group``: exact at any size, at the price of comparing all.
+    """
+    sizes = later.groupBy(F.col("b").alias("__key")).agg(F.ceil(F.count(F.lit(1)) / group).alias("blocks"))
+    rows = join_right(later, ["b"], written(sizes, "key-sizes"), ["__key"], "inner")
+    block = F.pmod(F.xxhash64("a"), F.col("blocks"))
+    rows = rows.select("a", "b", block.alias("own"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"))
+    return rows.select(F.xxhash64("b", F.least("own", "other"), F.greatest("own", "other")).alias("key"), F.col("a").alias("fp"))
+
+
 def fingerprint_links(fps: DataFrame, group: int = GROUP) -> DataFrame:
-    """Links (a, b) whose components are those of all pairs of ``fp`` within 3 bits."""
-    rows = fps.mapInArrow(_key_rows, "key long, fp long")
+    """Links (a, b) whose components are those of all pairs of ``fp`` within 3 bits.
+
+    ``fps`` is a stored table of different fingerprints. They are dealt to
+    tasks of EXPANDED each before their keys are made, each of which takes
+    about a hundred times the room. Keys of over ``group`` members are dealt by
+    finer ones, twice; where that does not part them, in blocks.
+    """
+    tasks = -(-fps.count() // EXPANDED)
+    rows = (fps.repartition(tasks, "fp") if tasks > 1 else fps).mapInArrow(_key_rows, "key long, fp long")
     links = None
-    for level in range(3):
-        most = group if level < 2 else None
+    for level in range(4):
+        most = group if level < 3 else None
         sorted_rows = rows.repartition("key").sortWithinPartitions("key")
         found = written(
             sorted_rows.mapInArrow(lambda b, most=most: _link_rows(b, most), "a long, b long, later boolean"), "pairs"
         )
         own = found.where(~F.col("later")).select("a", "b")
         links = own if links is None else links.unionByName(own)
-        later = found.where("later")
+        later = found.where("later").select("a", "b")
         if later.isEmpty():
             break
-        rows = later.select("a", "b").mapInArrow(lambda b, level=level: _finer(b, level), "key long, fp long").distinct()
+        if level < 2:
+            rows = later.mapInArrow(lambda b, level=level: _finer(b, level), "key long, fp long").distinct()
+        else:
+            rows = _blocks(later, group)
     return links
 
 
@@ -268,7 +293,7 @@ def near_duplicates(docs: DataFrame, group: int = GROUP) -> DataFrame:
 def _rooted(docs: DataFrame, group: int) -> DataFrame:
     """doc, fp, root (a fingerprint that names the component, whatever its ids) and component_id of each row."""
     rows = written(docs.select("doc_id", "text").mapInArrow(_fingerprints, "doc long, fp long"), "fingerprints")
-    distinct = rows.groupBy("fp").agg(F.min("doc").alias("first"))
+    distinct = written(rows.groupBy("fp").agg(F.min("doc").alias("first")), "distinct")
     roots = components(fingerprint_links(distinct.select("fp"), group))
     rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "first"

@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
+from .common import ranked
 
 SCALE = 1024
 TOP = 10
 # Vectors of one block of candidates and of queries, and candidates looked at together.
 BLOCK, QUERIES, STEP = 4096, 1024, 256
+# Vectors the rotation is made of.
+ROTATED = 65_536
 # Share of the rotated space's energy in the partial sums.
 ENERGY = 0.7
 _EXACT = float(1 << 53)
@@ -33,10 +36,13 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of whole numbers, exact; beyond 63 bits they stop at the largest long."""
+    """Inner products of whole numbers, exact; ``OverflowError`` if one does not fit a long."""
     if a.size and b.size and np.abs(a).max() * np.abs(b).max() * a.shape[1] >= _EXACT:
         whole = lambda m: np.array([[int(x) for x in row] for row in m], object)
-        return np.clip(whole(a) @ whole(b).T, -_LONG, _LONG - 1)
+        products = whole(a) @ whole(b).T
+        if products.size and not -_LONG <= products.min() <= products.max() < _LONG:
+            raise OverflowError("an inner product does not fit a long")
+        return products
     return (a @ b.T).astype(np.int64)
 
 
@@ -110,11 +116,14 @@ def _gram(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), pa.array(list(total))], names=["i", "row"])
 
 
-def _rotation(rows: DataFrame, width: int) -> tuple[np.ndarray, int]:
-    """Right singular vectors of all vectors, largest first, and how many hold ENERGY of the squared lengths.
+def _rotation(rows: DataFrame, n: int, width: int) -> tuple[np.ndarray, int]:
+    """Right singular vectors of about ROTATED vectors, largest first, and how many hold ENERGY of the squared lengths.
 
-    From the sum of outer products: width rows of width numbers, added up by Spark.
+    From the sum of outer products: width rows of width numbers, added up by
+    Spark. Results do not depend on the rotation, only how early sums are cut:
+    so the vectors it is made of are a sample by hash.
     """
+    rows = rows.where(F.pmod(F.xxhash64("vec_id", "v"), F.lit(max(n, 1))) < ROTATED).coalesce(8)
     parts = rows.select("v").mapInArrow(lambda b: _gram(b, width), "i long, row array<double>")
     cells = parts.select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x"))
     gram = np.zeros((width, width))
@@ -141,7 +150,7 @@ def top_products(vectors: DataFrame, every: int = 100, k: int = TOP) -> DataFram
     Candidates are dealt into blocks by ranges of their length, queries into
     blocks by hash. The block of the longest vectors gives each query a kth
     score to start from; then only those pairs of blocks meet whose lengths
-    can still reach it.
+    can still reach it. Scores beyond a long raise ``OverflowError``.
     """
     rows = written(clean_vectors(vectors), "vectors")
     n, width, n_queries = rows.agg(
@@ -149,7 +158,7 @@ def top_products(vectors: DataFrame, every: int = 100, k: int = TOP) -> DataFram
     ).first()
     width, blocks = max(1, width or 0), max(1, -(-n // BLOCK))
     parts = max(1, -(-(n_queries or 0) // QUERIES))
-    rotation, split = _rotation(rows, width)
+    rotation, split = _rotation(rows, n, width)
     sent = rows.sparkSession.sparkContext.broadcast((rotation, split))  # width squared numbers
     dealt = rows.repartitionByRange(blocks, F.desc("length"), "vec_id").withColumn("block", F.spark_partition_id())
     dealt = written(dealt, "blocks")
@@ -189,12 +198,15 @@ def top_products(vectors: DataFrame, every: int = 100, k: int = TOP) -> DataFram
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     kth = seeds.withColumn("n", F.row_number().over(order)).where(F.col("n") == k)
     kth = kth.select(F.col("query_id").alias("__id"), F.col("score").alias("floor"))
-    asked = written(queries.join(kth, F.col("query_id") == F.col("__id"), "left").drop("__id"), "asked")
-    need = F.when(F.col("floor") > 0, F.col("floor") / F.col("q_length") * (1 - 1e-9)).otherwise(0.0)
-    lowest = asked.groupBy("part").agg(F.min(F.coalesce(need, F.lit(0.0))).alias("need"))
+    need = F.coalesce(F.when(F.col("floor") > 0, F.col("floor") / F.col("q_length") * (1 - 1e-9)), F.lit(0.0))
+    asked = queries.join(kth, F.col("query_id") == F.col("__id"), "left").drop("__id", "part").withColumn("need", need)
+    # Queries that need equally long vectors go together: one that needs short ones too makes no other part meet them.
+    asked = ranked(asked, [F.desc("need"), F.col("query_id"), F.xxhash64("q")], "at").withColumn("part", F.floor((F.col("at") - 1) / QUERIES).cast("int"))
+    asked = written(asked.drop("at"), "asked")
+    lowest = asked.groupBy("part").agg(F.min("need").alias("need"))
     longest = dealt.where(F.col("block") != F.lit(first)).groupBy("block").agg(F.max("length").alias("longest"))
     meet = longest.select("block", "longest", every_part).join(lowest, "part")
     meet = written(meet.where(F.col("longest") >= F.col("need")).select("part", "block"), "meet")
-    rest = search(asked.join(meet, "part"), dealt.join(meet, "block"))
+    rest = search(asked.drop("need").join(meet, "part"), dealt.join(meet, "block"))
     best = seeds.unionByName(rest).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")
