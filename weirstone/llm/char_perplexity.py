@@ -20,6 +20,8 @@ SYMBOLS = b"#*$%&|<>"
 PIECE = 1 << 20
 MODEL_BYTES = 64 << 20
 ROW_BYTES = 16
+# Bits of the names that a task's table of n-grams it met goes by.
+NEAR_BITS = 20
 _PRIME, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 # A line end stands before a text so often; a code point 0 counts as 1.
 _START = "\n" * (ORDER - 1)
@@ -43,9 +45,12 @@ def grams(code: np.ndarray, start: np.uint64) -> np.ndarray:
     """64-bit names of the n-grams of a language that start at each code point but the last ones."""
     key = np.full(max(0, len(code) - ORDER + 1), start, np.uint64)
     for i in range(ORDER):
-        key = (key ^ code[i : len(code) - ORDER + 1 + i]) * _PRIME
-        key ^= key >> np.uint64(29)
-    return (key * _MIX).view(np.int64)
+        key ^= code[i : len(code) - ORDER + 1 + i]
+        key *= _PRIME
+    key ^= key >> np.uint64(29)
+    key *= _MIX
+    key ^= key >> np.uint64(32)
+    return key.view(np.int64)
 
 
 class _Counts:
@@ -71,13 +76,19 @@ class _Counts:
         if not self.waiting:
             return
         names = np.concatenate([grams(c, self.start) for c in self.waiting])
-        windows = np.concatenate([np.lib.stride_tricks.sliding_window_view(c, ORDER) for c in self.waiting])
-        new, first, often = np.unique(names, return_index=True, return_counts=True)
+        order = np.argsort(names)
+        names = names[order]
+        starts = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
+        new, first, often = names[starts], order[starts], np.diff(np.r_[starts, len(names)])
+        # Each text has ORDER - 1 more code points than n-grams.
+        before = np.cumsum([len(c) - ORDER + 1 for c in self.waiting])
+        place = first + (ORDER - 1) * np.searchsorted(before, first, side="right")
+        windows = np.concatenate(self.waiting)[place[:, None] + np.arange(ORDER)]
         names, where = np.unique(np.r_[self.names, new], return_inverse=True)
         counts = np.zeros(len(names), np.int64)
         np.add.at(counts, where, np.r_[self.often, often])
         kept = np.zeros((len(names), ORDER), np.uint32)
-        kept[where] = np.concatenate([self.windows, windows[first]])
+        kept[where] = np.concatenate([self.windows, windows])
         self.names, self.often, self.windows = names, counts, kept
         self.waiting, self.size = [], 0
 
@@ -200,10 +211,30 @@ def spoken(text: str | None) -> int:
 
 
 class Part:
-    """A part of the model: names of n-grams in order, and their log probabilities."""
+    """A part of the model: names of n-grams in order, and their log probabilities.
+
+    Those met last stay in a small table of a place for each head of a name,
+    which most n-grams of a text are found in.
+    """
 
     def __init__(self, names: np.ndarray, logs: np.ndarray) -> None:
         self.names, self.logs, self.seeds = names, logs, {}
+        self.near = np.zeros(1 << NEAR_BITS, np.int64)
+        self.near[0] = -1  # a name that belongs elsewhere: nothing is known yet
+        self.near_logs = np.zeros(1 << NEAR_BITS)
+
+    def logs_of(self, used: np.ndarray) -> np.ndarray:
+        """Log probabilities by name, 0 for names of other parts."""
+        place = (used.view(np.uint64) >> np.uint64(64 - NEAR_BITS)).astype(np.int64)
+        out = self.near_logs[place]
+        far = np.flatnonzero(self.near[place] != used)
+        if len(far):
+            names = used[far]
+            at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
+            out[far] = np.where(self.names[at] == names, self.logs[at], 0.0)
+            self.near[place[far]] = names
+            self.near_logs[place[far]] = out[far]
+        return out
 
     def surprise(self, lang: str | None, text: str | None) -> float:
         """Sum of the negative logs of those n-grams of a text that are in this part."""
@@ -211,9 +242,9 @@ class Part:
             return 0.0
         if lang not in self.seeds:
             self.seeds[lang] = seed(lang)
-        used, often = np.unique(grams(codes(text), self.seeds[lang]), return_counts=True)
-        at = np.minimum(np.searchsorted(self.names, used), len(self.names) - 1)
-        return float(-(self.logs[at] * often)[self.names[at] == used].sum())
+        key = np.sort(grams(codes(text), self.seeds[lang]))
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        return float(-(self.logs_of(key[starts]) * np.diff(np.r_[starts, len(key)])).sum())
 
 
 _COUNTED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_spoken")
