@@ -238,3 +238,40 @@ class KneserNey:
     def surprise(self, text):
         text = "\n" * (self.order - 1) + text.replace("\0", "\1")
         return -sum(math.log(self.probability(text[i : i + self.order])) for i in range(len(text) - self.order + 1))
+
+
+def disclosing(texts, module):
+    """Per text the marked terms and whether they go: {term: gone}, from plain sets of documents."""
+    held = []
+    for text in texts:
+        spans = module.base_spans(text or "")
+        inside = {i for _, s, e in spans for i in range(s, e)}
+        words = [m for m in WORD.finditer(text or "") if not inside & set(range(m.start(), m.end()))]
+        entities = module._held(text or "", spans)[0]
+        held.append((entities, {module.term_of(m[0]) for m in words} - {""}))
+    with_entity, with_term, both = Counter(), Counter(), Counter()
+    for n, text in enumerate(texts):
+        entities, terms = held[n]
+        with_entity.update(entities)
+        with_term.update({module.term_of(w) for w in words_of(text)} - {""})
+        both.update((e, t) for e in entities for t in terms)
+
+    def bound(b, m):
+        p, z = b / m, module.CONFIDENCE**2
+        return round((p + z / (2 * m) - module.CONFIDENCE * math.sqrt(p * (1 - p) / m + z / (4 * m * m))) / (1 + z / m), 12)
+
+    out = []
+    for entities, terms in held:
+        marked = {}
+        for e in entities:
+            n = with_entity[e]
+            for t in terms:
+                low = bound(both[e, t], with_term[t])
+                if n < len(texts) and low >= module.CERTAIN and 1 - math.log(low) / math.log(n / len(texts)) >= module.GENERALISE:
+                    marked[t] = marked.get(t, False) or low >= module.REMOVE
+        out.append(marked)
+    return out
+
+
+def words_of(text):
+    return WORD.findall(text or "")

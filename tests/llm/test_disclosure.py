@@ -1,0 +1,67 @@
+"""Terms that give an entity away, against plain counts over whole tables and corpora of several sizes."""
+
+import os
+import random
+import sys
+
+import pyarrow.parquet as pq
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+import brute  # noqa: E402
+
+from weirstone.llm import disclosure  # noqa: E402
+
+FOLDER = os.environ.get("TEST_LLM_DIR", "/root/testdata/sf0.01")
+
+
+def marked(spark, texts):
+    """Per text the terms its term spans cover, and the sanitised text."""
+    frame = spark.createDataFrame([(n, t, 1) for n, t in enumerate(texts)], "doc_id long, text string, __key int").repartition(3)
+    out = {}
+    for r in disclosure.find(frame).collect():
+        spans = [s.split(":") for s in r.spans.split(",") if s.startswith("term:")]
+        out[r.doc_id] = {disclosure.term_of(texts[r.doc_id][int(s) : int(e)]) for _, s, e in spans}
+    clean = {r.doc_id: r.text for r in disclosure.sanitise(frame).collect()}
+    return [out[n] for n in range(len(texts))], [clean[n] for n in range(len(texts))]
+
+
+def test_whole_tables_against_plain_counts(spark):
+    texts = pq.read_table(f"{FOLDER}/documents.parquet", columns=["text"]).column(0).to_pylist()
+    expected = brute.disclosing(texts, disclosure)
+    found, _ = marked(spark, texts)
+    assert found == [set(e) for e in expected]
+
+
+@pytest.mark.parametrize("seed,hot", [(1, 50_000), (2, 3)])
+def test_invented_texts_against_plain_counts(spark, monkeypatch, seed, hot):
+    monkeypatch.setattr(disclosure, "HOT_TERMS", hot)
+    pick = random.Random(seed)
+    mails = [f"m{n}@x.org" for n in range(6)]
+    names = [f"name{n}" for n in range(6)]
+    texts = []
+    for _ in range(150):
+        own = [n for n in range(6) if pick.random() < 0.06]
+        words = [pick.choice(mails[n : n + 1] + [names[n]]) for n in own for _ in range(3)] + [f"word{pick.randrange(60)}" for _ in range(12)]
+        pick.shuffle(words)
+        texts.append(" ".join(words))
+    texts += texts[:9] * 3 + ["", None]
+    expected = brute.disclosing(texts, disclosure)
+    found, clean = marked(spark, texts)
+    assert found == [set(e) for e in expected]
+    for text, terms, new in zip(texts, expected, clean):
+        for term, gone in terms.items():
+            words = new.split()
+            assert term not in words and (gone or f"{term[: disclosure.STEM]}*" in words)
+        assert (new or "").count("@") == 0
+
+
+def test_rare_words_do_not_go_because_the_corpus_is_large(spark):
+    """A word of two texts beside an entity of one of them stays, whatever the number of texts; one of its own goes."""
+    near = "write to joe@x.org about the zebrano and the quollish thing"
+    other = "a zebrano is a wood"
+    for size in (100, 3_000):
+        found, clean = marked(spark, [near, other] + [f"the thing and about wood number{n} is a write to" for n in range(size)])
+        assert found[0] == {"quollish"} and not any(found[1:])
+        assert "qu*" in clean[0] and "zebrano" in clean[0]

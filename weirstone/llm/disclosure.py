@@ -18,13 +18,17 @@ from .common import Batches, slices, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-# A term is generalised from this share of an entity's information on, and
-# removed if this share of the texts with it holds the entity.
-GENERALISE, REMOVE = 0.9, 1.0
-# So many documents in which term and entity are independent are counted besides:
-# what few documents show counts for less, and for more the larger the corpus is.
-PRIOR = 0.5
+# A term gives an entity away if, as far as its documents show, it carries this
+# share of the entity's information, and the entity is in this part of the
+# documents with the term, whatever the size of the corpus. From REMOVE on it goes.
+GENERALISE, CERTAIN, REMOVE = 0.8, 0.5, 0.8
+# Standard deviations by which what is counted may be too high.
+CONFIDENCE = 1.0
+# Letters that stay of a generalised term.
+STEM = 2
 HELD = 200_000
+# Rare terms of one text that a task pairs with the text's entities.
+HOT_TERMS = 50_000
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -145,19 +149,29 @@ def _terms(batches: Batches) -> Batches:
     yield out()
 
 
+def lower_bound(part: Column, of: Column) -> Column:
+    """Wilson's lower bound of a share, CONFIDENCE deviations below what was counted."""
+    p, z = part / of, CONFIDENCE * CONFIDENCE
+    spread = CONFIDENCE * F.sqrt(p * (1 - p) / of + z / (4 * of * of))
+    # Whole numbers decide at the edge, not how the root is rounded.
+    return F.round((p + z / (2 * of) - spread) / (1 + z / of), 12)
+
+
 def disclosures(docs: DataFrame) -> DataFrame:
     """content, terms: per text the terms in it that give away an entity of it, as (hash, whether to remove).
 
     With N documents, n of them with the entity, m with the term and b with
-    both, wherever they stand, the entity's share in documents with the term
-    is taken as p = (b + PRIOR n / N) / (m + PRIOR), and the term gives
-    log(N p / n) of the entity's log(N / n): at least the share GENERALISE.
-    Entities of one document are judged like any other. All documents are
-    counted, whole; a text's content is its hash.
+    both, wherever they stand, p is the lower confidence bound (Wilson's) of
+    b / m. The term gives log(p N / n), its mutual information with the entity,
+    of the entity's log(N / n): it is marked from the share GENERALISE on, and
+    never where p is under CERTAIN. So a term of one document with an entity is
+    marked only if no other document has it, in a corpus of any size. All
+    documents are counted, whole; a text's content is its hash.
 
     Entities of the same texts are judged as one. A pair is made only where
     min(n, documents with an entity and the term), which b cannot exceed,
-    would be enough, so common words meet no entity.
+    would be enough, so common words meet no entity. A text with many of both
+    is split over tasks by its terms.
     """
     rows = docs.select(F.xxhash64("text").alias("content"), "text")
     seen = written(rows.mapInArrow(_evidence, "doc long, key long, is_term boolean").distinct(), "evidence")
@@ -177,28 +191,28 @@ def disclosures(docs: DataFrame) -> DataFrame:
     own = join_right(weighed.where("NOT is_term").select("doc", "key", "rows"), ["key"], holders, ["__key"], "inner")
     own = own.select("doc", "rows", "entity", "with_entity").distinct()
 
-    def share(both: Column) -> Column:
-        rate = F.col("with_entity") / F.lit(float(total))
-        return 1 - F.log((both + PRIOR * rate) / (F.col("with_term") + PRIOR)) / F.log(rate)
+    def enough(both: Column, with_entity: Column) -> Column:
+        low = lower_bound(both, F.col("with_term"))
+        information = 1 - F.log(low) / F.log(with_entity / F.lit(float(total)))
+        return (low >= CERTAIN) & (information >= GENERALISE)
 
     held = weighed.where("is_term").groupBy(F.col("key").alias("__term")).agg(F.sum("rows").alias("beside"))
     held = written(held, "held")
     counts = docs.select("text").mapInArrow(_terms, "term long, n long").groupBy("term").agg(F.sum("n").alias("with_term"))
     rare = join_right(counts, ["term"], held, ["__term"], "inner", hot_rows=None)
     # The share of an entity of one document is the least strict.
-    most = F.log((F.col("beside") + PRIOR) / (F.col("with_term") + PRIOR)) / F.log(F.lit(1 / total))
-    rare = written(rare.where(1 - most >= GENERALISE).select(F.col("term").alias("__term"), "with_term", "beside"), "rare")
+    rare = written(rare.where(enough(F.col("beside"), F.lit(1.0))).select(F.col("term").alias("__term"), "with_term", "beside"), "rare")
     terms = weighed.where("is_term").select(F.col("doc").alias("__doc"), F.col("key").alias("term"))
     terms = join_right(terms, ["term"], rare, ["__term"], "inner").drop("__term")
-    enough = share(F.least("with_entity", "beside")) >= GENERALISE
-    pairs = own.join(terms, (F.col("doc") == F.col("__doc")) & enough)
+    possible = enough(F.least("with_entity", "beside"), F.col("with_entity"))
+    pairs = join_right(terms, ["__doc"], own, ["doc"], "inner", also=possible, hot_rows=HOT_TERMS)
     pairs = written(pairs.select("doc", "rows", "entity", "with_entity", "term", "with_term"), "pairs")
     both = pairs.groupBy("entity", "term").agg(
         F.sum("rows").alias("both"), F.min("with_entity").alias("with_entity"), F.min("with_term").alias("with_term")
     )
-    strong = both.where(share(F.col("both")) >= GENERALISE).select(
+    strong = both.where(enough(F.col("both"), F.col("with_entity"))).select(
         F.col("entity").alias("__entity"), F.col("term").alias("__term"),
-        (F.col("both") / F.col("with_term") >= REMOVE - 1e-9).alias("gone"),
+        (lower_bound(F.col("both"), F.col("with_term")) >= REMOVE).alias("gone"),
     )
     strong = written(strong, "disclosing")
     hits = join_right(pairs.select("doc", "entity", "term"), ["entity", "term"], strong, ["__entity", "__term"], "inner")
@@ -271,13 +285,17 @@ def find(docs: DataFrame) -> DataFrame:
 
 
 def cleaned(text: str | None, terms: dict[int, bool]) -> str | None:
-    """The text with ``[KIND]`` for its base spans, ``[TERM]`` for generalised terms and nothing for removed ones."""
+    """The text with ``[KIND]`` for its base spans and nothing for removed terms.
+
+    A generalised term becomes the class of all terms that start like it:
+    its first STEM letters and a star.
+    """
     if not text:
         return text
     base, more = _spans(text, terms)
     out, at = [], 0
     marks = [(s, e, f"[{k.upper()}]") for k, s, e in base]
-    marks += [(s, e, "" if gone else f"[{TERM.upper()}]") for _, s, e, gone in more]
+    marks += [(s, e, "" if gone else f"{text[s : min(e, s + STEM)]}*") for _, s, e, gone in more]
     for start, end, mark in sorted(marks):
         if start < at:  # overlaps another kind: what is left of it goes with that one
             at = max(at, end)
