@@ -89,3 +89,21 @@ def test_replay_of_an_older_load_changes_nothing(spark, tmp_path):
         upsert.apply(load)
     got = {(r.k, r.v) for r in spark.read.parquet(path).select("k", F.col("v").cast("int")).collect()}
     assert got == {(1, 2), (None, 2), (11, 1), (12, 2)}
+
+
+def test_what_an_application_wrote_can_be_removed(spark, tmp_path, monkeypatch):
+    import os
+
+    from weirstone.session import remove_shared, shared_folder, written
+
+    before = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        assert written(spark.range(3), "numbers").count() == 3
+        own = os.path.dirname(shared_folder(spark, "x"))
+        (tmp_path / "weirstone" / "another").mkdir()
+        assert os.path.isdir(own) and spark.sparkContext.applicationId in own
+        remove_shared(spark)
+        assert not os.path.exists(own) and (tmp_path / "weirstone" / "another").exists()
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)

@@ -48,7 +48,16 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="weirstone-"))
         base = context.getCheckpointDir()
-    return f"{base.rstrip('/')}/weirstone/{purpose}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/weirstone/{context.applicationId}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_shared(spark: SparkSession) -> None:
+    """Remove what this application wrote to the shared folder; nothing that was read from it can be used after."""
+    context = spark.sparkContext
+    if not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
+        return
+    own = context._jvm.org.apache.hadoop.fs.Path(shared_folder(spark, "none")).getParent()
+    own.getFileSystem(context._jsc.hadoopConfiguration()).delete(own, True)
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
