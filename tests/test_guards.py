@@ -92,18 +92,12 @@ def test_replay_of_an_older_load_changes_nothing(spark, tmp_path):
 
 
 def test_what_an_application_wrote_can_be_removed(spark, tmp_path, monkeypatch):
-    import os
-
-    from weirstone.session import remove_shared, shared_folder, written
-
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert written(spark.range(3), "numbers").count() == 3
-        own = os.path.dirname(shared_folder(spark, "x"))
-        (tmp_path / "weirstone" / "another").mkdir()
-        assert os.path.isdir(own) and spark.sparkContext.applicationId in own
-        remove_shared(spark)
-        assert not os.path.exists(own) and (tmp_path / "weirstone" / "another").exists()
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
+    from weirstone import session
+
+    assert f"/{spark.sparkContext.applicationId}/" in session.shared_folder(spark, "x")
+    # This session's own folder is in use by other tests.
+    monkeypatch.setattr(session, "shared_folder", lambda _, purpose: f"{tmp_path}/weirstone/this/{purpose}")
+    (tmp_path / "weirstone" / "another").mkdir(parents=True)
+    assert session.written(spark.range(3), "numbers").count() == 3
+    session.remove_shared(spark)
+    assert [f.name for f in (tmp_path / "weirstone").iterdir()] == ["another"]
