@@ -29,7 +29,7 @@ LEAF, FAN, SAMPLE, GROUP = 2_048, 32, 1_024, 8_192
 # Leaves that meet one leaf in one task.
 PARTNERS = 64
 # Levels inside a leaf; centres this close are one.
-LEVELS, SAME = 8, 1e-9
+LEVELS, SAME = 8, 1e-7
 # What rounding may do to a distance, and to a cosine.
 SLACK, CLOSE = 1e-7, 1e-12
 # Nodes whose names and sizes are broadcast without a further count.
