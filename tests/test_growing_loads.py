@@ -88,6 +88,25 @@ def test_a_load_staged_anew_closes_its_slices_all_the_same(spark, tmp_path):
     assert items(spark, table) == [("a", 1), ("y", 8), ("z", 0)]
 
 
+def test_many_slices_share_folders(spark, tmp_path):
+    """Each refresh replaces its own slices; those that share a folder with them stay."""
+    pick, table, want = random.Random(5), Refresh(str(tmp_path / "t"), ("g", "h"), 4), {}
+    for n in range(4):
+        rows = [(pick.choice([None, *range(30)]), pick.choice(["x", None]), 100 * n + i) for i in range(25)]
+        own = {r[:2]: sorted(v for *s, v in rows if tuple(s) == r[:2]) for r in rows}
+        want |= own
+        for _ in range(2):
+            table.apply(spark.createDataFrame(rows, "g int, h string, v int"))
+            got = spark.read.parquet(table.path)
+            assert sorted(((r.g, r.h), r.v) for r in got.where("g IS NOT NULL AND h IS NOT NULL").collect()) == sorted(
+                (s, v) for s, vs in want.items() for v in vs if None not in s
+            )
+            assert got.count() == sum(map(len, want.values()))
+    assert len(list((tmp_path / "t").glob("__bucket_of_4=*"))) <= 4 < len(want)
+    with pytest.raises(ValueError, match="differ in columns"):
+        Refresh(table.path, table.slices, 8).apply(spark.createDataFrame(rows, "g int, h string, v int"))
+
+
 def test_batches_refuse_to_refresh(spark, tmp_path):
     landed = str(tmp_path / "landed")
     calls(spark, 4).write.parquet(landed)
