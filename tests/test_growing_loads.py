@@ -2,10 +2,13 @@
 
 import random
 
+import duckdb
 import pytest
+from compare import compare
 from pyspark.sql import functions as F
 from test_load import calls
 
+from weirstone.catalog import ORACLE, queries
 from weirstone.operators import drop_present, merge_words, presence_words, start_offsets_text
 from weirstone.plans import (
     ROUTE_CALL_DETAIL,
@@ -291,3 +294,33 @@ def test_predicates_have_each_offset_once(tasks):
     for topic, part, at in [("t", 0, 4), ("t", 0, 2000), ("t", 1, 8), ("t", 2, 9), ("u", 0, 5)]:
         assert not any(eval(p, {"topic": topic, "part": part, "at": at}) for p in python)
     assert range_predicates([], ("a", "b", "c"), 4) == ["1 = 0"]
+
+
+def event_table(spark, folder, rows):
+    """Events (id, user, day of January 2024, minute of it)."""
+    frame = spark.createDataFrame(rows, "event_id bigint, user_id bigint, day int, minute int")
+    ts = F.expr("make_timestamp_ntz(2024, 1, day, 0, 0, 0) + make_interval(0, 0, 0, 0, 0, minute)")
+    kept = ["event_id", ts.alias("ts"), "user_id", F.lit("view").alias("event_type"), F.lit(1.5).alias("value"), F.lit("{}").alias("props")]
+    frame.select(*kept).write.parquet(f"{folder}/events.parquet")
+
+
+# The second part has one message, the third has none, the last has most.
+UNEVEN = [(i, i % 5, 1 + i % 7, i) for i in range(1, 30)] + [(30, 1, 8, 0)] + [(i, i % 5, 23 + i % 8, i) for i in range(31, 97)]
+
+
+@pytest.mark.parametrize("name", ["limited_load", "stream_refresh"])
+def test_a_part_in_several_files_is_one_batch(spark, tmp_path, monkeypatch, name):
+    landed, stream = [], queries.file_stream
+
+    def seen(spark, path, schema, max_files_per_trigger):
+        landed.append((max_files_per_trigger, [f.rsplit("/", 1)[1] for f in spark.read.parquet(path).inputFiles()]))
+        return stream(spark, path, schema, max_files_per_trigger)
+
+    monkeypatch.setattr(queries, "FILE_MESSAGES", 4)
+    monkeypatch.setattr(queries, "file_stream", seen)
+    event_table(spark, str(tmp_path), UNEVEN)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    assert compare(spark, con, queries.QUERIES[name], ORACLE[name], str(tmp_path)) == []
+    (files, names), per_part = landed[0], -(-len(UNEVEN) // (4 * 4))
+    assert files == per_part == 6 and len(names) == 4 * per_part

@@ -87,8 +87,12 @@ _LOCK = """
 
 def route_calls(spark: SparkSession, folder: str, topic: str = "routeCallDetail") -> DataFrame:
     """One route call message per event."""
+    return _as_route_calls(spread(table(spark, folder, "events")), topic)
+
+
+def _as_route_calls(events: DataFrame, topic: str = "routeCallDetail") -> DataFrame:
     return as_envelope(
-        spread(table(spark, folder, "events")),
+        events,
         value=_cut_some(_ROUTE_CALL, "event_id"),
         topic=topic,
         timestamp="ts",
@@ -179,14 +183,21 @@ def item_loads(spark: SparkSession, folder: str) -> list[DataFrame]:
     ]
 
 
-def in_parts(envelope: DataFrame) -> list[DataFrame]:
-    """Messages as four parts by time, each later than the one before."""
-    at = F.col("timestamp").cast(NTZ)
+def route_call_parts(spark: SparkSession, folder: str, messages: int) -> tuple[list[DataFrame], int]:
+    """The route calls as four parts by time, each later than the one before, and the partitions each has.
+
+    A partition has so many messages on average. The events are dealt to them
+    before they become messages, which are ten times as long.
+    """
+    events = table(spark, folder, "events")
+    at = F.col("ts").cast(NTZ)
     ends = [F.lit(day).cast(NTZ) for day in PART_ENDS]
-    return [
-        envelope.where(((at >= low) if low is not None else F.lit(True)) & ((at < high) if high is not None else F.lit(True)))
+    parts = [
+        events.where(((at >= low) if low is not None else F.lit(True)) & ((at < high) if high is not None else F.lit(True)))
         for low, high in zip([None, *ends], [*ends, None])
     ]
+    n = max(1, -(-events.count() // (len(parts) * messages)))
+    return [_as_route_calls(part.coalesce(1) if n == 1 else part.repartition(n)) for part in parts], n
 
 
 def order_states(spark: SparkSession, folder: str) -> DataFrame:

@@ -30,7 +30,7 @@ from ..plans.feeds import INTENT_FIXES, INTERVAL_TYPE, STATE_SLICE
 from ..session import shared_folder
 from ..sinks import JdbcStage, ParquetStage, append, truncate_load, write
 from ..sources import JdbcConnection, key_value, scan, scan_quantiles, scan_split, table, text_envelope
-from ..sources.tables import file_stream
+from ..sources.tables import file_count, file_stream
 from ..streaming import StreamLog, dedup_stream, ingest_to_files, ingest_to_stage, refresh_closed
 from . import inputs
 from .inputs import NTZ, RUN_TS
@@ -51,6 +51,9 @@ MANY_STARTS = {
 }
 MANY_ENDS = {"many_a": {p: 30 + p % 9 for p in range(0, 100, 3) if p % 7 != 3}}
 
+# Messages in a landed file, on average.
+FILE_MESSAGES = 50_000
+
 # Folders of a table whose slices are too many for one each.
 SLICE_BUCKETS = 32
 
@@ -432,19 +435,27 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{out}/rows")
 
 
-def _landed_parts(spark: SparkSession, envelope: DataFrame) -> DataFrame:
-    """The four parts of an envelope, a file each, as a stream that takes one file at a time."""
+def _landed_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """The four parts of the route calls, equally many files each, as a stream that takes one part at a time.
+
+    The number of files grows with the messages. A part too small for so many
+    gets empty ones, as the stream counts files to tell where a part ends.
+    """
     path = shared_folder(spark, "landed")
-    for part in inputs.in_parts(envelope):
-        part.coalesce(1).write.mode("append").parquet(path)
-    return file_stream(spark, path, envelope.schema, max_files_per_trigger=1)
+    parts, files = inputs.route_call_parts(spark, folder, FILE_MESSAGES)
+    schema = parts[0].schema
+    for n, part in enumerate(parts, 1):
+        part.write.mode("append").parquet(path)
+        for _ in range(n * files - file_count(spark, path, ".parquet")):
+            spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(path)
+    return file_stream(spark, path, schema, max_files_per_trigger=files)
 
 
 def limited_load(spark: SparkSession, folder: str) -> DataFrame:
-    """A load bounded to a file at a time: the batch each message was staged in."""
+    """A load bounded to a part at a time: the batch each message was staged in."""
     base = shared_folder(spark, "load")
     load_in_batches(
-        _landed_parts(spark, inputs.route_calls(spark, folder)),
+        _landed_parts(spark, folder),
         ROUTE_CALL_DETAIL,
         ParquetStage(f"{base}/stage"),
         f"{base}/checkpoint",
@@ -470,7 +481,7 @@ def stream_log(spark: SparkSession, folder: str) -> DataFrame:
 
     with StreamLog(spark, f"{base}/log", ROUTE_CALL_DETAIL.load_name) as log:
         query = ingest_to_stage(
-            _landed_parts(spark, inputs.route_calls(spark, folder)),
+            _landed_parts(spark, folder),
             ROUTE_CALL_DETAIL,
             ParquetStage(f"{base}/stage"),
             f"{base}/checkpoint",
@@ -501,7 +512,7 @@ def stream_refresh(spark: SparkSession, folder: str) -> DataFrame:
         ).awaitTermination()
 
     ingest_to_stage(
-        _landed_parts(spark, inputs.route_calls(spark, folder)),
+        _landed_parts(spark, folder),
         ROUTE_CALL_DETAIL,
         stage,
         f"{base}/staged",
