@@ -308,7 +308,7 @@ def event_table(spark, folder, rows):
 UNEVEN = [(i, i % 5, 1 + i % 7, i) for i in range(1, 30)] + [(30, 1, 8, 0)] + [(i, i % 5, 23 + i % 8, i) for i in range(31, 97)]
 
 
-@pytest.mark.parametrize("name", ["limited_load", "stream_refresh"])
+@pytest.mark.parametrize("name", ["limited_load", "stream_refresh", "stream_log"])
 def test_a_part_in_several_files_is_one_batch(spark, tmp_path, monkeypatch, name):
     landed, stream = [], queries.file_stream
 
@@ -318,9 +318,10 @@ def test_a_part_in_several_files_is_one_batch(spark, tmp_path, monkeypatch, name
 
     monkeypatch.setattr(queries, "FILE_MESSAGES", 4)
     monkeypatch.setattr(queries, "file_stream", seen)
-    event_table(spark, str(tmp_path), UNEVEN)
+    rows = [*UNEVEN, (97, 1, 17, 0)] if name == "stream_log" else UNEVEN  # SQL has no row for the error of an empty batch
+    event_table(spark, str(tmp_path), rows)
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
     assert compare(spark, con, queries.QUERIES[name], ORACLE[name], str(tmp_path)) == []
-    (files, names), per_part = landed[0], -(-len(UNEVEN) // (4 * 4))
-    assert files == per_part == 6 and len(names) == 4 * per_part
+    (files, names), per_part = landed[0], -(-len(rows) // (4 * 4))
+    assert files == per_part > 5 and len(names) == 4 * per_part
