@@ -3,10 +3,13 @@
 import random
 import uuid
 
+import duckdb
 import pytest
+from compare import compare
 from pyspark.sql import functions as F
 
-from weirstone.plans import BucketedTable
+from weirstone.catalog import ORACLE, queries
+from weirstone.plans import BucketedTable, buckets, buckets_for
 from weirstone.sources import JdbcConnection, scan
 from weirstone.sources import jdbc as module
 from weirstone.sources.jdbc import quantile_bounds, scan_quantiles
@@ -92,6 +95,24 @@ def test_a_version_that_broke_off_does_not_count(spark, tmp_path):
         table.upsert(spark.createDataFrame([(1,)], "k int"), ("v",))
 
 
+def test_more_rows_are_more_buckets(spark, tmp_path, monkeypatch):
+    assert [buckets_for(n, 8) for n in (0, 4_000_000, 4_000_001, 400_000_000)] == [8, 8, 9, 800]
+    monkeypatch.setattr(buckets, "BUCKET_ROWS", 10)
+    day = "make_timestamp_ntz(2024, 1, CAST(1 + id % 28 AS INT), 0, 0, 0)"
+    ids = spark.range(120)
+    orders = ids.selectExpr("id AS o_orderkey", "'O' AS o_orderstatus", "1.5D * id AS o_totalprice", f"{day} AS o_orderdate")
+    items = ids.selectExpr(
+        "id * 3 div 2 AS l_orderkey", "'F' AS l_linestatus", "2.5D * id AS l_extendedprice", "CAST(id % 4 AS INT) AS l_linenumber", f"{day} AS l_shipdate"
+    )
+    con = duckdb.connect()
+    for name, rows in (("orders", orders), ("lineitem", items)):
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    assert compare(spark, con, queries.merge_upsert_bucketed, ORACLE["merge_upsert_bucketed"], str(tmp_path)) == []
+    files = queries.merge_upsert_bucketed(spark, str(tmp_path)).inputFiles()
+    assert len({f.rsplit("_", 1)[1] for f in files}) > 8
+
+
 @pytest.mark.parametrize("cells", [1024, 4])
 def test_splits_of_a_skewed_column(spark, monkeypatch, cells):
     monkeypatch.setattr(module, "QUANTILE_CELLS", cells)

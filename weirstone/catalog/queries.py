@@ -20,6 +20,7 @@ from ..plans import (
     PresenceStore,
     Refresh,
     Upsert,
+    buckets_for,
     flatten,
     load_in_batches,
     parse_feed,
@@ -51,6 +52,9 @@ MANY_STARTS = {
 }
 MANY_ENDS = {"many_a": {p: 30 + p % 9 for p in range(0, 100, 3) if p % 7 != 3}}
 
+# Buckets of a small table.
+LEAST_BUCKETS = 8
+
 # Messages in a landed file, on average.
 FILE_MESSAGES = 50_000
 
@@ -280,9 +284,11 @@ def merge_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 def merge_upsert_bucketed(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as a table in buckets of their key, upserted by line items."""
-    target = BucketedTable(f"{shared_folder(spark, 'bucketed')}/orders", ("order_key",), 8)
-    target.create(inputs.order_states(spark, folder))
-    target.upsert(inputs.item_states(spark, folder), ("changed_at", "line", "amount", "status"))
+    orders, items = inputs.order_states(spark, folder), inputs.item_states(spark, folder)
+    buckets = buckets_for(orders.count() + items.count(), LEAST_BUCKETS)
+    target = BucketedTable(f"{shared_folder(spark, 'bucketed')}/orders", ("order_key",), buckets)
+    target.create(orders)
+    target.upsert(items, ("changed_at", "line", "amount", "status"))
     return target.read(spark)
 
 

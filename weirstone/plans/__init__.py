@@ -1,6 +1,6 @@
 """Feeds, and loads of them into stages and targets."""
 
-from .buckets import BucketedTable
+from .buckets import BucketedTable, buckets_for
 from .feeds import (
     BUSINESS_LOCKS,
     CALL_TYPE,
@@ -37,6 +37,7 @@ __all__ = [
     "PresenceStore",
     "Refresh",
     "Upsert",
+    "buckets_for",
     "database_call",
     "feed",
     "flatten",

@@ -16,6 +16,14 @@ from .targets import path_exists
 
 VERSION = "version="
 
+# Rows of target and stage that a task merges, on average.
+BUCKET_ROWS = 500_000
+
+
+def buckets_for(rows: int, least: int = 1) -> int:
+    """Buckets for so many rows of a target and a stage, so that what a task sorts does not grow with them."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
 
 @dataclass(frozen=True)
 class BucketedTable:
@@ -26,7 +34,9 @@ class BucketedTable:
     stage to its buckets, merges both in the order they are in, and writes the
     next version bucket by bucket. ``Upsert`` is for loads that touch few
     partitions. A version counts once it is complete; ``keep`` of them stay
-    for readers of the one before.
+    for readers of the one before. A task sorts a bucket of the target and of
+    the stage, so their number, which stays that of the first version, is
+    chosen by the rows there will be (:func:`buckets_for`).
     """
 
     path: str
