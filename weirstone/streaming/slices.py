@@ -71,6 +71,8 @@ def refresh_closed(
     stays. A message that comes after its slice was closed stays in the stage.
     The times and slices go through the state, the rows are read from the
     stage, and a batch that runs again refreshes the same slices by the same rows.
+    With ``max_files_per_trigger`` the files must come in the order of their
+    times: after a file of later messages those of an earlier one are late.
     """
 
     def apply(closed: DataFrame, number: int) -> None:
