@@ -71,6 +71,24 @@ def test_many_vectors_of_one_direction(spark, monkeypatch):
     check(spark, [[float(n), 2.0 * n, -3.0 * n] for n in range(1, 120)] + [[1.0, 0.0, 0.0]])
 
 
+def test_levels_of_one_direction_end(spark, monkeypatch):
+    """Rows no centre tells apart are parted at every level, whatever numbers they have."""
+    for name, size in (("LEAF", 40), ("FAN", 4)):
+        monkeypatch.setattr(cover_tree, name, size)
+    tables, written = [], cover_tree.written
+
+    def few(df, purpose):
+        tables.append(purpose)
+        assert len(tables) < 40, "the levels do not end"
+        return written(df, purpose)
+
+    monkeypatch.setattr(cover_tree, "written", few)
+    rows = [((n % 8 << 33) + n // 8, 1, [float(n), 2.0 * n, -3.0 * n]) for n in range(1, 601)]
+    leaves, _ = cover_tree._upper_levels(spark.createDataFrame(rows, "rep long, w long, v array<double>"))
+    sizes = [r["count"] for r in leaves.groupBy("node").count().collect()]
+    assert sum(sizes) == 600 and max(sizes) <= 40
+
+
 @pytest.mark.parametrize("least", [0.0, 0.5, 0.999])
 def test_other_thresholds(spark, least):
     check(spark, crowded(5, 30, 8, 1.0, 6), least)

@@ -250,13 +250,12 @@ def _centres(table: pa.Table) -> pa.Table:
 
 
 def _deal(rows: pa.Table, centres: pa.Table) -> pa.Table:
-    """Rows of a node at the nearest of its centres, of equally near ones at any by number."""
+    """Rows of a node at the nearest of its centres, of equally near ones at any by ``pick``."""
     units, names = _unit(_matrix(rows.column("v"))), np.array(centres.column("child").to_pylist(), object)
     order = np.argsort(names.astype(str), kind="stable")
     apart = _apart(units @ _matrix(centres.column("centre"))[order].T)
     near = apart <= apart.min(axis=1, keepdims=True) + SAME
-    number = rows.column("rep").to_numpy() * np.int64(2654435761) >> 7
-    pick = number % near.sum(axis=1)
+    pick = rows.column("pick").to_numpy() % near.sum(axis=1)
     chosen = np.argmax(np.cumsum(near, axis=1) > pick[:, None], axis=1)
     far = apart[np.arange(len(units)), chosen]
     return pa.table({
@@ -290,6 +289,8 @@ def _upper_levels(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
         centres = written(centres, "centres")
         salts = F.ceil(F.col("n") / GROUP)
         rows = rows.withColumn("salt", F.pmod(F.xxhash64("rep", F.lit(8)), salts))
+        # Another number in each node: rows that one level left together are parted by the next.
+        rows = rows.withColumn("pick", F.xxhash64("rep", "node"))
         copies = full.select(F.col("__node").alias("node"), F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)).alias("salt"))
         sent = centres.join(copies, "node").groupBy("node", "salt")
         moved = rows.groupBy("node", "salt").cogroup(sent).applyInArrow(_deal, f"{_ROWS}, far double")
