@@ -89,6 +89,46 @@ def test_levels_of_one_direction_end(spark, monkeypatch):
     assert sum(sizes) == 600 and max(sizes) <= 40
 
 
+def test_nodes_that_are_all_links_are_not_opened(spark, monkeypatch):
+    """Near copies over many leaves are counted by the radii of the nodes: no leaf of theirs meets another."""
+    for name, size in (("LEAF", 40), ("FAN", 4)):
+        monkeypatch.setattr(cover_tree, name, size)
+    tables, written = {}, cover_tree.written
+
+    def kept(df, purpose):
+        tables[purpose] = written(df, purpose)
+        return tables[purpose]
+
+    monkeypatch.setattr(cover_tree, "written", kept)
+    random = np.random.default_rng(6)
+    ones = [(n * np.array([1.0, 2.0, -3.0])).astype(np.float32).tolist() for n in range(1, 201)]
+    near = [(np.array([5.0, -1.0, 0.5]) + random.normal(size=3) * 0.02).astype(np.float32).tolist() for _ in range(200)]
+    check(spark, ones + near + near[:7] + [[0.0, 1.0, 1.0]])
+    leaves = tables["leaves"].select("node").distinct().count()
+    assert leaves > 8 and tables["leaf-pairs"].where("a != b").count() < leaves
+
+
+@pytest.mark.parametrize("least", [0.3, 0.9])
+def test_some_nodes_are_all_links_and_others_are_opened(spark, monkeypatch, least):
+    for name, size in (("LEAF", 30), ("FAN", 3), ("PARTNERS", 2)):
+        monkeypatch.setattr(cover_tree, name, size)
+    random = np.random.default_rng(8)
+    middle = random.normal(size=(6, 4))
+    rows = [m + random.normal(size=4) * spread for m, spread in zip(middle, (0.02, 0.05, 0.1, 0.2, 0.4, 0.8)) for _ in range(45)]
+    check(spark, [r.astype(np.float32).tolist() for r in rows + rows[:40:3]], least)
+
+
+def test_leaves_that_are_all_links_are_not_gone_through(monkeypatch):
+    monkeypatch.setattr(cover_tree.Meeting, "visit", lambda *_: pytest.fail("the rows were looked at one by one"))
+    x = np.random.default_rng(1).normal(size=(300, 4)) * 0.01 + 1
+    paths, weights = cover_tree.nested(cover_tree._unit(x)), np.arange(1, 301)
+    one, two = (cover_tree.Leaf(np.arange(300) + shift, weights, x, paths, np.arange(300, dtype=np.int32)) for shift in (0, 300))
+    for other, extra in ((None, 0), (two, weights.sum())):
+        found = cover_tree.Meeting(one, other, 0.95).found().to_pydict()
+        expected = {int(i): int(weights.sum() - (0 if extra else w)) for i, w in zip(one.reps, one.weights)}
+        assert {r: n for r, n in zip(found["rep"], found["n_links"]) if r < 300} == expected
+
+
 @pytest.mark.parametrize("least", [0.0, 0.5, 0.999])
 def test_other_thresholds(spark, least):
     check(spark, crowded(5, 30, 8, 1.0, 6), least)

@@ -131,7 +131,8 @@ class Meeting:
         self.links = np.zeros(self.shift + len(self.b.reps), np.int64)
         self.label = np.arange(len(self.links))
         self.last = max(len(a.levels), len(self.b.levels)) - 1
-        self.visit(0, np.zeros(1, np.int64), np.zeros(1, np.int64))
+        top = np.zeros(1, np.int64)
+        self.judge(0, top, top, self.a.units[self.a.level(0)[1]] @ self.b.units[self.b.level(0)[1][0]])
 
     def unite(self, i: np.ndarray, j: np.ndarray) -> None:
         label = self.label
@@ -301,9 +302,13 @@ def _upper_levels(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
         dealt = moved.drop("far")
 
 
-def _leaf_pairs(leaves: DataFrame, tree: DataFrame, least: float) -> DataFrame:
-    """a, b (a <= b): pairs of leaves that may hold links, each with itself too."""
-    within = math.sqrt(max(0.0, 2 - 2 * least)) + SLACK
+def _leaf_pairs(leaves: DataFrame, tree: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """Two tables of a, b: pairs of leaves that may hold links, and pairs of nodes all of whose rows are links.
+
+    Both have pairs of a leaf or node with itself. Each two rows are in one pair at most.
+    """
+    spark = tree.sparkSession
+    within = math.sqrt(max(0.0, 2 - 2 * least))
     tree = written(tree, "tree")
     inner = tree.select(F.col("parent").alias("node")).distinct()
     # A leaf stays as it is while others go down.
@@ -315,6 +320,7 @@ def _leaf_pairs(leaves: DataFrame, tree: DataFrame, least: float) -> DataFrame:
     roots = leaves.select(F.size("v").cast("string").alias("a")).distinct()
     pairs = roots.join(inner.withColumnRenamed("node", "a"), "a", "left_anti")
     found = pairs.select("a", F.col("a").alias("b"))
+    whole = spark.createDataFrame([], "a string, b string")
     open_pairs = inner.join(roots, F.col("node") == F.col("a"), "left_semi").select(F.col("node").alias("a"), F.col("node").alias("b"))
 
     def side(name: str) -> DataFrame:
@@ -325,11 +331,37 @@ def _leaf_pairs(leaves: DataFrame, tree: DataFrame, least: float) -> DataFrame:
     while not open_pairs.isEmpty():
         both = open_pairs.join(side("a"), "a").join(side("b"), "b")
         both = both.where((F.col("a") != F.col("b")) | (F.col("a_node") <= F.col("b_node")))
-        both = both.where(apart <= within + F.col("a_radius") + F.col("b_radius"))
-        both = written(both.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), (F.col("a_leaf") & F.col("b_leaf")).alias("end")), "node-pairs")
-        found = found.unionByName(both.where("end").select("a", "b"))
-        open_pairs = both.where("NOT end").select("a", "b")
-    return found
+        both = both.withColumn("apart", apart).withColumn("radii", F.col("a_radius") + F.col("b_radius"))
+        both = both.where(F.col("apart") <= within + F.col("radii") + SLACK)
+        sure = F.col("apart") + F.col("radii") <= within - 4 * SLACK  # two radii and a distance, each rounded
+        end = F.col("a_leaf") & F.col("b_leaf")
+        both = written(both.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), sure.alias("sure"), end.alias("end")), "node-pairs")
+        whole = whole.unionByName(both.where("sure").select("a", "b"))
+        found = found.unionByName(both.where("NOT sure AND end").select("a", "b"))
+        open_pairs = both.where("NOT sure AND NOT end").select("a", "b")
+    return found, whole
+
+
+def _whole_links(leaves: DataFrame, whole: DataFrame) -> DataFrame:
+    """rep, n_links, other: what pairs of nodes give all of whose rows are links, by the weights of the nodes."""
+    sizes = written(leaves.groupBy("node").agg(F.sum("w").alias("size"), F.min("rep").alias("first")), "leaf-sizes")
+    parts = F.split("node", r"\.")
+    names = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "."))
+    above = sizes.select("node", "size", "first", F.posexplode(names).alias("depth", "above"))
+    nodes = above.groupBy("above").agg(F.sum("size").alias("size"), F.min("first").alias("first"))
+    sides = whole.unionByName(whole.where("a != b").select(F.col("b").alias("a"), F.col("a").alias("b")))
+    linked = sides.join(nodes, F.col("b") == F.col("above")).groupBy("a")
+    linked = linked.agg(F.sum("size").alias("links"), F.bool_or(F.col("a") == F.col("b")).alias("own"))
+    linked = linked.join(nodes.select(F.col("above").alias("a"), "first"), "a")
+    # Rows of a node with a partner are one component, so those below it need no other row to be joined to.
+    own = above.drop("first").join(linked, F.col("above") == F.col("a")).groupBy("node").agg(
+        F.sum("links").alias("links"), F.bool_or("own").alias("own"), F.min_by("first", "depth").alias("other")
+    )
+    # A row is no link of itself.
+    rows = leaves.join(own, "node").select("rep", (F.col("links") - F.when(F.col("own"), F.col("w")).otherwise(0)).alias("n_links"), "other")
+    ends = [nodes.select(F.col("above").alias(side), F.col("first").alias(name)) for side, name in (("a", "rep"), ("b", "other"))]
+    joined = whole.where("a != b").join(ends[0], "a").join(ends[1], "b")
+    return rows.unionByName(joined.select("rep", F.lit(0).cast("bigint").alias("n_links"), "other"))
 
 
 def _plant(table: pa.Table) -> pa.Table:
@@ -413,7 +445,8 @@ def linked_pairs(reps: DataFrame, least: float = LEAST) -> DataFrame:
     """
     leaves, tree = _upper_levels(reps)
     leaves = written(leaves, "leaves")
-    pairs = written(_leaf_pairs(leaves, tree, least), "leaf-pairs")
+    pairs, whole = _leaf_pairs(leaves, tree, least)
+    pairs, whole = written(pairs, "leaf-pairs"), written(whole, "whole-pairs")
     planted = leaves.groupBy("node").applyInArrow(_plant, f"{_ROWS}, place int, path array<int>")
     planted = written(planted, "planted")
 
@@ -423,10 +456,14 @@ def linked_pairs(reps: DataFrame, least: float = LEAST) -> DataFrame:
         F.when(to_a, F.col("a")).otherwise(F.col("b")).alias("host"), F.when(to_a, F.col("b")).otherwise(F.col("a")).alias("guest")
     )
     crowds = guests.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("salts"))
-    salt = F.pmod(F.xxhash64("guest"), F.col("salts"))
+    # At salt 0 a leaf meets itself; if all of its rows are known links, salts start at 1.
+    itself = pairs.where("a = b").select(F.col("a").alias("host"), F.lit(0).cast("bigint").alias("from"))
+    crowds = itself.join(crowds, "host", "full").select(
+        "host", F.coalesce("from", F.lit(1)).alias("from"), F.coalesce("salts", F.lit(1)).alias("salts")
+    )
+    salt = F.col("from") + F.pmod(F.xxhash64("guest"), F.col("salts"))
     guests = guests.join(crowds, "host").withColumn("salt", salt)
-    hosts = pairs.where("a = b").select(F.col("a").alias("host")).join(crowds, "host", "left")
-    hosts = hosts.select(F.col("host").alias("node"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
+    hosts = crowds.select(F.col("host").alias("node"), F.explode(F.sequence("from", F.col("from") + F.col("salts") - 1)).alias("salt"))
     centres = tree.select(F.col("node").alias("host"), "centre", "radius")
     # A leaf's partners come in parts, too.
     sent = guests.join(centres, "host").select(F.col("guest").alias("node"), "host", "salt", "centre", "radius")
@@ -443,7 +480,8 @@ def linked_pairs(reps: DataFrame, least: float = LEAST) -> DataFrame:
     rows = home.select(*columns).unionByName(visiting)
     rows = rows.withColumn("guest", F.col("host") != F.col("node"))
     rows = rows.repartition("host", "salt").sortWithinPartitions("host", "salt", "guest", "node").select(*columns)
-    return rows.mapInArrow(_meet(least), "rep long, n_links long, other long")
+    met = rows.mapInArrow(_meet(least), "rep long, n_links long, other long")
+    return met.unionByName(_whole_links(leaves, whole))
 
 
 def near_vectors(vectors: DataFrame, least: float = LEAST) -> DataFrame:
