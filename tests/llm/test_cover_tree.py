@@ -129,6 +129,80 @@ def test_leaves_that_are_all_links_are_not_gone_through(monkeypatch):
         assert {r: n for r, n in zip(found["rep"], found["n_links"]) if r < 300} == expected
 
 
+def shuffled_rows(plan):
+    """Rows that the exchanges of an executed plan wrote."""
+    found, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if node.nodeName().endswith("QueryStage"):
+            todo.append(node.plan())
+            continue
+        if node.nodeName().startswith("Exchange"):
+            found += node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        todo += [children.apply(n) for n in range(children.size())]
+    return found
+
+
+def test_vectors_are_not_shuffled_for_their_partners(spark, monkeypatch):
+    """All leaves meet, but what is shuffled for that grows with the leaves, not with vectors times leaves."""
+    for name, size in (("LEAF", 20), ("FAN", 16)):
+        monkeypatch.setattr(cover_tree, name, size)
+    tables, written = {}, cover_tree.written
+
+    def kept(df, purpose):
+        tables[purpose] = written(df, purpose)
+        return tables[purpose]
+
+    monkeypatch.setattr(cover_tree, "written", kept)
+    random = np.random.default_rng(11)
+    rows = [(n, 1, v) for n, v in enumerate(random.normal(size=(160, 64)).tolist())]
+    met = cover_tree.linked_pairs(spark.createDataFrame(rows, "rep long, w long, v array<double>"))
+    leaves = tables["leaves"].select("node").distinct().count()
+    assert leaves >= 10 and tables["leaf-pairs"].count() > leaves * leaves // 3
+    plan = met._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    assert shuffled_rows(plan) < 4 * 160
+
+
+@pytest.mark.parametrize("few, kind", [(0, "float"), (1 << 21, "int")])
+def test_levels_dealt_by_a_shuffle_or_by_a_broadcast(spark, monkeypatch, few, kind):
+    """Numbers of either precision, several levels, files and leaves a task keeps, vectors of several lengths."""
+    for name, size in (("LEAF", 30), ("FAN", 4), ("FEW_CELLS", few), ("PARTNERS", 3), ("GUEST_CELLS", 200), ("GROUP", 50)):
+        monkeypatch.setattr(cover_tree, name, size)
+    random = np.random.default_rng(12)
+    middle = random.normal(size=(12, 6)) * 100
+    rows = [(m + random.normal(size=6) * 8 * random.random()).tolist() for m in middle for _ in range(15)]
+    rows = [[int(c) for c in r] for r in rows] if kind == "int" else rows
+    rows = [[float(np.float32(c)) for c in r] for r in rows] if kind == "float" else rows
+    short = [r[:2] for r in rows[:50]]
+    frame = spark.createDataFrame(list(enumerate(rows + short)), f"vec_id long, embedding array<{kind}>").repartition(4)
+    found = sorted(tuple(r) for r in cover_tree.near_vectors(frame).collect())
+    assert found == brute.cosine_groups([(i, [float(c) for c in v]) for i, v in enumerate(rows + short)], 0.95)
+
+
+def test_tables_of_levels_are_dropped_when_all_rows_went_on(spark, monkeypatch):
+    for name, size in (("LEAF", 20), ("FAN", 4)):
+        monkeypatch.setattr(cover_tree, name, size)
+    tables, written = [], cover_tree.written
+
+    def kept(df, purpose):
+        df = written(df, purpose)
+        tables.append((purpose, df))
+        return df
+
+    monkeypatch.setattr(cover_tree, "written", kept)
+    random = np.random.default_rng(13)
+    rows = [(n, 1, v) for n, v in enumerate(random.normal(size=(400, 8)).tolist())]
+    leaves, tree = cover_tree._upper_levels(spark.createDataFrame(rows, "rep long, w long, v array<double>"))
+    assert leaves.count() == 400 and tree.count() > 0
+    moved = [df.inputFiles()[0].removeprefix("file:") for purpose, df in tables if purpose == "moved"]
+    assert len(moved) > 1 and not os.path.exists("/" + moved[0].lstrip("/")) and os.path.exists("/" + moved[-1].lstrip("/"))
+
+
 @pytest.mark.parametrize("least", [0.0, 0.5, 0.999])
 def test_other_thresholds(spark, least):
     check(spark, crowded(5, 30, 8, 1.0, 6), least)

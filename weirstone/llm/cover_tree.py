@@ -2,7 +2,9 @@
 
 Lengths are taken away, so a cosine is a distance: d * d = 2 - 2 * cosine. The
 upper levels of the tree are tables, one node a row; each leaf's own levels are
-built in one task. Pairs of nodes go down together. A pair whose centres are
+built in one task, and a leaf is one row. Leaves that may hold links meet in a
+nested loop over the written table, so no vector is shuffled for a pair. Pairs
+of nodes go down together. A pair whose centres are
 further apart than the distance asked for and both covering radii holds no
 link, one whose centres and radii together stay within it holds nothing else.
 Radii are those measured, so both tests are certain.
@@ -11,29 +13,35 @@ Radii are those measured, so both tests are certain.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.keyjoin import join_right
-from ..session import written
+from ..session import dropped, written
 from .components import components
 
 LEAST = 0.95
 # Vectors of a leaf, children of a node, vectors its centres are chosen from, and
 # vectors one task deals to them.
 LEAF, FAN, SAMPLE, GROUP = 2_048, 32, 1_024, 8_192
-# Leaves that meet one leaf in one task.
-PARTNERS = 64
+# Leaves of one file: those of two files, or of a few small ones, meet in one task.
+# A file has about so many numbers at most, and few leaves are parted into so many files.
+PARTNERS, FILE_CELLS, FILES = 64, 1 << 22, 16
 # Levels inside a leaf; centres this close are one.
 LEVELS, SAME = 8, 1e-7
 # What rounding may do to a distance, and to a cosine.
 SLACK, CLOSE = 1e-7, 1e-12
 # Nodes whose names and sizes are broadcast without a further count.
 FEW_NODES = 100_000
+# Numbers of the leaves a task keeps to meet its next one.
+GUEST_CELLS = 1 << 22
+# Numbers in the centres of a level that are sent to the tasks whole.
+FEW_CELLS = 1 << 21
 # Cells of a block of products.
 CELLS = 1 << 20
 
@@ -97,7 +105,9 @@ class Leaf:
     def __init__(self, reps: np.ndarray, weights: np.ndarray, vectors: np.ndarray, paths: np.ndarray, place: np.ndarray) -> None:
         order = np.lexsort(paths.T[::-1])
         self.reps, self.weights, self.raw = reps[order], weights[order], vectors[order]
-        self.units, paths, place = _unit(self.raw), paths[order], place[order]
+        self.units, self.paths, self.place = _unit(self.raw), paths[order], place[order]
+        paths, place = self.paths, self.place
+        self.rough = self.units.astype(np.float32)
         rows = np.arange(len(order))
         self.levels = []  # starts, centres and covering radii of the nodes of a level
         for k in range(paths.shape[1]):
@@ -112,6 +122,14 @@ class Leaf:
         self.levels.append((np.r_[rows, len(rows)], rows, np.zeros(len(rows))))
         self.sums = np.r_[0, np.cumsum(self.weights)]
 
+    def within_reach(self, host: Leaf, within: float) -> Leaf | None:
+        """The rows that may have a link to one of the host's."""
+        _, centres, radii = host.levels[0]
+        own = np.flatnonzero(_apart(self.units @ host.units[centres[0]]) <= within + radii[0] + SLACK)
+        if len(own) == len(self.reps):
+            return self
+        return Leaf(self.reps[own], self.weights[own], self.raw[own], self.paths[own], self.place[own]) if len(own) else None
+
     def level(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return self.levels[min(k, len(self.levels) - 1)]
 
@@ -195,18 +213,28 @@ class Meeting:
         (fu, eu), (fv, ev) = self.a.below(k, u), self.b.below(k, v)
         many = (eu - fu) * (ev - fv)
         mine, theirs = self.a.level(k + 1)[1], self.b.level(k + 1)[1]
+        width = self.a.units.shape[1]
+        rounded = CLOSE + (width + 4) * 2.0**-23  # what single precision may do to a cosine
         for n in np.flatnonzero(many > 1024):
             height = max(1, CELLS // int(ev[n] - fv[n]))
+            others, far = theirs[fv[n] : ev[n]], self.b.level(k + 1)[2][fv[n] : ev[n]]
             for top in range(int(fu[n]), int(eu[n]), height):
                 end = min(top + height, int(eu[n]))
-                block = self.a.units[mine[top:end]] @ self.b.units[theirs[fv[n] : ev[n]]].T
+                own, radii = mine[top:end], self.within + self.a.level(k + 1)[2][top:end] + SLACK
                 # Here already: most pairs go, and no list is made of them.
-                radii = self.a.level(k + 1)[2][top:end, None] + self.b.level(k + 1)[2][None, fv[n] : ev[n]]
-                i, j = np.nonzero(block >= 1 - (self.within + radii + SLACK) ** 2 / 2 - CLOSE)
-                x, y = i + top, j + fv[n]
+                block = self.a.rough[own] @ self.b.rough[others].T
+                least = (1 - (radii + far.max()) ** 2 / 2 - rounded).astype(np.float32)
+                i, j = np.divmod(np.flatnonzero(block >= least[:, None]), len(others))
+                left = block[i, j] >= 1 - (radii[i] + far[j]) ** 2 / 2 - rounded
+                i, j = i[left], j[left]
                 if self.same and u[n] == v[n]:
-                    i, j, x, y = (z[x <= y] for z in (i, j, x, y))
-                self.judge(k + 1, x, y, block[i, j])
+                    upper = i + top <= j + fv[n]
+                    i, j = i[upper], j[upper]
+                if 4 * len(i) * width > CELLS:
+                    cosines = (self.a.units[own] @ self.b.units[others].T)[i, j]
+                else:
+                    cosines = np.einsum("ij,ij->i", self.a.units[own[i]], self.b.units[others[j]])
+                self.judge(k + 1, i + top, j + fv[n], cosines)
         few = np.flatnonzero(many <= 1024)
         sizes = many[few]
         for part in np.split(few, np.flatnonzero(np.diff(np.cumsum(sizes) // (CELLS // 16))) + 1) if len(few) else ():
@@ -250,37 +278,71 @@ def _centres(table: pa.Table) -> pa.Table:
     return pa.table({"node": [node] * len(names), "child": names, "centre": _lists(units[chosen])})
 
 
-def _deal(rows: pa.Table, centres: pa.Table) -> pa.Table:
-    """Rows of a node at the nearest of its centres, of equally near ones at any by ``pick``."""
-    units, names = _unit(_matrix(rows.column("v"))), np.array(centres.column("child").to_pylist(), object)
-    order = np.argsort(names.astype(str), kind="stable")
-    apart = _apart(units @ _matrix(centres.column("centre"))[order].T)
+def _nearest(units: np.ndarray, centres: np.ndarray, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centre of each row and how far it is, of equally near ones any by ``pick``."""
+    apart = _apart(units @ centres.T)
     near = apart <= apart.min(axis=1, keepdims=True) + SAME
-    pick = rows.column("pick").to_numpy() % near.sum(axis=1)
-    chosen = np.argmax(np.cumsum(near, axis=1) > pick[:, None], axis=1)
-    far = apart[np.arange(len(units)), chosen]
+    chosen = np.argmax(np.cumsum(near, axis=1) > (pick % near.sum(axis=1))[:, None], axis=1)
+    return chosen, apart[np.arange(len(units)), chosen]
+
+
+def _children(centres: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Names and centres of the children of a node, by name."""
+    names = np.array(centres.column("child").to_pylist(), object)
+    order = np.argsort(names.astype(str), kind="stable")
+    return names[order], _matrix(centres.column("centre"))[order]
+
+
+def _deal(rows: pa.Table, centres: pa.Table) -> pa.Table:
+    """Rows of a node at the nearest of its centres."""
+    names, places = _children(centres)
+    chosen, far = _nearest(_unit(_matrix(rows.column("v"))), places, rows.column("pick").to_numpy())
     return pa.table({
-        "rep": rows.column("rep"), "w": rows.column("w"), "v": rows.column("v"), "node": pa.array(names[order][chosen], pa.string()),
+        "rep": rows.column("rep"), "w": rows.column("w"), "v": rows.column("v"), "node": pa.array(names[chosen], pa.string()),
         "far": pa.array(far),
     })
 
 
-_ROWS = "rep long, w long, v array<double>, node string"
+def _deal_all(sent: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of many nodes at the nearest of their node's centres, all of which the task has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = batch.column("node").to_numpy(zero_copy_only=False).astype(str)
+            order = np.argsort(nodes, kind="stable")
+            table, nodes = pa.Table.from_batches([batch]).take(pa.array(order)), nodes[order]
+            starts = np.flatnonzero(np.r_[True, nodes[1:] != nodes[:-1]]) if len(nodes) else []
+            pick = table.column("pick").to_numpy()
+            found, far = np.empty(len(nodes), object), np.empty(len(nodes))
+            for start, end in zip(starts, [*starts[1:], len(nodes)]):
+                names, places = sent.value[nodes[start]]
+                units = _unit(_matrix(table.column("v").slice(start, end - start)))
+                chosen, far[start:end] = _nearest(units, places, pick[start:end])
+                found[start:end] = names[chosen]
+            moved = table.select(["rep", "w", "v"]).append_column("node", pa.array(found, pa.string()))
+            yield from moved.append_column("far", pa.array(far)).to_batches()
+
+    return run
+
+
+def _rows(reps: DataFrame) -> str:
+    return f"rep long, w long, v {reps.schema['v'].dataType.simpleString()}, node string"
 
 
 def _upper_levels(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(leaves, tree): rows with their leaf, and parent, node, centre, radius of all nodes but the roots."""
     spark = reps.sparkSession
     dealt = reps.select("rep", "w", "v", F.size("v").cast("string").alias("node"))
-    leaves, tree = None, spark.createDataFrame([], "parent string, node string, centre array<double>, radius double")
+    before, leaves, tree = None, None, spark.createDataFrame([], "parent string, node string, centre array<double>, radius double")
     while True:
         counts = dealt.groupBy(F.col("node").alias("__node")).agg(F.count(F.lit(1)).alias("n"))
         counts = written(counts, "node-sizes")
         full = counts.where(F.col("n") > LEAF)
         nodes, over = counts.agg(F.count(F.lit(1)), F.count_if(F.col("n") > LEAF)).first()
         few = True if nodes <= FEW_NODES else None
-        done = join_right(dealt, ["node"], counts.where(F.col("n") <= LEAF).select("__node"), ["__node"], "left_semi", broadcast=few)
-        leaves = done if leaves is None else leaves.unionByName(done)
+        if over < nodes or not nodes:
+            done = join_right(dealt, ["node"], counts.where(F.col("n") <= LEAF).select("__node"), ["__node"], "left_semi", broadcast=few)
+            leaves = done if leaves is None else leaves.unionByName(done)
         if not over:
             return leaves, tree
         rows = join_right(dealt, ["node"], full, ["__node"], "inner", broadcast=few).drop("__node")
@@ -288,18 +350,28 @@ def _upper_levels(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
         sample = rows.where(F.pmod(F.xxhash64("rep", F.lit(7)), F.col("n")) < SAMPLE)
         centres = sample.groupBy("node").applyInArrow(_centres, "node string, child string, centre array<double>")
         centres = written(centres, "centres")
-        salts = F.ceil(F.col("n") / GROUP)
-        rows = rows.withColumn("salt", F.pmod(F.xxhash64("rep", F.lit(8)), salts))
         # Another number in each node: rows that one level left together are parted by the next.
         rows = rows.withColumn("pick", F.xxhash64("rep", "node"))
-        copies = full.select(F.col("__node").alias("node"), F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)).alias("salt"))
-        sent = centres.join(copies, "node").groupBy("node", "salt")
-        moved = rows.groupBy("node", "salt").cogroup(sent).applyInArrow(_deal, f"{_ROWS}, far double")
-        moved = written(moved, "moved")
+        schema = f"{_rows(reps)}, far double"
+        if centres.agg(F.sum(F.size("centre"))).first()[0] <= FEW_CELLS:
+            table = centres.toArrow()
+            parents = np.array(table.column("node").to_pylist(), object)
+            sent = spark.sparkContext.broadcast({n: _children(table.filter(pa.array(parents == n))) for n in set(parents)})
+            moved = rows.select("rep", "w", "v", "node", "pick").mapInArrow(_deal_all(sent), schema)
+            moved = written(moved, "moved")
+            sent.destroy()
+        else:
+            salts = F.ceil(F.col("n") / GROUP)
+            rows = rows.withColumn("salt", F.pmod(F.xxhash64("rep", F.lit(8)), salts))
+            copies = full.select(F.col("__node").alias("node"), F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)).alias("salt"))
+            shared = centres.join(copies, "node").groupBy("node", "salt")
+            moved = written(rows.groupBy("node", "salt").cogroup(shared).applyInArrow(_deal, schema), "moved")
         radii = moved.groupBy("node").agg(F.max("far").alias("radius"))
         level = centres.select(F.col("node").alias("parent"), F.col("child").alias("node"), "centre").join(radii, "node")
-        tree = tree.unionByName(level.select("parent", "node", "centre", "radius"))
-        dealt = moved.drop("far")
+        tree = tree.unionByName(written(level.select("parent", "node", "centre", "radius"), "level"))
+        if before is not None and over == nodes:
+            dropped(before)  # all its rows are in the next one
+        before, dealt = moved, moved.drop("far")
 
 
 def _leaf_pairs(leaves: DataFrame, tree: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
@@ -317,7 +389,7 @@ def _leaf_pairs(leaves: DataFrame, tree: DataFrame, least: float) -> tuple[DataF
     steps = steps.withColumn("leaf", F.coalesce("end", F.lit(False))).drop("end")
     steps = steps.unionByName(ends.withColumn("parent", F.col("node")).withColumn("leaf", F.lit(True)))
     steps = written(steps, "steps")
-    roots = leaves.select(F.size("v").cast("string").alias("a")).distinct()
+    roots = leaves.select(F.col("width").cast("string").alias("a")).distinct()
     pairs = roots.join(inner.withColumnRenamed("node", "a"), "a", "left_anti")
     found = pairs.select("a", F.col("a").alias("b"))
     whole = spark.createDataFrame([], "a string, b string")
@@ -344,7 +416,8 @@ def _leaf_pairs(leaves: DataFrame, tree: DataFrame, least: float) -> tuple[DataF
 
 def _whole_links(leaves: DataFrame, whole: DataFrame) -> DataFrame:
     """rep, n_links, other: what pairs of nodes give all of whose rows are links, by the weights of the nodes."""
-    sizes = written(leaves.groupBy("node").agg(F.sum("w").alias("size"), F.min("rep").alias("first")), "leaf-sizes")
+    size = F.aggregate("weights", F.lit(0).cast("bigint"), lambda s, w: s + w)
+    sizes = written(leaves.select("node", size.alias("size"), F.array_min("reps").alias("first")), "leaf-sizes")
     parts = F.split("node", r"\.")
     names = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "."))
     above = sizes.select("node", "size", "first", F.posexplode(names).alias("depth", "above"))
@@ -358,81 +431,60 @@ def _whole_links(leaves: DataFrame, whole: DataFrame) -> DataFrame:
         F.sum("links").alias("links"), F.bool_or("own").alias("own"), F.min_by("first", "depth").alias("other")
     )
     # A row is no link of itself.
-    rows = leaves.join(own, "node").select("rep", (F.col("links") - F.when(F.col("own"), F.col("w")).otherwise(0)).alias("n_links"), "other")
+    members = leaves.select("node", F.explode(F.arrays_zip(F.col("reps").alias("rep"), F.col("weights").alias("w"))).alias("r"))
+    rows = members.select("node", "r.*").join(own, "node").select("rep", (F.col("links") - F.when(F.col("own"), F.col("w")).otherwise(0)).alias("n_links"), "other")
     ends = [nodes.select(F.col("above").alias(side), F.col("first").alias(name)) for side, name in (("a", "rep"), ("b", "other"))]
     joined = whole.where("a != b").join(ends[0], "a").join(ends[1], "b")
     return rows.unionByName(joined.select("rep", F.lit(0).cast("bigint").alias("n_links"), "other"))
 
 
-def _plant(table: pa.Table) -> pa.Table:
-    """Rows of a leaf with their place in it and their path through its levels."""
-    order = np.argsort(table.column("rep").to_numpy(), kind="stable")
-    table = table.take(pa.array(order))
-    path = nested(_unit(_matrix(table.column("v"))))
-    return table.append_column("place", pa.array(np.arange(len(order), dtype=np.int32))).append_column("path", _lists(path))
-
-
-def _route(within: float):
-    """Rows of a leaf sent to those leaves they may have a link in."""
-
-    def run(rows: pa.Table, partners: pa.Table) -> pa.Table:
-        out = []
-        units = _unit(_matrix(rows.column("v")))
-        hosts, salts = partners.column("host").to_pylist(), partners.column("salt").to_pylist()
-        centres, radii = _matrix(partners.column("centre")), partners.column("radius").to_numpy()
-        apart = _apart(units @ centres.T) if hosts else None
-        for n, (host, salt) in enumerate(zip(hosts, salts)):
-            own = np.flatnonzero(apart[:, n] <= within + radii[n] + SLACK)
-            if len(own):
-                part = rows.take(pa.array(own))
-                part = part.append_column("host", pa.array([host] * len(own), pa.string()))
-                out.append(part.append_column("salt", pa.array([salt] * len(own), pa.int64())))
-        names = ["host", "salt", "node", "rep", "w", "v", "place", "path"]
-        if not out:
-            empty = rows.slice(0, 0).append_column("host", pa.array([], pa.string())).append_column("salt", pa.array([], pa.int64()))
-            return empty.select(names)
-        return pa.concat_tables(out).select(names)
+_LEAF = "node string, width int, reps array<bigint>, weights array<bigint>, levels int, path binary, vectors binary"
 
-    return run
 
+def _plant(table: pa.Table) -> pa.Table:
+    """The rows of a leaf as one: by rep, with their path through its levels, in single precision if that is all they have."""
+    table = table.take(pa.array(np.argsort(table.column("rep").to_numpy(), kind="stable")))
+    vectors = _matrix(table.column("v"))
+    path = nested(_unit(vectors))
+    with np.errstate(over="ignore"):
+        single = vectors.astype(np.float32)
+    return pa.table({
+        "node": pa.array([table.column("node")[0].as_py()], pa.string()), "width": pa.array([vectors.shape[1]], pa.int32()),
+        "reps": pa.array([table.column("rep").to_numpy()], pa.list_(pa.int64())),
+        "weights": pa.array([table.column("w").to_numpy()], pa.list_(pa.int64())),
+        "levels": pa.array([path.shape[1]], pa.int32()), "path": pa.array([path.tobytes()], pa.binary()),
+        "vectors": pa.array([(single if (single == vectors).all() else vectors).tobytes()], pa.binary()),
+    })
 
-def _leaf(parts: list[pa.RecordBatch]) -> Leaf:
-    table = pa.Table.from_batches(parts)
-    reps, weights, place = (table.column(c).to_numpy() for c in ("rep", "w", "place"))
-    path = table.column("path").combine_chunks()
-    paths = path.flatten().to_numpy().reshape(len(path), -1)
-    return Leaf(reps, weights, _matrix(table.column("v")), paths, place)
 
+def _leaf(batch: pa.RecordBatch, n: int, side: str) -> Leaf:
+    """A leaf in a row of pairs of leaves."""
+    reps, weights = (batch.column(f"{side}_{c}")[n].values.to_numpy() for c in ("reps", "weights"))
+    path = np.frombuffer(batch.column(f"{side}_path")[n].as_buffer(), np.int32).reshape(len(reps), -1)
+    flat, width = batch.column(f"{side}_vectors")[n].as_buffer(), batch.column(f"{side}_width")[n].as_py()
+    vectors = np.frombuffer(flat, np.float32 if flat.size == 4 * width * len(reps) else np.float64).reshape(len(reps), width)
+    return Leaf(reps, weights, vectors.astype(np.float64), path, np.arange(len(reps), dtype=np.int32))
 
-def _meet(least: float):
-    """Of a stream of rows by (host, salt), the host's own first: what each leaf that comes there finds."""
 
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[pa.RecordBatch]]]:
-        key, parts = None, []
-        for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in ("host", "salt", "node"))))
-            start = 0
-            for at in range(1, len(keys) + 1):
-                if at < len(keys) and keys[at] == keys[start]:
-                    continue
-                if keys[start] != key:
-                    if parts:
-                        yield key, parts
-                    key, parts = keys[start], []
-                parts.append(batch.slice(start, at - start))
-                start = at
-        if parts:
-            yield key, parts
+def _meet(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of pairs of leaves, a and b, what they find in each other; of a leaf with itself, what it finds there."""
+    within = math.sqrt(max(0.0, 2 - 2 * least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = None
-        for (host, salt, node), parts in groups(batches):
-            if host == node:
-                own = _leaf(parts)
-                if salt == 0:
-                    yield Meeting(own, None, least).found()
-            else:
-                yield Meeting(own, _leaf(parts), least).found()
+        name, host, guests, room = None, None, {}, GUEST_CELLS
+        for batch in batches:
+            for n, (a, b) in enumerate(zip(batch.column("a_node").to_pylist(), batch.column("b_node").to_pylist())):
+                if a != name:
+                    name, host = a, _leaf(batch, n, "a")
+                if a == b:
+                    yield Meeting(host, None, least).found()
+                    continue
+                guest = guests.get(b) or _leaf(batch, n, "b")
+                if b not in guests and guest.raw.size <= room:
+                    guests[b], room = guest, room - guest.raw.size
+                guest = guest.within_reach(host, within)
+                if guest is not None:
+                    yield Meeting(host, guest, least).found()
 
     return run
 
@@ -443,44 +495,24 @@ def linked_pairs(reps: DataFrame, least: float = LEAST) -> DataFrame:
     ``reps`` has rep (a number of its own), w and v. A link is a cosine of at
     least ``least``. Vectors of different length have none.
     """
-    leaves, tree = _upper_levels(reps)
-    leaves = written(leaves, "leaves")
+    rows, tree = _upper_levels(reps)
+    sizes = rows.groupBy("node").agg(F.sum(F.size("v").cast("bigint")).alias("cells"))
+    number, cells = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("cells"), F.lit(0))).first()
+    files = max(1, min(number, FILES), -(-number // PARTNERS), -(-cells // FILE_CELLS))
+    leaves = written(rows.repartition(files, "node").groupBy("node").applyInArrow(_plant, _LEAF), "leaves")
     pairs, whole = _leaf_pairs(leaves, tree, least)
     pairs, whole = written(pairs, "leaf-pairs"), written(whole, "whole-pairs")
-    planted = leaves.groupBy("node").applyInArrow(_plant, f"{_ROWS}, place int, path array<int>")
-    planted = written(planted, "planted")
 
-    # Which of two leaves goes to the other is left to a hash, so none gets all.
+    # Which of two leaves has the other in its list is left to a hash, so none has all.
     to_a = F.pmod(F.xxhash64("a", "b"), F.lit(2)) == 0
-    guests = pairs.where("a != b").select(
+    lists = pairs.select(
         F.when(to_a, F.col("a")).otherwise(F.col("b")).alias("host"), F.when(to_a, F.col("b")).otherwise(F.col("a")).alias("guest")
-    )
-    crowds = guests.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("salts"))
-    # At salt 0 a leaf meets itself; if all of its rows are known links, salts start at 1.
-    itself = pairs.where("a = b").select(F.col("a").alias("host"), F.lit(0).cast("bigint").alias("from"))
-    crowds = itself.join(crowds, "host", "full").select(
-        "host", F.coalesce("from", F.lit(1)).alias("from"), F.coalesce("salts", F.lit(1)).alias("salts")
-    )
-    salt = F.col("from") + F.pmod(F.xxhash64("guest"), F.col("salts"))
-    guests = guests.join(crowds, "host").withColumn("salt", salt)
-    hosts = crowds.select(F.col("host").alias("node"), F.explode(F.sequence("from", F.col("from") + F.col("salts") - 1)).alias("salt"))
-    centres = tree.select(F.col("node").alias("host"), "centre", "radius")
-    # A leaf's partners come in parts, too.
-    sent = guests.join(centres, "host").select(F.col("guest").alias("node"), "host", "salt", "centre", "radius")
-    sent = sent.withColumn("part", F.pmod(F.xxhash64("host"), F.lit(1 << 30)))
-    sizes = sent.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("parts"))
-    sent = sent.join(sizes, "node").withColumn("part", F.pmod("part", F.col("parts"))).drop("parts")
-    there = sizes.select("node", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
-    columns = ["host", "salt", "node", "rep", "w", "v", "place", "path"]
-    schema = "host string, salt long, node string, rep long, w long, v array<double>, place int, path array<int>"
-    within = math.sqrt(max(0.0, 2 - 2 * least))
-    visiting = planted.join(there, "node").groupBy("node", "part").cogroup(sent.groupBy("node", "part"))
-    visiting = visiting.applyInArrow(lambda rows, partners: _route(within)(rows.drop_columns(["part"]), partners), schema)
-    home = planted.join(hosts, "node").withColumn("host", F.col("node"))
-    rows = home.select(*columns).unionByName(visiting)
-    rows = rows.withColumn("guest", F.col("host") != F.col("node"))
-    rows = rows.repartition("host", "salt").sortWithinPartitions("host", "salt", "guest", "node").select(*columns)
-    met = rows.mapInArrow(_meet(least), "rep long, n_links long, other long")
+    ).groupBy("host").agg(F.collect_list("guest").alias("guests"))
+    hosts, guests = (leaves.select(*[F.col(c).alias(f"{side}_{c}") for c in leaves.columns]) for side in "ab")
+    hosts = join_right(hosts, ["a_node"], written(lists, "partners"), ["host"], "inner", hot_rows=None).drop("host")
+    # Each task reads its files of leaves again; a shuffle would carry a leaf once for each of its partners.
+    both = hosts.hint("shuffle_replicate_nl").join(guests, F.expr("array_contains(guests, b_node)")).drop("guests")
+    met = both.mapInArrow(_meet(least), "rep long, n_links long, other long")
     return met.unionByName(_whole_links(leaves, whole))
 
 
@@ -496,11 +528,14 @@ def near_vectors(vectors: DataFrame, least: float = LEAST) -> DataFrame:
     A null vec_id takes part, but names no component unless it is alone. Only
     vec_id and the vector are read. An empty table gives an empty result.
     """
-    entry = F.transform("embedding", lambda c: c.cast("double"))
-    rows = vectors.select("vec_id", entry.alias("v"))
-    good = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists("v", lambda c: c != 0)
+    # Single numbers are kept as such: half as much to write.
+    single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    kept = F.col("embedding") if single else F.transform("embedding", lambda c: c.cast("double"))
+    rows = vectors.select("vec_id", kept.alias("v"))
+    entry = F.transform("v", lambda c: c.cast("double"))
+    good = F.forall(entry, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists(entry, lambda c: c != 0)
     rows = rows.withColumn("v", F.when(F.coalesce(good, F.lit(False)), F.col("v")))
-    keys = [F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(n), "v")).alias(f"k{n}") for n in (1, 2)]
+    keys = [F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(n), entry)).alias(f"k{n}") for n in (1, 2)]
     rows = rows.select("vec_id", "v", *keys)
     reps = rows.where("v IS NOT NULL").groupBy("k1", "k2")
     reps = reps.agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("w"), F.first("v").alias("v"))
